@@ -15,5 +15,6 @@ DESTINATIONS = ("bravo: live!", "view-all")
 DEVICE_LIKE = "%fire%tv%"
 PROMO_ORIGINS = ("%bravo%", "%charlie%")
 PROMO_VIEW_TITLES = ("alpha show", "bravo: live!")
-HISTORY_START = START
+HISTORY_START = dt.date(2024, 1, 28)
 TOP_K = 50
+CUE_PREFIX = "s|a|b"
