@@ -20,11 +20,18 @@ BROADCAST_MAX_ROWS = 2_000_000
 
 
 def bounded(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``small`` checkpointed, with a broadcast hint when it has at most ``max_rows`` rows."""
+    """``small`` checkpointed, with a broadcast hint when it has at most ``max_rows`` rows.
+
+    A side that already went through ``bounded`` is returned as it is, so a
+    plan can size-check a shared side once and hand it to several joins.
+    """
+    if getattr(small, "_size_checked", False):
+        return small
     checkpoint_dir(small.sparkSession)
     small = small.checkpoint(eager=True)
     if small.count() <= max_rows:
-        return F.broadcast(small)
+        small = F.broadcast(small)
+    small._size_checked = True
     return small
 
 

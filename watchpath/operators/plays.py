@@ -20,14 +20,13 @@ def play_events(video: DataFrame, start: dt.date, end: dt.date,
     same account-day. The row is placed ``shift_seconds`` earlier so it sorts
     after the click that started it; the day is not changed by the shift.
     """
-    w = Window.partitionBy("adobe_tracking_id", "adobe_date").orderBy("adobe_timestamp")
     v = video.where(
         F.col("adobe_tracking_id").isNotNull()
         & F.col("adobe_date").between(F.lit(start), F.lit(end))
         & (F.col("media_load") == F.lit(False))
         & (F.col("num_seconds_played_with_ads") > 0)
     )
-    return v.select(
+    rows = v.select(
         F.col("adobe_tracking_id").alias(C.ACCOUNT),
         F.col("adobe_date").alias(C.DAY),
         (F.col("adobe_timestamp") - F.make_dt_interval(secs=F.lit(shift_seconds))).alias(C.TIME),
@@ -36,9 +35,16 @@ def play_events(video: DataFrame, start: dt.date, end: dt.date,
         F.when(F.col("display_name").like("%trailer%"), F.lit(MANUAL))
         .otherwise(F.lit(PLAY_END)).alias(C.START_TYPE),
         F.col("device_name").alias(C.DEVICE),
-        F.lag("display_name").over(w).alias(C.FEEDER),
-        F.lag("video_id").over(w).alias(C.FEEDER_ID),
         F.col("display_name").alias(C.TITLE),
         F.col("video_id").alias(C.VIDEO_ID),
         F.col("num_seconds_played_no_ads").alias(C.SECONDS),
     )
+    # the window runs on the timeline names (a uniform shift keeps the order),
+    # so its (account, day) partitioning survives into the union downstream
+    w = Window.partitionBy(C.ACCOUNT, C.DAY).orderBy(C.TIME)
+    return rows.select(
+        *C.TIMELINE[:7],
+        F.lag(C.TITLE).over(w).alias(C.FEEDER),
+        F.lag(C.VIDEO_ID).over(w).alias(C.FEEDER_ID),
+        *C.TIMELINE[9:],
+    )

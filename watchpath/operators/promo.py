@@ -67,8 +67,9 @@ def promo_accounts(events: DataFrame) -> DataFrame:
     return events.select("userid").distinct()
 
 
-def _accounts(accounts: DataFrame) -> DataFrame:
-    return accounts.select(F.col("userid").alias(ACCOUNT))
+def _in_cohort():
+    """Semi-join condition of viewing rows against a ``userid`` account list."""
+    return F.col(ACCOUNT) == F.col("userid")
 
 
 def cohort_usage(video: DataFrame, accounts: DataFrame, start: dt.date, end: dt.date,
@@ -78,7 +79,7 @@ def cohort_usage(video: DataFrame, accounts: DataFrame, start: dt.date, end: dt.
     keep = F.col("adobe_date").between(F.lit(start), F.lit(end)) & (F.col("num_views_started") > 0)
     if played_only:
         keep = keep & (F.col("num_seconds_played_no_ads") > 0)
-    v = join_small(video.where(keep), _accounts(accounts), ACCOUNT, "left_semi")
+    v = join_small(video.where(keep), accounts, _in_cohort(), "left_semi")
     return (v.groupBy("adobe_timestamp", ACCOUNT, F.lower("program").alias("theshow"))
             .agg(round_hours(F.sum("num_seconds_played_no_ads"), 0).alias("hours_watched")))
 
@@ -89,7 +90,7 @@ def prior_target_viewers(video: DataFrame, accounts: DataFrame, target: str,
     v = video.where(F.col("adobe_date").between(F.lit(since), F.lit(end))
                     & (F.col("num_views_started") > 0)
                     & (F.lower("display_name") == F.lit(target)))
-    return join_small(v, _accounts(accounts), ACCOUNT, "left_semi").select(ACCOUNT).distinct()
+    return join_small(v, accounts, _in_cohort(), "left_semi").select(ACCOUNT).distinct()
 
 
 def viewing_order(video: DataFrame, events: DataFrame, viewers: DataFrame, titles,

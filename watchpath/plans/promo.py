@@ -13,6 +13,7 @@ from watchpath.operators.promo import (
     video_lookup,
     viewing_order,
 )
+from watchpath.operators.joins import bounded
 from watchpath.session import checkpoint_dir
 from watchpath.sources.tables import Tables
 
@@ -28,10 +29,12 @@ def cohort_events(tables: Tables, start, end, origins, target: str,
     return events.checkpoint(eager=True)
 
 
-def excluded_accounts(tables: Tables, events, history_start, end, target: str, view_titles):
+def excluded_accounts(tables: Tables, events, history_start, end, target: str, view_titles,
+                      accounts=None):
     history_start, end = as_date(history_start), as_date(end)
     video = tables.video(history_start, end)
-    viewers = prior_target_viewers(video, promo_accounts(events), target, history_start, end)
+    accounts = accounts if accounts is not None else bounded(promo_accounts(events))
+    viewers = prior_target_viewers(video, accounts, target, history_start, end)
     order = viewing_order(video, events, viewers, view_titles, target, history_start, end)
     return already_watching(order)
 
@@ -41,6 +44,7 @@ def promo_reach(tables: Tables, start, end, history_start, origins, target: str,
     """Reach and hours of the cohort's viewing of ``target`` after a promo event."""
     start, end = as_date(start), as_date(end)
     events = cohort_events(tables, start, end, origins, target, cue_prefix)
-    usage = cohort_usage(tables.video(start, end), promo_accounts(events), start, end, played_only)
-    excluded = excluded_accounts(tables, events, history_start, end, target, view_titles)
+    accounts = bounded(promo_accounts(events))       # size-checked once, used twice
+    usage = cohort_usage(tables.video(start, end), accounts, start, end, played_only)
+    excluded = excluded_accounts(tables, events, history_start, end, target, view_titles, accounts)
     return promo_reach_hours(events, usage, excluded, target)

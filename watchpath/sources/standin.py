@@ -181,14 +181,15 @@ def materialized(spark: SparkSession, sf_dir: str) -> Tables:
     key = hashlib.sha1(stamp.encode()).hexdigest()[:16]
     root = f"{checkpoint_dir(spark).rstrip('/')}/standin-{key}"
     cached = _MATERIALIZED.get(root)
-    if cached is None:
+    if cached is None or cached.spark is not spark:
         lazy = StandInTables(spark, sf_dir)
         for name, df, part in (("clickstream", lazy.clickstream(), "adobe_date_est"),
                                ("video", lazy.video(), "adobe_date")):
             (df.repartition(part).write.mode("overwrite")
                .partitionBy(part).parquet(f"{root}/{name}"))
-        _MATERIALIZED[root] = True
-    return LakeTables(spark, f"{root}/clickstream", f"{root}/video")
+        cached = LakeTables(spark, f"{root}/clickstream", f"{root}/video")
+        _MATERIALIZED[root] = cached
+    return cached
 
 
-_MATERIALIZED: dict[str, bool] = {}
+_MATERIALIZED: dict[str, Tables] = {}

@@ -45,10 +45,18 @@ class LakeTables(Tables):
     click_date_col: str = "adobe_date_est"
     video_date_col: str = "adobe_date"
 
+    def __post_init__(self):
+        self._frames: dict[str, DataFrame] = {}
+
     def _read(self, path: str) -> DataFrame:
-        if "/" in path or "." not in path:
-            return self.spark.read.parquet(path)
-        return self.spark.table(path)
+        """The table's DataFrame, resolved once per ``LakeTables`` (listing,
+        partition discovery and footers are read once; filters are added per call)."""
+        if path not in self._frames:
+            if "/" in path or "." not in path:
+                self._frames[path] = self.spark.read.parquet(path)
+            else:
+                self._frames[path] = self.spark.table(path)
+        return self._frames[path]
 
     def clickstream(self, start=None, end=None) -> DataFrame:
         df = self._read(self.clickstream_path)
