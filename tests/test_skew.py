@@ -1,0 +1,81 @@
+"""Hot keys: the split-and-stitch windows give the plain windows' results."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import SF_MID, SF_SMALL
+from watchpath import columns as C
+from watchpath.operators.skew import (
+    assign_slices,
+    key_profile,
+    plan_slices,
+    stitched_group_sum,
+    stitched_window,
+)
+from watchpath.plans import params as P
+from watchpath.plans.attribution import attributed_timeline
+from watchpath.plans.feeders import feeder_clicks
+from watchpath.plans.promo import promo_reach
+from watchpath.plans.registry import tables
+from watchpath.sources.standin import PLAYER_EVENT_BRAND as BRAND
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+@pytest.mark.parametrize("scope,feeder", [("display", "lag"), ("display", "blank"), ("feeder", "lag")])
+def test_timeline_split_equals_plain(spark, scope, feeder):
+    t = tables(spark, SF_MID)
+    plain = attributed_timeline(t, P.START, P.END, P.TARGET, BRAND, scope, feeder, hot_key_rows=None)
+    split = attributed_timeline(t, P.START, P.END, P.TARGET, BRAND, scope, feeder, hot_key_rows=3)
+    assert rows(plain) == rows(split)
+
+
+def test_feeder_lag_split_equals_plain(spark):
+    t = tables(spark, SF_MID)
+    plain = feeder_clicks(t, P.START, P.END, BRAND, hot_key_rows=None)
+    split = feeder_clicks(t, P.START, P.END, BRAND, hot_key_rows=2)
+    assert rows(plain) == rows(split)
+
+
+def test_promo_split_equals_plain(spark):
+    t = tables(spark, SF_SMALL)
+    args = (t, P.START, P.END, P.HISTORY_START, P.PROMO_ORIGINS, P.TARGET, P.PROMO_VIEW_TITLES)
+    assert rows(promo_reach(*args, hot_key_rows=None)) == rows(promo_reach(*args, hot_key_rows=1))
+
+
+def test_one_bot_account_is_spread_over_slices(spark):
+    # one account-day with 3,000 rows next to 200 ordinary ones
+    base = dt.datetime(2024, 1, 5, 0, 0)
+    data = [("bot", dt.date(2024, 1, 5), base + dt.timedelta(seconds=7 * i), f"T{i % 3}", i % 5)
+            for i in range(3000)]
+    data += [(f"u{i % 40}", dt.date(2024, 1, 5), base + dt.timedelta(minutes=i), f"T{i % 2}", 1)
+             for i in range(200)]
+    df = spark.createDataFrame(data, "acct string, day date, t timestamp_ntz, title string, v int")
+    keys = ["acct", "day"]
+    cont = F.col("title") == F.col("prev")
+
+    def chain(slicing):
+        x = assign_slices(df, slicing, "t") if slicing else df
+        x = stitched_window(x, keys, "t", lags=[("prev", "title")], slicing=slicing)
+        x = stitched_window(x, keys, "t", running=[("grp", F.when(cont, 0).otherwise(1))],
+                            slicing=slicing)
+        x = stitched_group_sum(x, keys, "grp", F.col("v"), "run_v", slicing=slicing)
+        return x.select("acct", "day", "t", "title", "prev", "grp", "run_v")
+
+    slicing = plan_slices([key_profile(df, keys, "t")], keys, max_rows=100)
+    assert slicing is not None and slicing.slices >= 30          # only the bot is hot
+    assert slicing.table.count() == 1
+    sliced = assign_slices(df, slicing, "t")
+    biggest = sliced.groupBy("acct", "day", "_slice").count().agg(F.max("count")).first()[0]
+    assert biggest <= 200
+    assert rows(chain(None)) == rows(chain(slicing))
+
+
+def test_no_hot_key_keeps_plain_plan(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3)], "k string, t int").withColumn(
+        "t", F.timestamp_seconds("t").cast("timestamp_ntz"))
+    assert plan_slices([key_profile(df, ["k"], "t")], ["k"], max_rows=5) is None

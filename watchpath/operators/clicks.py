@@ -11,6 +11,7 @@ from watchpath import columns as C
 from watchpath.functions.devices import device_family
 from watchpath.functions.labels import EASTERN
 from watchpath.functions.titles import clicked_title, start_type
+from watchpath.operators.skew import stitched_window
 
 
 def account_day_window() -> Window:
@@ -78,11 +79,17 @@ def classify_clicks(clicks: DataFrame, brand: str, title: str | None = None,
     return rows.where(keep)
 
 
-def click_feeder(clicks: DataFrame, mode: str = "lag") -> DataFrame:
+def click_feeder(clicks: DataFrame, mode: str = "lag", slicing=None) -> DataFrame:
     """Feeder of a click: the previous click's title in the same account-day
-    (``lag``), or the blank string of the classified row (``blank``)."""
+    (``lag``), or the blank string of the classified row (``blank``).
+
+    With ``slicing`` (hot account-days, see ``operators.skew``) the clicks
+    must carry their slice columns; the LAG runs per slice and is stitched.
+    """
     if mode == "blank":
         return clicks
     if mode != "lag":
         raise ValueError(f"unknown click feeder mode {mode!r}")
-    return clicks.withColumn(C.FEEDER, F.lag(C.TITLE).over(account_day_window()))
+    lagged = stitched_window(clicks.drop(C.FEEDER), [C.ACCOUNT, C.DAY], C.TIME,
+                             lags=[("_feeder", C.TITLE)], slicing=slicing)
+    return lagged.withColumnRenamed("_feeder", C.FEEDER).select(*clicks.columns)

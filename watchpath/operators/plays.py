@@ -4,21 +4,27 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from watchpath import columns as C
 from watchpath.functions.labels import MANUAL, PLAY_END, PLAY_SHIFT_SECONDS
+from watchpath.operators.skew import stitched_window
 
 
 def play_events(video: DataFrame, start: dt.date, end: dt.date,
                 shift_seconds: int = PLAY_SHIFT_SECONDS) -> DataFrame:
-    """Viewings in [start, end] as timeline rows.
+    """Viewings as timeline rows with their feeder (``play_rows`` + ``play_feeder``)."""
+    return play_feeder(play_rows(video, start, end, shift_seconds))
 
-    Keeps real plays (not a preload, some seconds played). The feeder title
-    and feeder video id are the previous viewing's, by record time in the
-    same account-day. The row is placed ``shift_seconds`` earlier so it sorts
-    after the click that started it; the day is not changed by the shift.
+
+def play_rows(video: DataFrame, start: dt.date, end: dt.date,
+              shift_seconds: int = PLAY_SHIFT_SECONDS) -> DataFrame:
+    """Viewings in [start, end] as timeline rows, feeder columns not yet set.
+
+    Keeps real plays (not a preload, some seconds played). The row is placed
+    ``shift_seconds`` earlier so it sorts after the click that started it;
+    the day is not changed by the shift.
     """
     v = video.where(
         F.col("adobe_tracking_id").isNotNull()
@@ -39,12 +45,17 @@ def play_events(video: DataFrame, start: dt.date, end: dt.date,
         F.col("video_id").alias(C.VIDEO_ID),
         F.col("num_seconds_played_no_ads").alias(C.SECONDS),
     )
-    # the window runs on the timeline names (a uniform shift keeps the order),
-    # so its (account, day) partitioning survives into the union downstream
-    w = Window.partitionBy(C.ACCOUNT, C.DAY).orderBy(C.TIME)
-    return rows.select(
-        *C.TIMELINE[:7],
-        F.lag(C.TITLE).over(w).alias(C.FEEDER),
-        F.lag(C.VIDEO_ID).over(w).alias(C.FEEDER_ID),
-        *C.TIMELINE[9:],
-    )
+    return rows
+
+
+def play_feeder(rows: DataFrame, slicing=None) -> DataFrame:
+    """Feeder title and feeder video id: the previous viewing's, same account-day.
+
+    The window runs on the timeline names (a uniform shift keeps the order),
+    so its (account, day) partitioning survives into the union downstream.
+    """
+    lagged = stitched_window(rows, [C.ACCOUNT, C.DAY], C.TIME,
+                             lags=[(C.FEEDER, C.TITLE), (C.FEEDER_ID, C.VIDEO_ID)],
+                             slicing=slicing)
+    extra = [c for c in rows.columns if c not in C.TIMELINE]
+    return lagged.select(*C.TIMELINE, *extra)

@@ -19,6 +19,13 @@ from watchpath.functions.hours import round_hours
 from watchpath.functions.labels import PROMO_CLOCK_SHIFT_HOURS, PROMO_LEAD_MINUTES
 from watchpath.functions.titles import clean_title_promo
 from watchpath.operators.joins import join_small
+from watchpath.operators.skew import (
+    HOT_KEY_ROWS,
+    assign_slices,
+    key_profile,
+    plan_slices,
+    stitched_window,
+)
 
 ACCOUNT = "adobe_tracking_id"
 
@@ -125,7 +132,7 @@ def already_watching(order: DataFrame) -> DataFrame:
 
 
 def promo_reach_hours(events: DataFrame, usage: DataFrame, excluded: DataFrame,
-                      target: str) -> DataFrame:
+                      target: str, hot_key_rows: int | None = HOT_KEY_ROWS) -> DataFrame:
     """Reach and hours per (promoted title, watched title).
 
     A usage row counts for every promo event of the same account and title
@@ -133,7 +140,9 @@ def promo_reach_hours(events: DataFrame, usage: DataFrame, excluded: DataFrame,
     credited once per such event (as published). Events of excluded
     accounts are dropped. The count of qualifying events per usage row is a
     running sum over the account-title timeline ordered by time, events
-    sorting after usage rows at equal times (the bound is strict).
+    sorting after usage rows at equal times (the bound is strict). An
+    account-title with more than ``hot_key_rows`` rows is split into time
+    slices and stitched (``operators.skew``).
     """
     ev_title = clean_title_promo("show2")
     ev = events.where((F.col("show2") != F.col("post_evar72")) & ev_title.like(f"%{target}%"))
@@ -147,10 +156,16 @@ def promo_reach_hours(events: DataFrame, usage: DataFrame, excluded: DataFrame,
         F.col(ACCOUNT).alias("_acct"), us_title.alias("_title"),
         F.col("adobe_timestamp").alias("_t"), F.lit(0).alias("_ev"),
         F.col("hours_watched").alias("_hours"))
-    w = (Window.partitionBy("_acct", "_title").orderBy("_t", "_ev")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    credited = (ev.unionByName(us)
-                .withColumn("_events_before", F.sum("_ev").over(w))
+    timeline = ev.unionByName(us)
+    keys = ["_acct", "_title"]
+    slicing = None
+    if hot_key_rows is not None:
+        slicing = plan_slices([key_profile(timeline, keys, "_t")], keys, hot_key_rows)
+    if slicing is not None:
+        timeline = assign_slices(timeline, slicing, "_t")
+    # RANGE frame over (time, kind): a usage row sees the events strictly before it
+    credited = (stitched_window(timeline, keys, ["_t", "_ev"],
+                                running=[("_events_before", F.col("_ev"))], slicing=slicing)
                 .where((F.col("_ev") == 0) & (F.col("_events_before") > 0)))
     return (credited.groupBy("_title")
             .agg(F.countDistinct("_acct").alias("Reach"),

@@ -1,0 +1,145 @@
+"""Ordered windows that stay parallel when one key holds a huge share of rows.
+
+A window partitioned by a key sends all rows of that key to one task. The
+timeline windows are keyed by (account, day) and the promo window by
+(account, title); a single bot-like account could hold a large share of a
+day's rows. Here such hot keys are found with a cheap aggregate, their rows
+are cut into contiguous time slices, every window runs per (key, slice),
+and the slice edges are stitched with small carry tables:
+
+* LAG: the first row of a slice takes the last value of the previous
+  non-empty slice of the same key;
+* running sums: each slice adds the totals of all earlier slices;
+* per-run sums: runs that touch a slice edge are totalled across slices.
+
+The carry tables have at most one (or two) rows per slice, and the number
+of slices is known from the checked hot-key table, so they are broadcast.
+When no key is hot the plain windows are used and the plan is unchanged.
+"""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from watchpath.session import checkpoint_dir
+
+SLICE = "_slice"
+HOT = "_hot"
+
+# a key with more rows than this is split (rows per task stay around it)
+HOT_KEY_ROWS = 1_000_000
+# slices per hot key = rows * OVERSAMPLE / HOT_KEY_ROWS: equal-time slices,
+# oversampled so bursts in time still leave slices near the bound
+OVERSAMPLE = 4
+# total slices above which the carry tables are not broadcast
+MAX_BROADCAST_SLICES = 2_000_000
+
+
+def key_profile(df: DataFrame, keys, order: str) -> DataFrame:
+    """Rows and time span per key (partial aggregation, skew-safe)."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"),
+                                 F.min(order).alias("_t_min"), F.max(order).alias("_t_max"))
+
+
+class Slicing:
+    """Hot keys with their slice grid: start time, slice width (µs), slice count."""
+
+    def __init__(self, table: DataFrame, keys, slices: int):
+        self.keys = list(keys)
+        self.slices = slices
+        self.broadcastable = slices <= MAX_BROADCAST_SLICES
+        self.table = F.broadcast(table) if self.broadcastable else table
+
+    def small(self, df: DataFrame) -> DataFrame:
+        """A carry table: at most a few rows per slice, so bounded by ``slices``."""
+        return F.broadcast(df) if self.broadcastable else df
+
+
+def plan_slices(profiles, keys, max_rows: int = HOT_KEY_ROWS) -> Slicing | None:
+    """The hot keys of the combined ``profiles`` and their slice grid, or
+    None when no key exceeds ``max_rows``. Runs one small job."""
+    keys = list(keys)
+    p = reduce(DataFrame.unionByName, profiles)
+    p = (p.groupBy(*keys)
+         .agg(F.sum("_rows").alias("_rows"), F.min("_t_min").alias("_t0"), F.max("_t_max").alias("_t1"))
+         .where(F.col("_rows") > max_rows))
+    n = F.ceil(F.col("_rows") * OVERSAMPLE / max_rows).cast("long")
+    span = F.timestamp_diff("MICROSECOND", F.col("_t0"), F.col("_t1")) + 1
+    hot = p.select(*keys, "_t0", n.alias("_n"), F.ceil(span / n).cast("long").alias("_width"))
+    checkpoint_dir(hot.sparkSession)
+    hot = hot.checkpoint(eager=True)
+    stats = hot.agg(F.count(F.lit(1)).alias("keys"), F.sum("_n").alias("slices")).first()
+    if not stats.keys:
+        return None
+    return Slicing(hot, keys, int(stats.slices))
+
+
+def assign_slices(df: DataFrame, slicing: Slicing, order: str) -> DataFrame:
+    """Adds ``_slice`` (0 for ordinary keys) and ``_hot``; rows of a hot key
+    fall into equal-time slices in time order."""
+    j = df.join(slicing.table, slicing.keys, "left")
+    offset = F.timestamp_diff("MICROSECOND", F.col("_t0"), F.col(order))
+    piece = F.least(F.col("_n") - 1, F.greatest(F.lit(0), F.floor(offset / F.col("_width"))))
+    return (j.withColumn(SLICE, F.when(F.col("_width").isNull(), F.lit(0)).otherwise(piece).cast("long"))
+            .withColumn(HOT, F.col("_width").isNotNull())
+            .drop("_t0", "_n", "_width"))
+
+
+def stitched_window(df: DataFrame, keys, order, lags=(), running=(),
+                    slicing: Slicing | None = None) -> DataFrame:
+    """``lag(src)`` and running ``sum(expr)`` (default RANGE frame) over
+    ``keys`` ordered by ``order``, added as new columns.
+
+    ``lags``: (name, source column); ``running``: (name, Column expression).
+    With ``slicing`` the input must carry ``_slice``/``_hot``.
+    """
+    keys, order = list(keys), [order] if isinstance(order, str) else list(order)
+    part = keys + [SLICE] if slicing else keys
+    w = Window.partitionBy(*part).orderBy(*order)
+    cols = [F.lag(src).over(w).alias(name) for name, src in lags]
+    cols += [F.sum(expr).over(w).alias(name) for name, expr in running]
+    if slicing is None:
+        return df.select("*", *cols)
+    wdf = df.select("*", *cols,
+                    F.lag(F.lit(1)).over(w).isNull().alias("_first"),
+                    F.lead(F.lit(1)).over(w).isNull().alias("_last"))
+    # last row of each hot slice: its source values and the slice's running totals
+    tail = wdf.where(F.col(HOT) & F.col("_last")).select(
+        *keys, SLICE,
+        *[F.col(src).alias(f"_lv_{name}") for name, src in lags],
+        *[F.col(name).alias(f"_rt_{name}") for name, _ in running])
+    by_slice = Window.partitionBy(*keys).orderBy(SLICE)
+    before = by_slice.rowsBetween(Window.unboundedPreceding, -1)
+    carry = tail.select(
+        *keys, SLICE,
+        *[F.lag(f"_lv_{name}").over(by_slice).alias(f"_lv_{name}") for name, _ in lags],
+        *[F.coalesce(F.sum(f"_rt_{name}").over(before), F.lit(0)).alias(f"_rt_{name}")
+          for name, _ in running])
+    j = wdf.join(slicing.small(carry), keys + [SLICE], "left")
+    edge = F.col(HOT) & F.col("_first")
+    fixed = [F.when(edge, F.col(f"_lv_{name}")).otherwise(F.col(name)).alias(name) for name, _ in lags]
+    fixed += [(F.col(name) + F.coalesce(F.col(f"_rt_{name}"), F.lit(0))).alias(name)
+              for name, _ in running]
+    return j.select(*df.columns, *fixed)
+
+
+def stitched_group_sum(df: DataFrame, keys, group: str, expr: Column, name: str,
+                       slicing: Slicing | None = None) -> DataFrame:
+    """``sum(expr)`` over (keys, group), repeated on each row of the group."""
+    keys = list(keys)
+    if slicing is None:
+        return df.withColumn(name, F.sum(expr).over(Window.partitionBy(*keys, group)))
+    local = df.withColumn(name, F.sum(expr).over(Window.partitionBy(*keys, SLICE, group)))
+    # only a slice's first and last group can continue into a neighbouring slice
+    in_slice = Window.partitionBy(*keys, SLICE)
+    marked = local.select("*", F.min(group).over(in_slice).alias("_g_lo"),
+                          F.max(group).over(in_slice).alias("_g_hi"))
+    edges = (marked.where(F.col(HOT) & ((F.col(group) == F.col("_g_lo")) | (F.col(group) == F.col("_g_hi"))))
+             .groupBy(*keys, SLICE, group).agg(F.first(name).alias("_part"))
+             .groupBy(*keys, group).agg(F.sum("_part").alias("_total")))
+    j = marked.join(slicing.small(edges), keys + [group], "left")
+    return j.select(*df.columns,
+                    F.when(F.col("_total").isNotNull(), F.col("_total")).otherwise(F.col(name)).alias(name))

@@ -6,12 +6,12 @@ key, so the whole chain needs the shuffle of its two inputs and no more.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from watchpath import columns as C
 from watchpath.functions.rules import attributed_start_type, new_watch_time
-from watchpath.operators.clicks import account_day_window
+from watchpath.operators.skew import HOT, SLICE, stitched_group_sum, stitched_window
 
 
 def scope_by_title(df: DataFrame, target: str) -> DataFrame:
@@ -25,8 +25,13 @@ def scope_by_feeder(df: DataFrame, target: str) -> DataFrame:
 
 
 def merge_timeline(clicks: DataFrame, plays: DataFrame) -> DataFrame:
-    """Clicks and plays in one timeline; duplicates are kept (UNION ALL)."""
-    return clicks.select(*C.TIMELINE).unionByName(plays.select(*C.TIMELINE))
+    """Clicks and plays in one timeline; duplicates are kept (UNION ALL).
+
+    Slice columns of a split hot key (``operators.skew``) are carried along.
+    """
+    extra = [c for c in (SLICE, HOT) if c in clicks.columns and c in plays.columns]
+    return (clicks.select(*C.TIMELINE, *extra)
+            .unionByName(plays.select(*C.TIMELINE, *extra)))
 
 
 def continues_run():
@@ -34,7 +39,7 @@ def continues_run():
     return F.col(C.FEEDER) == F.col(C.TITLE)
 
 
-def sessionize(timeline: DataFrame) -> DataFrame:
+def sessionize(timeline: DataFrame, slicing=None) -> DataFrame:
     """Previous action, run id and the run's continuation seconds.
 
     The run id counts the rows that are not continuations, over a RANGE
@@ -43,18 +48,16 @@ def sessionize(timeline: DataFrame) -> DataFrame:
     repeated on each of its rows (NULL when the run has only clicks that
     continue it).
     """
-    w = account_day_window()
     cont = continues_run()
-    with_runs = timeline.select(
-        "*",
-        F.lag(C.START_TYPE).over(w).alias(C.LAST_ACTION),
-        F.sum(F.when(cont, F.lit(0)).otherwise(F.lit(1))).over(w).alias(C.RUN),
-    )
-    run = Window.partitionBy(C.ACCOUNT, C.DAY, C.RUN)
-    return with_runs.withColumn(
-        C.EPISODE_TIME,
-        F.sum(F.when(cont, F.col(C.SECONDS)).otherwise(F.lit(0))).over(run),
-    )
+    keys = [C.ACCOUNT, C.DAY]
+    with_runs = stitched_window(
+        timeline, keys, C.TIME,
+        lags=[(C.LAST_ACTION, C.START_TYPE)],
+        running=[(C.RUN, F.when(cont, F.lit(0)).otherwise(F.lit(1)))],
+        slicing=slicing)
+    return stitched_group_sum(
+        with_runs, keys, C.RUN, F.when(cont, F.col(C.SECONDS)).otherwise(F.lit(0)),
+        C.EPISODE_TIME, slicing=slicing)
 
 
 def attribute(sessions: DataFrame) -> DataFrame:

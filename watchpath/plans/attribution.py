@@ -9,7 +9,8 @@ from watchpath import columns as C
 from watchpath.functions.dates import as_date
 from watchpath.functions.labels import EASTERN
 from watchpath.operators.clicks import click_feeder, classify_clicks, normalize_clicks
-from watchpath.operators.plays import play_events
+from watchpath.operators.plays import play_feeder, play_rows
+from watchpath.operators.skew import HOT_KEY_ROWS, SLICE, assign_slices, key_profile, plan_slices
 from watchpath.operators.timeline import (
     attribute,
     merge_timeline,
@@ -22,7 +23,8 @@ from watchpath.sources.tables import Tables
 
 def attributed_timeline(tables: Tables, start: str | dt.date, end: str | dt.date,
                         target: str, brand: str, scope: str = "display",
-                        click_feeder_mode: str = "lag", tz: str = EASTERN):
+                        click_feeder_mode: str = "lag", tz: str = EASTERN,
+                        hot_key_rows: int | None = HOT_KEY_ROWS):
     """Timeline of ``target`` over [start, end], attributed row by row.
 
     ``scope="display"``: rows whose own title is the target; clicks are
@@ -30,22 +32,35 @@ def attributed_timeline(tables: Tables, start: str | dt.date, end: str | dt.date
     be NULL or the target itself, a play's is the true previous title).
     ``scope="feeder"``: rows whose feeder is the target, after both LAGs.
     ``click_feeder_mode="blank"`` leaves click feeders as ''.
+
+    Account-days with more than ``hot_key_rows`` rows are split into time
+    slices for every window and stitched (``operators.skew``); None skips
+    the check.
     """
+    if scope not in ("display", "feeder"):
+        raise ValueError(f"unknown scope {scope!r}")
     start, end = as_date(start), as_date(end)
     clicks = normalize_clicks(tables.clickstream(start, end), start, end, tz)
-    plays = play_events(tables.video(start, end), start, end)
+    clicks = classify_clicks(clicks, brand, title=target if scope == "display" else None)
+    plays = play_rows(tables.video(start, end), start, end)
+    slicing = None
+    if hot_key_rows is not None:
+        keys = [C.ACCOUNT, C.DAY]
+        slicing = plan_slices([key_profile(clicks, keys, C.TIME), key_profile(plays, keys, C.TIME)],
+                              keys, hot_key_rows)
+    if slicing is not None:
+        clicks = assign_slices(clicks, slicing, C.TIME)
+        plays = assign_slices(plays, slicing, C.TIME)
+    clicks = click_feeder(clicks, click_feeder_mode, slicing)
+    plays = play_feeder(plays, slicing)
     if scope == "display":
-        clicks = classify_clicks(clicks, brand, title=target)
-        clicks = click_feeder(clicks, click_feeder_mode)
         plays = scope_by_title(plays, target)
-    elif scope == "feeder":
-        clicks = click_feeder(classify_clicks(clicks, brand), click_feeder_mode)
+    else:
         clicks = scope_by_feeder(clicks, target)
         plays = scope_by_feeder(plays, target)
-    else:
-        raise ValueError(f"unknown scope {scope!r}")
     if click_feeder_mode == "blank":
         # no window partitioned the clicks; shuffle them on the timeline key
         # so the union keeps one partitioning and the plays move only once
-        clicks = clicks.repartition(C.ACCOUNT, C.DAY)
-    return attribute(sessionize(merge_timeline(clicks, plays)))
+        part = [C.ACCOUNT, C.DAY] + ([SLICE] if slicing is not None else [])
+        clicks = clicks.repartition(*part)
+    return attribute(sessionize(merge_timeline(clicks, plays), slicing))

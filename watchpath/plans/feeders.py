@@ -11,6 +11,7 @@ from watchpath import columns as C
 from watchpath.functions.dates import as_date
 from watchpath.functions.labels import EASTERN, TOP_K
 from watchpath.operators.clicks import click_feeder, classify_clicks, normalize_clicks
+from watchpath.operators.skew import HOT_KEY_ROWS, assign_slices, key_profile, plan_slices
 from watchpath.operators.feeders import (
     COMBINATION,
     conditional_reach,
@@ -26,12 +27,23 @@ from watchpath.sources.tables import Tables
 
 
 def feeder_clicks(tables: Tables, start, end, brand: str, tz: str = EASTERN,
-                  device_like: str | None = None) -> DataFrame:
-    """Classified clicks with the LAG feeder (device scope before the LAG)."""
+                  device_like: str | None = None,
+                  hot_key_rows: int | None = HOT_KEY_ROWS) -> DataFrame:
+    """Classified clicks with the LAG feeder (device scope before the LAG).
+
+    Hot account-days (over ``hot_key_rows`` clicks) are split for the LAG.
+    """
     start, end = as_date(start), as_date(end)
     clicks = normalize_clicks(tables.clickstream(start, end), start, end, tz,
                               with_device=device_like is not None)
-    return click_feeder(classify_clicks(clicks, brand, device_like=device_like))
+    clicks = classify_clicks(clicks, brand, device_like=device_like)
+    slicing = None
+    if hot_key_rows is not None:
+        keys = [C.ACCOUNT, C.DAY]
+        slicing = plan_slices([key_profile(clicks, keys, C.TIME)], keys, hot_key_rows)
+    if slicing is not None:
+        clicks = assign_slices(clicks, slicing, C.TIME)
+    return click_feeder(clicks, "lag", slicing).select(*C.TIMELINE)
 
 
 def series_map(tables: Tables, start, end, per_day: bool = True) -> DataFrame:

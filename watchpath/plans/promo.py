@@ -14,6 +14,7 @@ from watchpath.operators.promo import (
     viewing_order,
 )
 from watchpath.operators.joins import bounded
+from watchpath.operators.skew import HOT_KEY_ROWS
 from watchpath.session import checkpoint_dir
 from watchpath.sources.tables import Tables
 
@@ -40,11 +41,12 @@ def excluded_accounts(tables: Tables, events, history_start, end, target: str, v
 
 
 def promo_reach(tables: Tables, start, end, history_start, origins, target: str,
-                view_titles, cue_prefix: str | None = None, played_only: bool = False):
+                view_titles, cue_prefix: str | None = None, played_only: bool = False,
+                hot_key_rows: int | None = HOT_KEY_ROWS):
     """Reach and hours of the cohort's viewing of ``target`` after a promo event."""
     start, end = as_date(start), as_date(end)
     events = cohort_events(tables, start, end, origins, target, cue_prefix)
     accounts = bounded(promo_accounts(events))       # size-checked once, used twice
     usage = cohort_usage(tables.video(start, end), accounts, start, end, played_only)
     excluded = excluded_accounts(tables, events, history_start, end, target, view_titles, accounts)
-    return promo_reach_hours(events, usage, excluded, target)
+    return promo_reach_hours(events, usage, excluded, target, hot_key_rows)
