@@ -3,9 +3,9 @@
 A broadcast is only safe for a side with a known bound. Dimension-like
 sides here (episode->series maps, channel lists, video lookups, cohort
 account lists) are small in practice but not bounded by construction, so
-they are first computed once into the shared checkpoint folder (cutting
-lineage, surviving executor loss), counted, and broadcast only under
-``max_rows``. Beyond it the join stays a shuffle join, which AQE may still
+they are first written once as a table in the shared checkpoint folder
+(cutting lineage, surviving executor loss), counted, and broadcast only
+under ``max_rows``. Beyond it the join stays a shuffle join, which AQE may still
 turn into a broadcast or split for skew at run time.
 """
 
@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from watchpath.session import checkpoint_dir
+from watchpath.session import materialize
 
 BROADCAST_MAX_ROWS = 2_000_000
 
@@ -27,14 +27,26 @@ def bounded(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """
     if getattr(small, "_size_checked", False):
         return small
-    checkpoint_dir(small.sparkSession)
-    small = small.checkpoint(eager=True)
-    if small.count() <= max_rows:
+    small = materialize(small, "small-side")
+    fits = small.count() <= max_rows
+    if fits:
         small = F.broadcast(small)
     small._size_checked = True
+    small._broadcast = fits
     return small
 
 
+def subset_of(df: DataFrame, parent: DataFrame) -> DataFrame:
+    """``df`` is known to hold at most as many rows as ``parent`` (a filter or
+    semi join of it); when ``parent`` passed the size check, ``df`` is
+    broadcast without a check of its own."""
+    if getattr(parent, "_size_checked", False) and getattr(parent, "_broadcast", False):
+        df = F.broadcast(df)
+        df._size_checked = True
+        df._broadcast = True
+    return df
+
+
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
                max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     return big.join(bounded(small, max_rows), on, how)

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from watchpath.functions.hours import round_hours
 from watchpath.functions.labels import PROMO_CLOCK_SHIFT_HOURS, PROMO_LEAD_MINUTES
 from watchpath.functions.titles import clean_title_promo
-from watchpath.operators.joins import join_small
+from watchpath.operators.joins import join_small, subset_of
 from watchpath.operators.skew import (
     HOT_KEY_ROWS,
     assign_slices,
@@ -97,7 +97,8 @@ def prior_target_viewers(video: DataFrame, accounts: DataFrame, target: str,
     v = video.where(F.col("adobe_date").between(F.lit(since), F.lit(end))
                     & (F.col("num_views_started") > 0)
                     & (F.lower("display_name") == F.lit(target)))
-    return join_small(v, accounts, _in_cohort(), "left_semi").select(ACCOUNT).distinct()
+    viewers = join_small(v, accounts, _in_cohort(), "left_semi").select(ACCOUNT).distinct()
+    return subset_of(viewers, accounts)
 
 
 def viewing_order(video: DataFrame, events: DataFrame, viewers: DataFrame, titles,
@@ -114,21 +115,24 @@ def viewing_order(video: DataFrame, events: DataFrame, viewers: DataFrame, title
                     & (F.col("num_views_started") > 0)
                     & (F.col("num_seconds_played_no_ads") > 0)
                     & F.lower("display_name").isin(*titles))
-    v = join_small(v, viewers.select(ACCOUNT), ACCOUNT, "left_semi")
+    v = join_small(v, viewers, ACCOUNT, "left_semi")
     is_target = F.lower("display_name") == F.lit(target)
     per_account = v.groupBy(ACCOUNT).agg(
         F.min("adobe_timestamp").alias("first_view"),
         F.min(F.when(is_target, F.col("adobe_timestamp"))).alias("first_target_view"))
     last_promo = events.groupBy(F.col("userid").alias(ACCOUNT)).agg(
         F.max("RevisedTimeStamp1").alias("last_promo"))
-    return per_account.join(last_promo, ACCOUNT, "inner")
+    order = per_account.join(last_promo, ACCOUNT, "inner")
+    order._viewers = viewers          # its accounts are a subset of the viewers
+    return order
 
 
 def already_watching(order: DataFrame) -> DataFrame:
     """Accounts whose target viewing came first or preceded a promo event."""
     first, target = F.col("first_view"), F.col("first_target_view")
-    return (order.where(target.isNotNull() & ((target == first) | (target < F.col("last_promo"))))
-            .select(ACCOUNT))
+    excluded = (order.where(target.isNotNull() & ((target == first) | (target < F.col("last_promo"))))
+                .select(ACCOUNT))
+    return subset_of(excluded, getattr(order, "_viewers", order))
 
 
 def promo_reach_hours(events: DataFrame, usage: DataFrame, excluded: DataFrame,

@@ -24,7 +24,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from watchpath.session import checkpoint_dir
+from watchpath.session import materialize
 
 SLICE = "_slice"
 HOT = "_hot"
@@ -60,7 +60,8 @@ class Slicing:
 
 def plan_slices(profiles, keys, max_rows: int = HOT_KEY_ROWS) -> Slicing | None:
     """The hot keys of the combined ``profiles`` and their slice grid, or
-    None when no key exceeds ``max_rows``. Runs one small job."""
+    None when no key exceeds ``max_rows``. Runs one small job (two when
+    some key is hot: the hot-key table is then written once)."""
     keys = list(keys)
     p = reduce(DataFrame.unionByName, profiles)
     p = (p.groupBy(*keys)
@@ -69,12 +70,10 @@ def plan_slices(profiles, keys, max_rows: int = HOT_KEY_ROWS) -> Slicing | None:
     n = F.ceil(F.col("_rows") * OVERSAMPLE / max_rows).cast("long")
     span = F.timestamp_diff("MICROSECOND", F.col("_t0"), F.col("_t1")) + 1
     hot = p.select(*keys, "_t0", n.alias("_n"), F.ceil(span / n).cast("long").alias("_width"))
-    checkpoint_dir(hot.sparkSession)
-    hot = hot.checkpoint(eager=True)
     stats = hot.agg(F.count(F.lit(1)).alias("keys"), F.sum("_n").alias("slices")).first()
     if not stats.keys:
-        return None
-    return Slicing(hot, keys, int(stats.slices))
+        return None                      # the usual case: one small job, plain windows
+    return Slicing(materialize(hot, "hot-keys"), keys, int(stats.slices))
 
 
 def assign_slices(df: DataFrame, slicing: Slicing, order: str) -> DataFrame:

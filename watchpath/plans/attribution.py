@@ -10,7 +10,8 @@ from watchpath.functions.dates import as_date
 from watchpath.functions.labels import EASTERN
 from watchpath.operators.clicks import click_feeder, classify_clicks, normalize_clicks
 from watchpath.operators.plays import play_feeder, play_rows
-from watchpath.operators.skew import HOT_KEY_ROWS, SLICE, assign_slices, key_profile, plan_slices
+from watchpath.operators.skew import HOT_KEY_ROWS, SLICE, assign_slices
+from watchpath.plans.hotkeys import account_day_slicing
 from watchpath.operators.timeline import (
     attribute,
     merge_timeline,
@@ -45,9 +46,7 @@ def attributed_timeline(tables: Tables, start: str | dt.date, end: str | dt.date
     plays = play_rows(tables.video(start, end), start, end)
     slicing = None
     if hot_key_rows is not None:
-        keys = [C.ACCOUNT, C.DAY]
-        slicing = plan_slices([key_profile(clicks, keys, C.TIME), key_profile(plays, keys, C.TIME)],
-                              keys, hot_key_rows)
+        slicing = account_day_slicing(tables, start, end, tz, hot_key_rows)
     if slicing is not None:
         clicks = assign_slices(clicks, slicing, C.TIME)
         plays = assign_slices(plays, slicing, C.TIME)

@@ -11,7 +11,8 @@ from watchpath import columns as C
 from watchpath.functions.dates import as_date
 from watchpath.functions.labels import EASTERN, TOP_K
 from watchpath.operators.clicks import click_feeder, classify_clicks, normalize_clicks
-from watchpath.operators.skew import HOT_KEY_ROWS, assign_slices, key_profile, plan_slices
+from watchpath.operators.skew import HOT_KEY_ROWS, assign_slices
+from watchpath.plans.hotkeys import account_day_slicing
 from watchpath.operators.feeders import (
     COMBINATION,
     conditional_reach,
@@ -39,8 +40,7 @@ def feeder_clicks(tables: Tables, start, end, brand: str, tz: str = EASTERN,
     clicks = classify_clicks(clicks, brand, device_like=device_like)
     slicing = None
     if hot_key_rows is not None:
-        keys = [C.ACCOUNT, C.DAY]
-        slicing = plan_slices([key_profile(clicks, keys, C.TIME)], keys, hot_key_rows)
+        slicing = account_day_slicing(tables, start, end, tz, hot_key_rows)
     if slicing is not None:
         clicks = assign_slices(clicks, slicing, C.TIME)
     return click_feeder(clicks, "lag", slicing).select(*C.TIMELINE)

@@ -1,0 +1,47 @@
+"""Hot account-days of a date scope, shared by every timeline query.
+
+The profile counts raw hits and raw viewings per (account, day): a superset
+of the rows any timeline variant windows over (scopes only remove rows), so
+a key that is cold here is cold everywhere. It is computed once per tables
+object and scope and reused; a stale profile can only make the slicing
+coarser or finer, never change results (rows outside the grid fall into the
+first or last slice, which stays contiguous in time).
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from watchpath import columns as C
+from watchpath.functions.labels import EASTERN
+from watchpath.operators.skew import HOT_KEY_ROWS, Slicing, plan_slices
+from watchpath.sources.tables import Tables
+
+_MEMO: dict[tuple, tuple[Tables, Slicing | None]] = {}
+
+
+def account_day_slicing(tables: Tables, start: dt.date, end: dt.date, tz: str = EASTERN,
+                        max_rows: int = HOT_KEY_ROWS) -> Slicing | None:
+    key = (id(tables), start, end, tz, max_rows)
+    if key in _MEMO and _MEMO[key][0] is tables:
+        return _MEMO[key][1]
+    hit = F.col("post_cust_hit_time_gmt")
+    local = F.convert_timezone(F.lit("UTC"), F.lit(tz), hit)
+    clicks = (tables.clickstream(start, end)
+              .where(F.col("post_evar56").isNotNull() & hit.isNotNull())
+              .select(F.col("post_evar56").alias(C.ACCOUNT), F.to_date(local).alias(C.DAY),
+                      local.alias(C.TIME))
+              .where(F.col(C.DAY).between(F.lit(start), F.lit(end))))
+    plays = (tables.video(start, end)
+             .where(F.col("adobe_tracking_id").isNotNull()
+                    & F.col("adobe_date").between(F.lit(start), F.lit(end)))
+             .select(F.col("adobe_tracking_id").alias(C.ACCOUNT), F.col("adobe_date").alias(C.DAY),
+                     F.col("adobe_timestamp").alias(C.TIME)))
+    keys = [C.ACCOUNT, C.DAY]
+    profiles = [p.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), F.min(C.TIME).alias("_t_min"),
+                                     F.max(C.TIME).alias("_t_max")) for p in (clicks, plays)]
+    slicing = plan_slices(profiles, keys, max_rows)
+    _MEMO[key] = (tables, slicing)
+    return slicing

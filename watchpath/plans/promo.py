@@ -15,7 +15,7 @@ from watchpath.operators.promo import (
 )
 from watchpath.operators.joins import bounded
 from watchpath.operators.skew import HOT_KEY_ROWS
-from watchpath.session import checkpoint_dir
+from watchpath.session import materialize
 from watchpath.sources.tables import Tables
 
 
@@ -26,8 +26,7 @@ def cohort_events(tables: Tables, start, end, origins, target: str,
     clicks = tables.clickstream(start, end)
     events = promo_events(clicks, video_lookup(clicks, start, end), origins, target,
                           start, end, cue_prefix)
-    checkpoint_dir(events.sparkSession)
-    return events.checkpoint(eager=True)
+    return materialize(events, "promo-events")
 
 
 def excluded_accounts(tables: Tables, events, history_start, end, target: str, view_titles,

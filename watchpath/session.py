@@ -56,3 +56,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
         raise RuntimeError("set spark.checkpoint.dir to a shared folder for this cluster")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="watchpath-ckpt-"))
     return sc.getCheckpointDir()
+
+
+def materialize(df, name: str = "table"):
+    """Write ``df`` once as Parquet under the checkpoint folder and read it back.
+
+    Cuts lineage (the files survive executor loss) and gives the optimizer
+    exact sizes for the read-back table. One write job.
+    """
+    import uuid
+
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
