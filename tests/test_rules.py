@@ -20,7 +20,7 @@ from watchpath.functions import (
     start_type,
 )
 
-BRAND = "peacock"
+BRAND = "player"
 
 
 def test_device_family(spark):
@@ -42,27 +42,27 @@ def test_device_family(spark):
 
 START_CASES = [
     # details, player event, start type, title
-    ("series:cue-up||Show A|auto-play", "peacock:home", "Auto-Play", "Show A"),
-    ("series:cue-up||Show A|click", "peacock:home", "Clicked-Up-Next", "Show A"),
-    ("series:cue-up||Show A|dismiss", "peacock:home", "Dismiss", None),
-    ("browse", "peacock:details:Show B", "Manual-Selection", "Show B"),
-    ("deeplink|Show C", "peacock:home", "Manual-Selection", None),
-    ("rail|Show D|click", "peacock:home", "Manual-Selection", "Show D"),
-    ("browse", "peacock:home", None, None),
+    ("series:cue-up||Show A|auto-play", "player:home", "Auto-Play", "Show A"),
+    ("series:cue-up||Show A|click", "player:home", "Clicked-Up-Next", "Show A"),
+    ("series:cue-up||Show A|dismiss", "player:home", "Dismiss", None),
+    ("browse", "player:details:Show B", "Manual-Selection", "Show B"),
+    ("deeplink|Show C", "player:home", "Manual-Selection", None),
+    ("rail|Show D|click", "player:home", "Manual-Selection", "Show D"),
+    ("browse", "player:home", None, None),
     # details are tested first for the type, the player event first for the title
-    ("series:cue-up||Show A|auto-play", "peacock:details:episodes:Show E", "Auto-Play", "Show E"),
-    ("rail|x|click", "peacock:details:upsell:Show F", "Manual-Selection", "Show F"),
-    ("rail|x|click", "peacock:details:more-like-this:Show G", "Manual-Selection", "Show G"),
-    ("rail|x|click", "peacock:details:extras:Show H", "Manual-Selection", "Show H"),
+    ("series:cue-up||Show A|auto-play", "player:details:episodes:Show E", "Auto-Play", "Show E"),
+    ("rail|x|click", "player:details:upsell:Show F", "Manual-Selection", "Show F"),
+    ("rail|x|click", "player:details:more-like-this:Show G", "Manual-Selection", "Show G"),
+    ("rail|x|click", "player:details:extras:Show H", "Manual-Selection", "Show H"),
     # greedy: from the first '||' to the last '|'
-    ("a||b|c||d|auto-play", "peacock:home", "Auto-Play", "b|c||d"),
+    ("a||b|c||d|auto-play", "player:home", "Auto-Play", "b|c||d"),
     # apostrophes are outside the rail title class -> NULL, never ''
-    ("rail|it's|click", "peacock:home", "Manual-Selection", None),
+    ("rail|it's|click", "player:home", "Manual-Selection", None),
     # auto-play detail without '||' -> NULL title, not ''
-    ("x|auto-play", "peacock:home", "Auto-Play", None),
+    ("x|auto-play", "player:home", "Auto-Play", None),
     # prefix removal is unanchored and global
-    ("browse", "x peacock:details:episodes:A peacock:details:episodes:", "Manual-Selection", "x A "),
-    (None, "peacock:details:Show", None, None),
+    ("browse", "x player:details:episodes:A player:details:episodes:", "Manual-Selection", "x A "),
+    (None, "player:details:Show", None, None),
 ]
 
 
@@ -114,8 +114,8 @@ def test_new_watch_time(spark, feeder, title, secs, ep, want):
 
 
 @pytest.mark.parametrize("name,want", [
-    ("NBC", None), ("abcd", None), ("abcde", "abcde"), ("Local TV", None), ("Foo (East)", None),
-    ("WABC-DT", None), ("Foo Premium", None), ("ktvh-dt", None), ("KNBC-X", None),
+    ("ABC", None), ("abcd", None), ("abcde", "abcde"), ("Local TV", None), ("Foo (East)", None),
+    ("WABC-DT", None), ("Foo Premium", None), ("ktvh-dt", None), ("KABC-X", None),
     ("WXYZ-1", None), ("Kgwn.2", "kgwn2"), ("Law & Order: SVU", "law  order svu"), (None, None),
 ])
 def test_series_or_null(spark, name, want):

@@ -17,7 +17,7 @@ from watchpath.operators.skew import (
 from watchpath.plans import params as P
 from watchpath.plans.attribution import attributed_timeline
 from watchpath.plans.feeders import feeder_clicks
-from watchpath.plans.promo import promo_reach
+from watchpath.plans.promo import promo_reach, promo_reach_hourly
 from watchpath.plans.registry import tables
 from watchpath.sources.standin import PLAYER_EVENT_BRAND as BRAND
 
@@ -45,6 +45,8 @@ def test_promo_split_equals_plain(spark):
     t = tables(spark, SF_SMALL)
     args = (t, P.START, P.END, P.HISTORY_START, P.PROMO_ORIGINS, P.TARGET, P.PROMO_VIEW_TITLES)
     assert rows(promo_reach(*args, hot_key_rows=None)) == rows(promo_reach(*args, hot_key_rows=1))
+    plain = promo_reach_hourly(*args, hot_key_rows=None)
+    assert rows(plain) == rows(promo_reach_hourly(*args, hot_key_rows=1))
 
 
 def test_one_bot_account_is_spread_over_slices(spark):

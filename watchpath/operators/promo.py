@@ -24,6 +24,7 @@ from watchpath.operators.skew import (
     assign_slices,
     key_profile,
     plan_slices,
+    stitched_group_sum,
     stitched_window,
 )
 
@@ -176,3 +177,53 @@ def promo_reach_hours(events: DataFrame, usage: DataFrame, excluded: DataFrame,
                  F.sum(F.col("_hours") * F.col("_events_before")).alias("Hours"))
             .select(F.col("_title").alias("Binge_To"), F.col("_title").alias("Show_Watched"),
                     "Reach", "Hours"))
+
+
+def promo_hourly_from(events: DataFrame, usage: DataFrame, excluded: DataFrame, target: str,
+                      hot_key_rows: int | None = HOT_KEY_ROWS) -> DataFrame:
+    """Reach and hours per (event hour, origin title, promoted title, watched title).
+
+    Same credit as ``promo_reach_hours``, seen from the events: an event
+    gets the hours of every later usage row (usage time > event time − lead)
+    of its account and title, i.e. the title total minus the running sum up
+    to the event. Reach counts accounts with an event that has later usage.
+    """
+    ev_title = clean_title_promo("show2")
+    ev = events.where((F.col("show2") != F.col("post_evar72")) & ev_title.like(f"%{target}%"))
+    ev = join_small(ev, excluded.select(F.col(ACCOUNT).alias("userid")), "userid", "left_anti")
+    ev = ev.select(
+        F.col("userid").alias("_acct"), ev_title.alias("_title"),
+        (F.col("RevisedTimeStamp1") - F.make_dt_interval(mins=F.lit(PROMO_LEAD_MINUTES))).alias("_t"),
+        F.lit(1).alias("_ev"), F.lit(None).cast("double").alias("_hours"),
+        F.date_trunc("hour", "RevisedTimeStamp1").alias("Binge_Hour"),
+        clean_title_promo("post_evar72").alias("Binge_From"))
+    us_title = clean_title_promo("theshow")
+    us = usage.where(us_title.like(f"%{target}%")).select(
+        F.col(ACCOUNT).alias("_acct"), us_title.alias("_title"),
+        F.col("adobe_timestamp").alias("_t"), F.lit(0).alias("_ev"),
+        F.col("hours_watched").alias("_hours"),
+        F.lit(None).cast("timestamp_ntz").alias("Binge_Hour"), F.lit(None).cast("string").alias("Binge_From"))
+    timeline = ev.unionByName(us).withColumn("_all", F.lit(0))
+    keys = ["_acct", "_title"]
+    slicing = None
+    if hot_key_rows is not None:
+        slicing = plan_slices([key_profile(timeline, keys, "_t")], keys, hot_key_rows)
+    if slicing is not None:
+        timeline = assign_slices(timeline, slicing, "_t")
+    is_use = (F.col("_ev") == 0).cast("long")
+    # ascending (time, kind): at an event row the prefix holds usage with time <= event key
+    scanned = stitched_window(timeline, keys, ["_t", "_ev"],
+                              running=[("_h_upto", F.coalesce("_hours", F.lit(0.0)) * is_use),
+                                       ("_n_upto", is_use)], slicing=slicing)
+    scanned = stitched_group_sum(scanned, keys, "_all", F.coalesce("_hours", F.lit(0.0)) * is_use,
+                                 "_h_all", slicing=slicing)
+    scanned = stitched_group_sum(scanned, keys, "_all", is_use, "_n_all", slicing=slicing)
+    per_event = scanned.where(F.col("_ev") == 1).select(
+        "_acct", "Binge_Hour", "Binge_From", "_title",
+        (F.col("_h_all") - F.col("_h_upto")).alias("_h_after"),
+        (F.col("_n_all") - F.col("_n_upto")).alias("_n_after"))
+    return (per_event.where(F.col("_n_after") > 0)
+            .groupBy("Binge_Hour", "Binge_From", "_title")
+            .agg(F.countDistinct("_acct").alias("Reach"), F.sum("_h_after").alias("Hours"))
+            .select("Binge_Hour", "Binge_From", F.col("_title").alias("Binge_To"),
+                    F.col("_title").alias("Show_Watched"), "Reach", "Hours"))

@@ -9,6 +9,7 @@ from watchpath.operators.promo import (
     prior_target_viewers,
     promo_accounts,
     promo_events,
+    promo_hourly_from,
     promo_reach_hours,
     video_lookup,
     viewing_order,
@@ -49,3 +50,14 @@ def promo_reach(tables: Tables, start, end, history_start, origins, target: str,
     usage = cohort_usage(tables.video(start, end), accounts, start, end, played_only)
     excluded = excluded_accounts(tables, events, history_start, end, target, view_titles, accounts)
     return promo_reach_hours(events, usage, excluded, target, hot_key_rows)
+
+
+def promo_reach_hourly(tables: Tables, start, end, history_start, origins, target: str,
+                       view_titles, hot_key_rows: int | None = HOT_KEY_ROWS):
+    """The promo report per event hour and origin title."""
+    start, end = as_date(start), as_date(end)
+    events = cohort_events(tables, start, end, origins, target)
+    accounts = bounded(promo_accounts(events))
+    usage = cohort_usage(tables.video(start, end), accounts, start, end)
+    excluded = excluded_accounts(tables, events, history_start, end, target, view_titles, accounts)
+    return promo_hourly_from(events, usage, excluded, target, hot_key_rows)

@@ -296,6 +296,11 @@ def q_promo_reach_hours(s, d):
                           P.TARGET, P.PROMO_VIEW_TITLES)
 
 
+def q_promo_hourly_from(s, d):
+    return PP.promo_reach_hourly(tables(s, d), P.START, P.END, P.HISTORY_START, P.PROMO_ORIGINS,
+                                 P.TARGET, P.PROMO_VIEW_TITLES)
+
+
 def q_optional_predicates(s, d):
     return PP.promo_reach(tables(s, d), P.START, P.END, P.HISTORY_START, P.PROMO_ORIGINS,
                           P.TARGET, P.PROMO_VIEW_TITLES, cue_prefix=P.CUE_PREFIX,
@@ -351,5 +356,6 @@ def queries() -> dict[str, Query]:
         "feeder_destination_pairs": q_feeder_destination_pairs,
         "device_top_feeders": q_device_top_feeders,
         "minor_feeder_fold": q_minor_feeder_fold,
+        "promo_hourly_from": q_promo_hourly_from,
         "optional_predicates": q_optional_predicates,
     }

@@ -20,7 +20,7 @@ from watchpath.functions.labels import EASTERN
 from watchpath.sources.tables import Tables
 
 # --- fixed values of the stand-in format ----------------------------------
-PLAYER_EVENT_BRAND = "peacock"
+PLAYER_EVENT_BRAND = "player"
 TITLES = (
     "alpha show", "Bravo: Live!", "charlie trailer", "Alpha Show", "view-all",
     "alpha show", "Delta", "Echo & Co.", "Alpha Show", "Foxtrot",
@@ -32,7 +32,7 @@ DEVICE_CODES = ("x:1001", "x:2002", None)
 SHOWS = ("Bravo: Live!", "charlie", "Charlie Trailer", "other")
 CLICK_PATHS = ("cue|Alpha Show|auto-play", "cue|alpha show|click",
                "cue|alpha show trailer|click", "cue|alpha show|view", "cue|alpha show|view")
-STATIONS = ("WXYZ-DT", "KAB1-X", "NBC", "Local TV")
+STATIONS = ("WXYZ-DT", "KAB1-X", "ABC", "Local TV")
 EPISODES = ("alpha show", "Charlie Trailer", "Pilot")
 CHANNELS = ("Bravo Live", "N/A", "N/A", None, None, None)
 PROGRAMS = ("alpha show", "Alpha: Show", "Bravo: Live!")
