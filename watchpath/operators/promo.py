@@ -179,6 +179,13 @@ def promo_reach_hours(events: DataFrame, usage: DataFrame, excluded: DataFrame,
                     "Reach", "Hours"))
 
 
+def _hour_ntz(ts):
+    """Wall-clock hour of a timestamp_ntz, without any zone (date_trunc would
+    go through the session zone and return a zoned timestamp)."""
+    return F.make_timestamp_ntz(F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts),
+                                F.lit(0), F.lit(0))
+
+
 def promo_hourly_from(events: DataFrame, usage: DataFrame, excluded: DataFrame, target: str,
                       hot_key_rows: int | None = HOT_KEY_ROWS) -> DataFrame:
     """Reach and hours per (event hour, origin title, promoted title, watched title).
@@ -195,7 +202,7 @@ def promo_hourly_from(events: DataFrame, usage: DataFrame, excluded: DataFrame,
         F.col("userid").alias("_acct"), ev_title.alias("_title"),
         (F.col("RevisedTimeStamp1") - F.make_dt_interval(mins=F.lit(PROMO_LEAD_MINUTES))).alias("_t"),
         F.lit(1).alias("_ev"), F.lit(None).cast("double").alias("_hours"),
-        F.date_trunc("hour", "RevisedTimeStamp1").alias("Binge_Hour"),
+        _hour_ntz(F.col("RevisedTimeStamp1")).alias("Binge_Hour"),
         clean_title_promo("post_evar72").alias("Binge_From"))
     us_title = clean_title_promo("theshow")
     us = usage.where(us_title.like(f"%{target}%")).select(
