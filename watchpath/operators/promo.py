@@ -24,6 +24,7 @@ from watchpath.operators.skew import (
     assign_slices,
     key_profile,
     plan_slices,
+    remembered_slices,
     stitched_group_sum,
     stitched_window,
 )
@@ -137,7 +138,8 @@ def already_watching(order: DataFrame) -> DataFrame:
 
 
 def promo_reach_hours(events: DataFrame, usage: DataFrame, excluded: DataFrame,
-                      target: str, hot_key_rows: int | None = HOT_KEY_ROWS) -> DataFrame:
+                      target: str, hot_key_rows: int | None = HOT_KEY_ROWS,
+                      remember=None) -> DataFrame:
     """Reach and hours per (promoted title, watched title).
 
     A usage row counts for every promo event of the same account and title
@@ -165,7 +167,7 @@ def promo_reach_hours(events: DataFrame, usage: DataFrame, excluded: DataFrame,
     keys = ["_acct", "_title"]
     slicing = None
     if hot_key_rows is not None:
-        slicing = plan_slices([key_profile(timeline, keys, "_t")], keys, hot_key_rows)
+        slicing = _slicing(timeline, keys, hot_key_rows, remember)
     if slicing is not None:
         timeline = assign_slices(timeline, slicing, "_t")
     # RANGE frame over (time, kind): a usage row sees the events strictly before it
@@ -179,6 +181,17 @@ def promo_reach_hours(events: DataFrame, usage: DataFrame, excluded: DataFrame,
                     "Reach", "Hours"))
 
 
+def _slicing(timeline, keys, hot_key_rows, remember):
+    """Hot account-titles of the promo timeline; ``remember=(owner, params)``
+    lets a plan reuse the profile across runs (see ``remembered_slices``)."""
+    def build():
+        return plan_slices([key_profile(timeline, keys, "_t")], keys, hot_key_rows)
+    if remember is None:
+        return build()
+    owner, params = remember
+    return remembered_slices(owner, (*params, hot_key_rows), build)
+
+
 def _hour_ntz(ts):
     """Wall-clock hour of a timestamp_ntz, without any zone (date_trunc would
     go through the session zone and return a zoned timestamp)."""
@@ -187,7 +200,7 @@ def _hour_ntz(ts):
 
 
 def promo_hourly_from(events: DataFrame, usage: DataFrame, excluded: DataFrame, target: str,
-                      hot_key_rows: int | None = HOT_KEY_ROWS) -> DataFrame:
+                      hot_key_rows: int | None = HOT_KEY_ROWS, remember=None) -> DataFrame:
     """Reach and hours per (event hour, origin title, promoted title, watched title).
 
     Same credit as ``promo_reach_hours``, seen from the events: an event
@@ -214,7 +227,7 @@ def promo_hourly_from(events: DataFrame, usage: DataFrame, excluded: DataFrame,
     keys = ["_acct", "_title"]
     slicing = None
     if hot_key_rows is not None:
-        slicing = plan_slices([key_profile(timeline, keys, "_t")], keys, hot_key_rows)
+        slicing = _slicing(timeline, keys, hot_key_rows, remember)
     if slicing is not None:
         timeline = assign_slices(timeline, slicing, "_t")
     is_use = (F.col("_ev") == 0).cast("long")

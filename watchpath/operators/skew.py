@@ -76,6 +76,25 @@ def plan_slices(profiles, keys, max_rows: int = HOT_KEY_ROWS) -> Slicing | None:
     return Slicing(materialize(hot, "hot-keys"), keys, int(stats.slices))
 
 
+_MEMO: dict[tuple, tuple[object, "Slicing | None"]] = {}
+
+
+def remembered_slices(owner, params: tuple, build) -> Slicing | None:
+    """``build()`` once per (owner object, params) and reuse the result.
+
+    A slicing only sets how finely hot keys are cut; reusing one computed on
+    older data can change task sizes but never results, so plans may share
+    it between runs over the same tables.
+    """
+    key = (id(owner), *params)
+    hit = _MEMO.get(key)
+    if hit is not None and hit[0] is owner:
+        return hit[1]
+    slicing = build()
+    _MEMO[key] = (owner, slicing)
+    return slicing
+
+
 def assign_slices(df: DataFrame, slicing: Slicing, order: str) -> DataFrame:
     """Adds ``_slice`` (0 for ordinary keys) and ``_hot``; rows of a hot key
     fall into equal-time slices in time order."""

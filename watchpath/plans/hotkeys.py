@@ -16,17 +16,16 @@ from pyspark.sql import functions as F
 
 from watchpath import columns as C
 from watchpath.functions.labels import EASTERN
-from watchpath.operators.skew import HOT_KEY_ROWS, Slicing, plan_slices
+from watchpath.operators.skew import HOT_KEY_ROWS, Slicing, plan_slices, remembered_slices
 from watchpath.sources.tables import Tables
 
-_MEMO: dict[tuple, tuple[Tables, Slicing | None]] = {}
-
-
 def account_day_slicing(tables: Tables, start: dt.date, end: dt.date, tz: str = EASTERN,
                         max_rows: int = HOT_KEY_ROWS) -> Slicing | None:
-    key = (id(tables), start, end, tz, max_rows)
-    if key in _MEMO and _MEMO[key][0] is tables:
-        return _MEMO[key][1]
+    return remembered_slices(tables, ("account-day", start, end, tz, max_rows),
+                             lambda: _profile(tables, start, end, tz, max_rows))
+
+
+def _profile(tables: Tables, start, end, tz, max_rows) -> Slicing | None:
     hit = F.col("post_cust_hit_time_gmt")
     local = F.convert_timezone(F.lit("UTC"), F.lit(tz), hit)
     clicks = (tables.clickstream(start, end)
@@ -42,6 +41,4 @@ def account_day_slicing(tables: Tables, start: dt.date, end: dt.date, tz: str =
     keys = [C.ACCOUNT, C.DAY]
     profiles = [p.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), F.min(C.TIME).alias("_t_min"),
                                      F.max(C.TIME).alias("_t_max")) for p in (clicks, plays)]
-    slicing = plan_slices(profiles, keys, max_rows)
-    _MEMO[key] = (tables, slicing)
-    return slicing
+    return plan_slices(profiles, keys, max_rows)

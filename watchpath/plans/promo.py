@@ -49,7 +49,9 @@ def promo_reach(tables: Tables, start, end, history_start, origins, target: str,
     accounts = bounded(promo_accounts(events))       # size-checked once, used twice
     usage = cohort_usage(tables.video(start, end), accounts, start, end, played_only)
     excluded = excluded_accounts(tables, events, history_start, end, target, view_titles, accounts)
-    return promo_reach_hours(events, usage, excluded, target, hot_key_rows)
+    remember = (tables, ("reach", start, end, history_start, tuple(origins), target,
+                         tuple(view_titles), cue_prefix, played_only))
+    return promo_reach_hours(events, usage, excluded, target, hot_key_rows, remember)
 
 
 def promo_reach_hourly(tables: Tables, start, end, history_start, origins, target: str,
@@ -60,4 +62,6 @@ def promo_reach_hourly(tables: Tables, start, end, history_start, origins, targe
     accounts = bounded(promo_accounts(events))
     usage = cohort_usage(tables.video(start, end), accounts, start, end)
     excluded = excluded_accounts(tables, events, history_start, end, target, view_titles, accounts)
-    return promo_hourly_from(events, usage, excluded, target, hot_key_rows)
+    remember = (tables, ("hourly", start, end, history_start, tuple(origins), target,
+                         tuple(view_titles)))
+    return promo_hourly_from(events, usage, excluded, target, hot_key_rows, remember)
