@@ -105,3 +105,30 @@ def test_blank_and_null_feeders_differ(spark):
     df = spark.createDataFrame(rows, TL_SCHEMA)
     out = {r[C.ACCOUNT]: r[C.START_TYPE] for r in attribute(sessionize(df)).collect()}
     assert out == {"a": "Manual-Selection", "b": "Vdo_End"}     # R1 vs '' failing R6-R8
+
+
+def test_tied_series_duplicate_the_click(spark):
+    from watchpath.operators.feeders import episode_series_map, feeder_to_series
+
+    counts = spark.createDataFrame(
+        [(D, "ep one", "series a", 5), (D, "ep one", "series b", 5), (D, "ep one", "series c", 2)],
+        f"{C.DAY} date, Episode string, Series string, Display_Time bigint")
+    mapping = episode_series_map(counts)
+    assert sorted(r.Series for r in mapping.collect()) == ["series a", "series b"]
+    clicks = spark.createDataFrame([row(T(2024, 1, 5, 9, 0), "Auto-Play", "Ep: One!", "B", None),
+                                    row(T(2024, 1, 5, 9, 1), "Auto-Play", "Other.", "C", None)],
+                                   TL_SCHEMA)
+    got = sorted((r[C.FEEDER], r.Combination) for r in feeder_to_series(clicks, mapping).collect())
+    assert got == [("Ep: One!", "series a"), ("Ep: One!", "series b"), ("Other.", "other")]
+
+
+def test_zero_day_total_gives_null_share(spark):
+    from watchpath.operators.share import autoplay_share
+
+    attributed = spark.createDataFrame(
+        [("a", D, T(2024, 1, 5, 9, 0), None, "Auto-Play", "", "X", "", "Dest", "", 0, 0)],
+        f"{C.ACCOUNT} string, {C.DAY} date, {C.TIME} timestamp_ntz, {C.LAST_ACTION} string, "
+        f"{C.START_TYPE} string, {C.DEVICE} string, {C.FEEDER} string, {C.FEEDER_ID} string, "
+        f"{C.TITLE} string, {C.VIDEO_ID} string, {C.SECONDS} bigint, {C.WATCH_TIME} bigint")
+    r = autoplay_share(attributed, ["dest"]).first()
+    assert (r.Total_Watch_Time, r.New_Watch_Times, r.Prc_of_Total) == (0.0, 0.0, None)
