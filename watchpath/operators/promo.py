@@ -89,7 +89,10 @@ def cohort_usage(video: DataFrame, accounts: DataFrame, start: dt.date, end: dt.
     if played_only:
         keep = keep & (F.col("num_seconds_played_no_ads") > 0)
     v = join_small(video.where(keep), accounts, _in_cohort(), "left_semi")
-    return (v.groupBy("adobe_timestamp", ACCOUNT, F.lower("program").alias("theshow"))
+    # every later step is per account: partition by it once, the grouping
+    # (which includes the account) then needs no shuffle of its own
+    return (v.repartition(ACCOUNT)
+            .groupBy("adobe_timestamp", ACCOUNT, F.lower("program").alias("theshow"))
             .agg(round_hours(F.sum("num_seconds_played_no_ads"), 0).alias("hours_watched")))
 
 
@@ -153,7 +156,7 @@ def promo_reach_hours(events: DataFrame, usage: DataFrame, excluded: DataFrame,
     """
     ev_title = clean_title_promo("show2")
     ev = events.where((F.col("show2") != F.col("post_evar72")) & ev_title.like(f"%{target}%"))
-    ev = join_small(ev, excluded.select(F.col(ACCOUNT).alias("userid")), "userid", "left_anti")
+    ev = join_small(ev, excluded, F.col("userid") == F.col(ACCOUNT), "left_anti")
     ev = ev.select(
         F.col("userid").alias("_acct"), ev_title.alias("_title"),
         (F.col("RevisedTimeStamp1") - F.make_dt_interval(mins=F.lit(PROMO_LEAD_MINUTES))).alias("_t"),
@@ -163,13 +166,16 @@ def promo_reach_hours(events: DataFrame, usage: DataFrame, excluded: DataFrame,
         F.col(ACCOUNT).alias("_acct"), us_title.alias("_title"),
         F.col("adobe_timestamp").alias("_t"), F.lit(0).alias("_ev"),
         F.col("hours_watched").alias("_hours"))
-    timeline = ev.unionByName(us)
     keys = ["_acct", "_title"]
     slicing = None
     if hot_key_rows is not None:
-        slicing = _slicing(timeline, keys, hot_key_rows, remember)
+        slicing = _slicing(ev.unionByName(us), keys, hot_key_rows, remember)
     if slicing is not None:
-        timeline = assign_slices(timeline, slicing, "_t")
+        timeline = assign_slices(ev.unionByName(us), slicing, "_t")
+    else:
+        # usage arrives partitioned by account; events join it there, so the
+        # window below reuses that partitioning instead of shuffling both again
+        timeline = ev.repartition("_acct").unionByName(us)
     # RANGE frame over (time, kind): a usage row sees the events strictly before it
     credited = (stitched_window(timeline, keys, ["_t", "_ev"],
                                 running=[("_events_before", F.col("_ev"))], slicing=slicing)
@@ -210,7 +216,7 @@ def promo_hourly_from(events: DataFrame, usage: DataFrame, excluded: DataFrame,
     """
     ev_title = clean_title_promo("show2")
     ev = events.where((F.col("show2") != F.col("post_evar72")) & ev_title.like(f"%{target}%"))
-    ev = join_small(ev, excluded.select(F.col(ACCOUNT).alias("userid")), "userid", "left_anti")
+    ev = join_small(ev, excluded, F.col("userid") == F.col(ACCOUNT), "left_anti")
     ev = ev.select(
         F.col("userid").alias("_acct"), ev_title.alias("_title"),
         (F.col("RevisedTimeStamp1") - F.make_dt_interval(mins=F.lit(PROMO_LEAD_MINUTES))).alias("_t"),
