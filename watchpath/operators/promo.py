@@ -140,19 +140,14 @@ def already_watching(order: DataFrame) -> DataFrame:
     return subset_of(excluded, getattr(order, "_viewers", order))
 
 
-def promo_reach_hours(events: DataFrame, usage: DataFrame, excluded: DataFrame,
-                      target: str, hot_key_rows: int | None = HOT_KEY_ROWS,
-                      remember=None) -> DataFrame:
-    """Reach and hours per (promoted title, watched title).
-
-    A usage row counts for every promo event of the same account and title
-    placed less than ``PROMO_LEAD_MINUTES`` after it, and its hours are
-    credited once per such event (as published). Events of excluded
-    accounts are dropped. The count of qualifying events per usage row is a
-    running sum over the account-title timeline ordered by time, events
-    sorting after usage rows at equal times (the bound is strict). An
-    account-title with more than ``hot_key_rows`` rows is split into time
-    slices and stitched (``operators.skew``).
+def _promo_timeline(events: DataFrame, usage: DataFrame, excluded: DataFrame, target: str,
+                    hot_key_rows, remember, event_cols=()):
+    """Promo events (of accounts not excluded) and cohort usage of titles
+    containing ``target`` as one (account, title) timeline, with its slicing.
+
+    Events are placed ``PROMO_LEAD_MINUTES`` early, so "usage after the
+    event minus the lead" becomes "later on the timeline"; kind 1 = event,
+    0 = usage, and usage sorts first at equal times (the bound is strict).
     """
     ev_title = clean_title_promo("show2")
     ev = events.where((F.col("show2") != F.col("post_evar72")) & ev_title.like(f"%{target}%"))
@@ -160,23 +155,41 @@ def promo_reach_hours(events: DataFrame, usage: DataFrame, excluded: DataFrame,
     ev = ev.select(
         F.col("userid").alias("_acct"), ev_title.alias("_title"),
         (F.col("RevisedTimeStamp1") - F.make_dt_interval(mins=F.lit(PROMO_LEAD_MINUTES))).alias("_t"),
-        F.lit(1).alias("_ev"), F.lit(None).cast("double").alias("_hours"))
+        F.lit(1).alias("_ev"), F.lit(None).cast("double").alias("_hours"),
+        *[c.alias(name) for name, c, _ in event_cols])
     us_title = clean_title_promo("theshow")
     us = usage.where(us_title.like(f"%{target}%")).select(
         F.col(ACCOUNT).alias("_acct"), us_title.alias("_title"),
         F.col("adobe_timestamp").alias("_t"), F.lit(0).alias("_ev"),
-        F.col("hours_watched").alias("_hours"))
+        F.col("hours_watched").alias("_hours"),
+        *[F.lit(None).cast(kind).alias(name) for name, _, kind in event_cols])
     keys = ["_acct", "_title"]
     slicing = None
     if hot_key_rows is not None:
         slicing = _slicing(ev.unionByName(us), keys, hot_key_rows, remember)
     if slicing is not None:
-        timeline = assign_slices(ev.unionByName(us), slicing, "_t")
-    else:
-        # usage arrives partitioned by account; events join it there, so the
-        # window below reuses that partitioning instead of shuffling both again
-        timeline = ev.repartition("_acct").unionByName(us)
-    # RANGE frame over (time, kind): a usage row sees the events strictly before it
+        return assign_slices(ev.unionByName(us), slicing, "_t"), keys, slicing
+    # usage arrives partitioned by account; events join it there, so the
+    # windows reuse that partitioning instead of shuffling both again
+    return ev.repartition("_acct").unionByName(us), keys, None
+
+
+def promo_reach_hours(events: DataFrame, usage: DataFrame, excluded: DataFrame,
+                      target: str, hot_key_rows: int | None = HOT_KEY_ROWS,
+                      remember=None) -> DataFrame:
+    """Reach and hours per (promoted title, watched title).
+
+    A usage row counts for every promo event of the same account and title
+    placed less than ``PROMO_LEAD_MINUTES`` after it, and its hours are
+    credited once per such event (as published). Events of excluded
+    accounts are dropped. The count of qualifying events per usage row is a
+    running sum over the account-title timeline (RANGE frame over time and
+    kind: a usage row sees the events strictly before it). An account-title
+    with more than ``hot_key_rows`` rows is split into time slices and
+    stitched (``operators.skew``).
+    """
+    timeline, keys, slicing = _promo_timeline(events, usage, excluded, target,
+                                              hot_key_rows, remember)
     credited = (stitched_window(timeline, keys, ["_t", "_ev"],
                                 running=[("_events_before", F.col("_ev"))], slicing=slicing)
                 .where((F.col("_ev") == 0) & (F.col("_events_before") > 0)))
@@ -210,46 +223,32 @@ def promo_hourly_from(events: DataFrame, usage: DataFrame, excluded: DataFrame,
     """Reach and hours per (event hour, origin title, promoted title, watched title).
 
     Same credit as ``promo_reach_hours``, seen from the events: an event
-    gets the hours of every later usage row (usage time > event time − lead)
-    of its account and title, i.e. the title total minus the running sum up
-    to the event. Reach counts accounts with an event that has later usage.
+    gets the hours of every later usage row of its account and title, i.e.
+    the title's totals minus the running sums up to the event. Reach counts
+    accounts with an event that has later usage; hours stay NULL when every
+    credited usage row has NULL hours, as a SUM over the pairs would.
     """
-    ev_title = clean_title_promo("show2")
-    ev = events.where((F.col("show2") != F.col("post_evar72")) & ev_title.like(f"%{target}%"))
-    ev = join_small(ev, excluded, F.col("userid") == F.col(ACCOUNT), "left_anti")
-    ev = ev.select(
-        F.col("userid").alias("_acct"), ev_title.alias("_title"),
-        (F.col("RevisedTimeStamp1") - F.make_dt_interval(mins=F.lit(PROMO_LEAD_MINUTES))).alias("_t"),
-        F.lit(1).alias("_ev"), F.lit(None).cast("double").alias("_hours"),
-        _hour_ntz(F.col("RevisedTimeStamp1")).alias("Binge_Hour"),
-        clean_title_promo("post_evar72").alias("Binge_From"))
-    us_title = clean_title_promo("theshow")
-    us = usage.where(us_title.like(f"%{target}%")).select(
-        F.col(ACCOUNT).alias("_acct"), us_title.alias("_title"),
-        F.col("adobe_timestamp").alias("_t"), F.lit(0).alias("_ev"),
-        F.col("hours_watched").alias("_hours"),
-        F.lit(None).cast("timestamp_ntz").alias("Binge_Hour"), F.lit(None).cast("string").alias("Binge_From"))
-    timeline = ev.unionByName(us).withColumn("_all", F.lit(0))
-    keys = ["_acct", "_title"]
-    slicing = None
-    if hot_key_rows is not None:
-        slicing = _slicing(timeline, keys, hot_key_rows, remember)
-    if slicing is not None:
-        timeline = assign_slices(timeline, slicing, "_t")
-    is_use = (F.col("_ev") == 0).cast("long")
-    # ascending (time, kind): at an event row the prefix holds usage with time <= event key
-    scanned = stitched_window(timeline, keys, ["_t", "_ev"],
-                              running=[("_h_upto", F.coalesce("_hours", F.lit(0.0)) * is_use),
-                                       ("_n_upto", is_use)], slicing=slicing)
-    scanned = stitched_group_sum(scanned, keys, "_all", F.coalesce("_hours", F.lit(0.0)) * is_use,
-                                 "_h_all", slicing=slicing)
-    scanned = stitched_group_sum(scanned, keys, "_all", is_use, "_n_all", slicing=slicing)
+    event_cols = [("Binge_Hour", _hour_ntz(F.col("RevisedTimeStamp1")), "timestamp_ntz"),
+                  ("Binge_From", clean_title_promo("post_evar72"), "string")]
+    timeline, keys, slicing = _promo_timeline(events, usage, excluded, target,
+                                              hot_key_rows, remember, event_cols)
+    use = (F.col("_ev") == 0).cast("long")
+    hours = F.coalesce("_hours", F.lit(0.0)) * use
+    has_hours = (F.col("_hours").isNotNull() & (F.col("_ev") == 0)).cast("long")
+    scanned = stitched_window(timeline, keys, ["_t", "_ev"], slicing=slicing,
+                              running=[("_h_upto", hours), ("_n_upto", use), ("_k_upto", has_hours)])
+    scanned = scanned.withColumn("_all", F.lit(0))
+    for name, expr in (("_h_all", hours), ("_n_all", use), ("_k_all", has_hours)):
+        scanned = stitched_group_sum(scanned, keys, "_all", expr, name, slicing=slicing)
     per_event = scanned.where(F.col("_ev") == 1).select(
         "_acct", "Binge_Hour", "Binge_From", "_title",
         (F.col("_h_all") - F.col("_h_upto")).alias("_h_after"),
-        (F.col("_n_all") - F.col("_n_upto")).alias("_n_after"))
+        (F.col("_n_all") - F.col("_n_upto")).alias("_n_after"),
+        (F.col("_k_all") - F.col("_k_upto")).alias("_k_after"))
     return (per_event.where(F.col("_n_after") > 0)
             .groupBy("Binge_Hour", "Binge_From", "_title")
-            .agg(F.countDistinct("_acct").alias("Reach"), F.sum("_h_after").alias("Hours"))
+            .agg(F.countDistinct("_acct").alias("Reach"), F.sum("_h_after").alias("_h"),
+                 F.sum("_k_after").alias("_k"))
             .select("Binge_Hour", "Binge_From", F.col("_title").alias("Binge_To"),
-                    F.col("_title").alias("Show_Watched"), "Reach", "Hours"))
+                    F.col("_title").alias("Show_Watched"), "Reach",
+                    F.when(F.col("_k") > 0, F.col("_h")).alias("Hours")))
