@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from watchpath.functions.memo import memo_column
 
+
+@memo_column
 def device_family(platform: str | Column = "post_evar37",
                   code: str | Column = "post_evar53",
                   cast: str | Column = "post_evar106") -> Column:

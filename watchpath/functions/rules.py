@@ -14,8 +14,10 @@ from watchpath.functions.labels import (
     UNATTRIBUTED,
     UP_NEXT,
 )
+from watchpath.functions.memo import memo_column
 
 
+@memo_column
 def attributed_start_type(short_view_seconds: int = SHORT_VIEW_SECONDS) -> Column:
     """Ten ordered rules, first match wins (three-valued logic as in SQL).
 
@@ -40,6 +42,7 @@ def attributed_start_type(short_view_seconds: int = SHORT_VIEW_SECONDS) -> Colum
     )
 
 
+@memo_column
 def new_watch_time() -> Column:
     """Head of a run: own seconds plus the run's continuation seconds; else 0."""
     feeder, title = F.col(C.FEEDER), F.col(C.TITLE)

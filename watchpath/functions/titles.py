@@ -20,6 +20,7 @@ from watchpath.functions.labels import (
     TITLE_STRIP_CHARS,
     UP_NEXT,
 )
+from watchpath.functions.memo import memo_column
 
 
 def _col(c: str | Column) -> Column:
@@ -35,6 +36,7 @@ def _extract_or_null(c: Column, pattern: str) -> Column:
     return F.when(c.rlike(pattern), F.regexp_extract(c, pattern, 1))
 
 
+@memo_column
 def start_type(details: str | Column = "Binge_Details",
                player_event: str | Column = "Player_Event") -> Column:
     """How a click started a viewing; NULL when it is not a start signal.
@@ -53,6 +55,7 @@ def start_type(details: str | Column = "Binge_Details",
     )
 
 
+@memo_column
 def clicked_title(details: str | Column = "Binge_Details",
                   player_event: str | Column = "Player_Event",
                   brand: str = "") -> Column:
@@ -79,16 +82,19 @@ def clicked_title(details: str | Column = "Binge_Details",
     )
 
 
+@memo_column
 def clean_title(c: str | Column, chars: str = TITLE_STRIP_CHARS) -> Column:
     """Lower-case and drop punctuation, the join key of feeders and series."""
     return F.translate(F.lower(_col(c)), chars, "")
 
 
+@memo_column
 def clean_title_promo(c: str | Column) -> Column:
     """Cleaning used by the promo report: drop ``. & _ ' :`` then lower-case."""
     return clean_title(c, PROMO_STRIP_CHARS)
 
 
+@memo_column
 def series_or_null(display_name: str | Column = "display_name") -> Column:
     """Cleaned series name, NULL when the name is a station or platform."""
     dn = _col(display_name)

@@ -44,19 +44,20 @@ class LakeTables(Tables):
     video_path: str
     click_date_col: str = "adobe_date_est"
     video_date_col: str = "adobe_date"
+    source: str = "parquet"          # "parquet": paths; "table": catalog table names
 
     def __post_init__(self):
+        if self.source not in ("parquet", "table"):
+            raise ValueError(f"unknown source {self.source!r}")
         self._frames: dict[str, DataFrame] = {}
 
-    def _read(self, path: str) -> DataFrame:
+    def _read(self, name: str) -> DataFrame:
         """The table's DataFrame, resolved once per ``LakeTables`` (listing,
         partition discovery and footers are read once; filters are added per call)."""
-        if path not in self._frames:
-            if "/" in path or "." not in path:
-                self._frames[path] = self.spark.read.parquet(path)
-            else:
-                self._frames[path] = self.spark.table(path)
-        return self._frames[path]
+        if name not in self._frames:
+            reader = self.spark.read.parquet if self.source == "parquet" else self.spark.table
+            self._frames[name] = reader(name)
+        return self._frames[name]
 
     def clickstream(self, start=None, end=None) -> DataFrame:
         df = self._read(self.clickstream_path)
