@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from watchpath import columns as C
 from watchpath.functions.hours import hour_hundredths
 from watchpath.functions.labels import AUTO_PLAY, MINOR_FEEDER_SHARE, UNATTRIBUTED
+from watchpath.session import materialize
 
 
 def _hours(hundredths: str) -> F.Column:
@@ -43,15 +44,29 @@ def autoplay_share(attributed: DataFrame, titles) -> DataFrame:
 
     Accounts are summed across case variants (an account seen under two
     spellings counts twice, as published). Hours are sums of the rounded
-    per-variant hours, added exactly in hundredths. The day totals have one
-    row per day, so they are broadcast. A zero day total gives a NULL share.
+    per-variant hours, added exactly in hundredths. The attributed rows are
+    aggregated once per (day, feeder, title), carrying both the all-rows sum
+    (for the day totals) and the auto-play destination metrics; that small
+    table is written once, so the timeline is computed once for both uses.
+    The day totals have one row per day and are broadcast. A zero day total
+    gives a NULL share.
     """
-    d = _destination_hundredths(attributed, titles)
-    folded = (d.groupBy(C.DAY, F.lower(C.FEEDER).alias(C.FEEDER), F.lower(C.TITLE).alias(C.TITLE))
+    titles = [t.lower() for t in titles]
+    dest = F.lower(C.TITLE).isin(*titles) & (F.col(C.START_TYPE) == AUTO_PLAY)
+    groups = (attributed.groupBy(C.DAY, C.FEEDER, C.TITLE)
+              .agg(F.sum(C.WATCH_TIME).alias("_all"),
+                   F.max(dest.cast("int")).alias("_is_dest"),
+                   F.countDistinct(F.when(dest, F.col(C.ACCOUNT))).alias("Unique_Accounts"),
+                   F.sum(F.when(dest, F.col(C.WATCH_TIME))).alias("_dest_s")))
+    groups = materialize(groups, "share-groups")
+    totals = (groups.groupBy(C.DAY).agg(hour_hundredths(F.sum("_all")).alias("_t"))
+              .select(C.DAY, _hours("_t").alias("Total_Watch_Time")))
+    folded = (groups.where(F.col("_is_dest") == 1)
+              .withColumn("_h", hour_hundredths(F.col("_dest_s")))
+              .groupBy(C.DAY, F.lower(C.FEEDER).alias(C.FEEDER), F.lower(C.TITLE).alias(C.TITLE))
               .agg(F.sum("Unique_Accounts").alias("Unique_Accounts"), F.sum("_h").alias("_h"))
               .select(C.DAY, C.FEEDER, C.TITLE, "Unique_Accounts", _hours("_h").alias("New_Watch_Times")))
-    totals = F.broadcast(daily_hours(attributed))
-    return (folded.join(totals, C.DAY, "left")
+    return (folded.join(F.broadcast(totals), C.DAY, "left")
             .select(C.DAY, C.FEEDER, C.TITLE, "Unique_Accounts", "New_Watch_Times",
                     "Total_Watch_Time",
                     F.try_divide(F.col("New_Watch_Times"), F.col("Total_Watch_Time"))
