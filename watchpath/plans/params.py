@@ -4,6 +4,12 @@ Date scopes cover every day of the stand-in (Eastern dates of events from
 2024-01-01 GMT start on 2023-12-31), so each registered query reads whole
 tables. Titles and patterns are the stand-in's counterparts of the daily
 scripts' literals.
+
+HISTORY_START is the promo report's "watched before since" date, a report
+parameter like the scripts' fixed start date. With history from the first
+day every cohort account of the stand-in counts as a prior viewer and the
+report is empty, so the last days are used; the usage and event scans still
+cover every day.
 """
 
 import datetime as dt
