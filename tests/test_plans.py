@@ -55,3 +55,15 @@ def test_no_python_no_cartesian_anywhere(spark):
         t = tree(q(spark, SF_SMALL))
         for b in bad:
             assert b not in t, (name, b)
+
+
+def test_published_order_on_request(spark):
+    from watchpath.plans import params as P
+    from watchpath.plans.feeders import top_feeders_daily
+    from watchpath.plans.registry import tables
+    from watchpath.sources.standin import PLAYER_EVENT_BRAND
+
+    rows = top_feeders_daily(tables(spark, SF_SMALL), P.START, P.END, PLAYER_EVENT_BRAND,
+                             ordered=True).collect()
+    keys = [(r.Adobe_Date, -r.Total_Unique_Accounts) for r in rows]
+    assert rows and keys == sorted(keys)

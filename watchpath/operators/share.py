@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from watchpath import columns as C
 from watchpath.functions.hours import hour_hundredths
 from watchpath.functions.labels import AUTO_PLAY, MINOR_FEEDER_SHARE, UNATTRIBUTED
+from watchpath.operators.order import published_order
 from watchpath.session import materialize
 
 
@@ -39,7 +40,7 @@ def autoplay_destinations(attributed: DataFrame, titles) -> DataFrame:
                     _hours("_h").alias("New_Watch_Times"))
 
 
-def autoplay_share(attributed: DataFrame, titles) -> DataFrame:
+def autoplay_share(attributed: DataFrame, titles, ordered: bool = False) -> DataFrame:
     """Destinations with titles case-folded, re-summed, and their share of the day.
 
     Accounts are summed across case variants (an account seen under two
@@ -66,11 +67,12 @@ def autoplay_share(attributed: DataFrame, titles) -> DataFrame:
               .groupBy(C.DAY, F.lower(C.FEEDER).alias(C.FEEDER), F.lower(C.TITLE).alias(C.TITLE))
               .agg(F.sum("Unique_Accounts").alias("Unique_Accounts"), F.sum("_h").alias("_h"))
               .select(C.DAY, C.FEEDER, C.TITLE, "Unique_Accounts", _hours("_h").alias("New_Watch_Times")))
-    return (folded.join(F.broadcast(totals), C.DAY, "left")
-            .select(C.DAY, C.FEEDER, C.TITLE, "Unique_Accounts", "New_Watch_Times",
-                    "Total_Watch_Time",
-                    F.try_divide(F.col("New_Watch_Times"), F.col("Total_Watch_Time"))
-                    .alias("Prc_of_Total")))
+    share = (folded.join(F.broadcast(totals), C.DAY, "left")
+             .select(C.DAY, C.FEEDER, C.TITLE, "Unique_Accounts", "New_Watch_Times",
+                     "Total_Watch_Time",
+                     F.try_divide(F.col("New_Watch_Times"), F.col("Total_Watch_Time"))
+                     .alias("Prc_of_Total")))
+    return published_order(share, "share", ordered)
 
 
 def fold_minor_feeders(share: DataFrame, min_share: float = MINOR_FEEDER_SHARE) -> DataFrame:

@@ -12,6 +12,7 @@ from watchpath.operators.clicks import click_feeder, classify_clicks, normalize_
 from watchpath.operators.plays import play_feeder, play_rows
 from watchpath.operators.skew import HOT_KEY_ROWS, SLICE, assign_slices
 from watchpath.plans.hotkeys import account_day_slicing
+from watchpath.operators.order import published_order
 from watchpath.operators.timeline import (
     attribute,
     merge_timeline,
@@ -25,7 +26,7 @@ from watchpath.sources.tables import Tables
 def attributed_timeline(tables: Tables, start: str | dt.date, end: str | dt.date,
                         target: str, brand: str, scope: str = "display",
                         click_feeder_mode: str = "lag", tz: str = EASTERN,
-                        hot_key_rows: int | None = HOT_KEY_ROWS):
+                        hot_key_rows: int | None = HOT_KEY_ROWS, ordered: bool = False):
     """Timeline of ``target`` over [start, end], attributed row by row.
 
     ``scope="display"``: rows whose own title is the target; clicks are
@@ -36,7 +37,7 @@ def attributed_timeline(tables: Tables, start: str | dt.date, end: str | dt.date
 
     Account-days with more than ``hot_key_rows`` rows are split into time
     slices for every window and stitched (``operators.skew``); None skips
-    the check.
+    the check. ``ordered=True`` sorts by account, day and time as published.
     """
     if scope not in ("display", "feeder"):
         raise ValueError(f"unknown scope {scope!r}")
@@ -62,4 +63,5 @@ def attributed_timeline(tables: Tables, start: str | dt.date, end: str | dt.date
         # so the union keeps one partitioning and the plays move only once
         part = [C.ACCOUNT, C.DAY] + ([SLICE] if slicing is not None else [])
         clicks = clicks.repartition(*part)
-    return attribute(sessionize(merge_timeline(clicks, plays), slicing))
+    result = attribute(sessionize(merge_timeline(clicks, plays), slicing))
+    return published_order(result, "attributed", ordered)

@@ -13,6 +13,7 @@ from watchpath.functions.labels import EASTERN, TOP_K
 from watchpath.operators.clicks import click_feeder, classify_clicks, normalize_clicks
 from watchpath.operators.skew import HOT_KEY_ROWS, assign_slices
 from watchpath.plans.hotkeys import account_day_slicing
+from watchpath.operators.order import published_order
 from watchpath.operators.feeders import (
     COMBINATION,
     conditional_reach,
@@ -65,9 +66,10 @@ def feeder_reach(tables: Tables, start, end, brand: str, tz: str = EASTERN,
 
 
 def top_feeders_daily(tables: Tables, start, end, brand: str, k: int = TOP_K,
-                      tz: str = EASTERN) -> DataFrame:
+                      tz: str = EASTERN, ordered: bool = False) -> DataFrame:
     """Daily top-``k`` feeder series by distinct accounts moved on."""
-    return top_feeders(feeder_reach(tables, start, end, brand, tz), k)
+    return published_order(top_feeders(feeder_reach(tables, start, end, brand, tz), k),
+                           "top_feeders", ordered)
 
 
 def feeder_destination_pairs(tables: Tables, start, end, brand: str, tz: str = EASTERN,
@@ -83,7 +85,7 @@ def feeder_destination_pairs(tables: Tables, start, end, brand: str, tz: str = E
 
 
 def device_feed_list(tables: Tables, start, end, map_start, map_end, device_like: str,
-                     brand: str, tz: str = EASTERN) -> DataFrame:
+                     brand: str, tz: str = EASTERN, ordered: bool = False) -> DataFrame:
     """Row-level series->series feed list for one device family.
 
     Clicks come from [start, end]; the episode->series map is built from the
@@ -91,7 +93,8 @@ def device_feed_list(tables: Tables, start, end, map_start, map_end, device_like
     """
     clicks = feeder_clicks(tables, start, end, brand, tz, device_like=device_like)
     mapping = series_map(tables, map_start, map_end, per_day=False)
-    return series_cue_only(feeder_to_series(clicks, mapping)).select(*C.TIMELINE, COMBINATION)
+    rows = series_cue_only(feeder_to_series(clicks, mapping)).select(*C.TIMELINE, COMBINATION)
+    return published_order(rows, "feed_list", ordered)
 
 
 def device_top_feeders(tables: Tables, start, end, device_like: str, brand: str,

@@ -16,6 +16,7 @@ from watchpath.operators.promo import (
 )
 from watchpath.operators.joins import bounded
 from watchpath.operators.skew import HOT_KEY_ROWS
+from watchpath.operators.order import published_order
 from watchpath.session import materialize
 from watchpath.sources.tables import Tables
 
@@ -42,7 +43,7 @@ def excluded_accounts(tables: Tables, events, history_start, end, target: str, v
 
 def promo_reach(tables: Tables, start, end, history_start, origins, target: str,
                 view_titles, cue_prefix: str | None = None, played_only: bool = False,
-                hot_key_rows: int | None = HOT_KEY_ROWS):
+                hot_key_rows: int | None = HOT_KEY_ROWS, ordered: bool = False):
     """Reach and hours of the cohort's viewing of ``target`` after a promo event."""
     start, end = as_date(start), as_date(end)
     events = cohort_events(tables, start, end, origins, target, cue_prefix)
@@ -51,7 +52,8 @@ def promo_reach(tables: Tables, start, end, history_start, origins, target: str,
     excluded = excluded_accounts(tables, events, history_start, end, target, view_titles, accounts)
     remember = (tables, ("reach", start, end, history_start, tuple(origins), target,
                          tuple(view_titles), cue_prefix, played_only))
-    return promo_reach_hours(events, usage, excluded, target, hot_key_rows, remember)
+    report = promo_reach_hours(events, usage, excluded, target, hot_key_rows, remember)
+    return published_order(report, "promo", ordered)
 
 
 def promo_reach_hourly(tables: Tables, start, end, history_start, origins, target: str,
