@@ -132,3 +132,16 @@ def test_zero_day_total_gives_null_share(spark):
         f"{C.TITLE} string, {C.VIDEO_ID} string, {C.SECONDS} bigint, {C.WATCH_TIME} bigint")
     r = autoplay_share(attributed, ["dest"]).first()
     assert (r.Total_Watch_Time, r.New_Watch_Times, r.Prc_of_Total) == (0.0, 0.0, None)
+
+
+def test_tiebreak_orders_lags_but_not_runs(spark):
+    t = T(2024, 1, 5, 10, 0)
+    rows = [
+        row(t, "Vdo_End", "A", "B", 40),
+        row(t, "Auto-Play", "A", "A", None),
+    ]
+    df = spark.createDataFrame(rows, TL_SCHEMA)
+    s = sessionize(df, tiebreak=[C.START_TYPE]).orderBy(C.START_TYPE).collect()
+    # with the tie broken by start type, the Vdo_End row follows the Auto-Play row
+    assert [(r[C.START_TYPE], r[C.LAST_ACTION]) for r in s] == [("Auto-Play", None), ("Vdo_End", "Auto-Play")]
+    assert {r[C.RUN] for r in s} == {1}          # both rows: run ids still share the tie

@@ -79,17 +79,18 @@ def classify_clicks(clicks: DataFrame, brand: str, title: str | None = None,
     return rows.where(keep)
 
 
-def click_feeder(clicks: DataFrame, mode: str = "lag", slicing=None) -> DataFrame:
+def click_feeder(clicks: DataFrame, mode: str = "lag", slicing=None, tiebreak=()) -> DataFrame:
     """Feeder of a click: the previous click's title in the same account-day
     (``lag``), or the blank string of the classified row (``blank``).
 
     With ``slicing`` (hot account-days, see ``operators.skew``) the clicks
     must carry their slice columns; the LAG runs per slice and is stitched.
+    ``tiebreak`` orders clicks at the same instant (default: unspecified).
     """
     if mode == "blank":
         return clicks
     if mode != "lag":
         raise ValueError(f"unknown click feeder mode {mode!r}")
     lagged = stitched_window(clicks.drop(C.FEEDER), [C.ACCOUNT, C.DAY], C.TIME,
-                             lags=[("_feeder", C.TITLE)], slicing=slicing)
+                             lags=[("_feeder", C.TITLE)], slicing=slicing, tiebreak=tiebreak)
     return lagged.withColumnRenamed("_feeder", C.FEEDER).select(*clicks.columns)

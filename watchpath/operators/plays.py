@@ -48,7 +48,7 @@ def play_rows(video: DataFrame, start: dt.date, end: dt.date,
     return rows
 
 
-def play_feeder(rows: DataFrame, slicing=None) -> DataFrame:
+def play_feeder(rows: DataFrame, slicing=None, tiebreak=()) -> DataFrame:
     """Feeder title and feeder video id: the previous viewing's, same account-day.
 
     The window runs on the timeline names (a uniform shift keeps the order),
@@ -56,6 +56,6 @@ def play_feeder(rows: DataFrame, slicing=None) -> DataFrame:
     """
     lagged = stitched_window(rows, [C.ACCOUNT, C.DAY], C.TIME,
                              lags=[(C.FEEDER, C.TITLE), (C.FEEDER_ID, C.VIDEO_ID)],
-                             slicing=slicing)
+                             slicing=slicing, tiebreak=tiebreak)
     extra = [c for c in rows.columns if c not in C.TIMELINE]
     return lagged.select(*C.TIMELINE, *extra)

@@ -107,23 +107,27 @@ def assign_slices(df: DataFrame, slicing: Slicing, order: str) -> DataFrame:
 
 
 def stitched_window(df: DataFrame, keys, order, lags=(), running=(),
-                    slicing: Slicing | None = None) -> DataFrame:
+                    slicing: Slicing | None = None, tiebreak=()) -> DataFrame:
     """``lag(src)`` and running ``sum(expr)`` (default RANGE frame) over
     ``keys`` ordered by ``order``, added as new columns.
 
     ``lags``: (name, source column); ``running``: (name, Column expression).
-    With ``slicing`` the input must carry ``_slice``/``_hot``.
+    ``tiebreak``: extra order columns for the LAGs only, so rows at the same
+    time get a reproducible previous row; running sums keep ``order`` alone
+    (tied rows share their sum). With ``slicing`` the input must carry
+    ``_slice``/``_hot`` (slices are cut by time, so ties share a slice).
     """
     keys, order = list(keys), [order] if isinstance(order, str) else list(order)
     part = keys + [SLICE] if slicing else keys
     w = Window.partitionBy(*part).orderBy(*order)
-    cols = [F.lag(src).over(w).alias(name) for name, src in lags]
+    wl = Window.partitionBy(*part).orderBy(*order, *tiebreak) if tiebreak else w
+    cols = [F.lag(src).over(wl).alias(name) for name, src in lags]
     cols += [F.sum(expr).over(w).alias(name) for name, expr in running]
     if slicing is None:
         return df.select("*", *cols)
     wdf = df.select("*", *cols,
-                    F.lag(F.lit(1)).over(w).isNull().alias("_first"),
-                    F.lead(F.lit(1)).over(w).isNull().alias("_last"))
+                    F.lag(F.lit(1)).over(wl).isNull().alias("_first"),
+                    F.lead(F.lit(1)).over(wl).isNull().alias("_last"))
     # last row of each hot slice: its source values and the slice's running totals
     tail = wdf.where(F.col(HOT) & F.col("_last")).select(
         *keys, SLICE,

@@ -39,7 +39,7 @@ def continues_run():
     return F.col(C.FEEDER) == F.col(C.TITLE)
 
 
-def sessionize(timeline: DataFrame, slicing=None) -> DataFrame:
+def sessionize(timeline: DataFrame, slicing=None, tiebreak=()) -> DataFrame:
     """Previous action, run id and the run's continuation seconds.
 
     The run id counts the rows that are not continuations, over a RANGE
@@ -54,7 +54,7 @@ def sessionize(timeline: DataFrame, slicing=None) -> DataFrame:
         timeline, keys, C.TIME,
         lags=[(C.LAST_ACTION, C.START_TYPE)],
         running=[(C.RUN, F.when(cont, F.lit(0)).otherwise(F.lit(1)))],
-        slicing=slicing)
+        slicing=slicing, tiebreak=tiebreak)
     return stitched_group_sum(
         with_runs, keys, C.RUN, F.when(cont, F.col(C.SECONDS)).otherwise(F.lit(0)),
         C.EPISODE_TIME, slicing=slicing)

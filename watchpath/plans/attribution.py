@@ -26,7 +26,8 @@ from watchpath.sources.tables import Tables
 def attributed_timeline(tables: Tables, start: str | dt.date, end: str | dt.date,
                         target: str, brand: str, scope: str = "display",
                         click_feeder_mode: str = "lag", tz: str = EASTERN,
-                        hot_key_rows: int | None = HOT_KEY_ROWS, ordered: bool = False):
+                        hot_key_rows: int | None = HOT_KEY_ROWS, ordered: bool = False,
+                        tiebreak=()):
     """Timeline of ``target`` over [start, end], attributed row by row.
 
     ``scope="display"``: rows whose own title is the target; clicks are
@@ -38,6 +39,8 @@ def attributed_timeline(tables: Tables, start: str | dt.date, end: str | dt.date
     Account-days with more than ``hot_key_rows`` rows are split into time
     slices for every window and stitched (``operators.skew``); None skips
     the check. ``ordered=True`` sorts by account, day and time as published.
+    ``tiebreak`` (timeline column names) orders rows at the same instant for
+    the three LAGs only; by default such ties are unordered, as in SQL.
     """
     if scope not in ("display", "feeder"):
         raise ValueError(f"unknown scope {scope!r}")
@@ -51,8 +54,8 @@ def attributed_timeline(tables: Tables, start: str | dt.date, end: str | dt.date
     if slicing is not None:
         clicks = assign_slices(clicks, slicing, C.TIME)
         plays = assign_slices(plays, slicing, C.TIME)
-    clicks = click_feeder(clicks, click_feeder_mode, slicing)
-    plays = play_feeder(plays, slicing)
+    clicks = click_feeder(clicks, click_feeder_mode, slicing, tiebreak)
+    plays = play_feeder(plays, slicing, tiebreak)
     if scope == "display":
         plays = scope_by_title(plays, target)
     else:
@@ -63,5 +66,5 @@ def attributed_timeline(tables: Tables, start: str | dt.date, end: str | dt.date
         # so the union keeps one partitioning and the plays move only once
         part = [C.ACCOUNT, C.DAY] + ([SLICE] if slicing is not None else [])
         clicks = clicks.repartition(*part)
-    result = attribute(sessionize(merge_timeline(clicks, plays), slicing))
+    result = attribute(sessionize(merge_timeline(clicks, plays), slicing, tiebreak))
     return published_order(result, "attributed", ordered)
