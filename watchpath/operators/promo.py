@@ -89,10 +89,9 @@ def cohort_usage(video: DataFrame, accounts: DataFrame, start: dt.date, end: dt.
     if played_only:
         keep = keep & (F.col("num_seconds_played_no_ads") > 0)
     v = join_small(video.where(keep), accounts, _in_cohort(), "left_semi")
-    # every later step is per account: partition by it once, the grouping
-    # (which includes the account) then needs no shuffle of its own
-    return (v.repartition(ACCOUNT)
-            .groupBy("adobe_timestamp", ACCOUNT, F.lower("program").alias("theshow"))
+    # grouped by (time, account, program), not partitioned by account first:
+    # one very active account must not land in a single task
+    return (v.groupBy("adobe_timestamp", ACCOUNT, F.lower("program").alias("theshow"))
             .agg(round_hours(F.sum("num_seconds_played_no_ads"), 0).alias("hours_watched")))
 
 
@@ -169,9 +168,7 @@ def _promo_timeline(events: DataFrame, usage: DataFrame, excluded: DataFrame, ta
         slicing = _slicing(ev.unionByName(us), keys, hot_key_rows, remember)
     if slicing is not None:
         return assign_slices(ev.unionByName(us), slicing, "_t"), keys, slicing
-    # usage arrives partitioned by account; events join it there, so the
-    # windows reuse that partitioning instead of shuffling both again
-    return ev.repartition("_acct").unionByName(us), keys, None
+    return ev.unionByName(us), keys, None
 
 
 def promo_reach_hours(events: DataFrame, usage: DataFrame, excluded: DataFrame,
