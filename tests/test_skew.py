@@ -6,7 +6,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_MID, SF_SMALL
-from watchpath import columns as C
 from watchpath.operators.skew import (
     assign_slices,
     key_profile,
