@@ -80,3 +80,15 @@ def test_no_hot_key_keeps_plain_plan(spark):
     df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3)], "k string, t int").withColumn(
         "t", F.timestamp_seconds("t").cast("timestamp_ntz"))
     assert plan_slices([key_profile(df, ["k"], "t")], ["k"], max_rows=5) is None
+
+
+def test_hot_key_spreads_even_if_input_is_partitioned_by_key(spark):
+    base = dt.datetime(2024, 1, 5, 0, 0)
+    data = [("bot", dt.date(2024, 1, 5), base + dt.timedelta(seconds=5 * i)) for i in range(4000)]
+    df = (spark.createDataFrame(data, "acct string, day date, t timestamp_ntz")
+          .repartition(4, "acct"))                   # every row of the bot in one partition
+    keys = ["acct", "day"]
+    slicing = plan_slices([key_profile(df, keys, "t")], keys, max_rows=100)
+    sliced = assign_slices(df, slicing, "t")
+    per_task = sliced.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert len(per_task) > 1 and max(r["count"] for r in per_task) < 4000

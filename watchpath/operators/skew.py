@@ -97,13 +97,19 @@ def remembered_slices(owner, params: tuple, build) -> Slicing | None:
 
 def assign_slices(df: DataFrame, slicing: Slicing, order: str) -> DataFrame:
     """Adds ``_slice`` (0 for ordinary keys) and ``_hot``; rows of a hot key
-    fall into equal-time slices in time order."""
+    fall into equal-time slices in time order.
+
+    The rows are shuffled on (keys, slice) here, explicitly: an input that is
+    already partitioned by the keys alone (a bucketed table, say) would
+    otherwise satisfy the windows and keep a hot key in one task.
+    """
     j = df.join(slicing.table, slicing.keys, "left")
     offset = F.timestamp_diff("MICROSECOND", F.col("_t0"), F.col(order))
     piece = F.least(F.col("_n") - 1, F.greatest(F.lit(0), F.floor(offset / F.col("_width"))))
     return (j.withColumn(SLICE, F.when(F.col("_width").isNull(), F.lit(0)).otherwise(piece).cast("long"))
             .withColumn(HOT, F.col("_width").isNotNull())
-            .drop("_t0", "_n", "_width"))
+            .drop("_t0", "_n", "_width")
+            .repartition(*slicing.keys, SLICE))
 
 
 def stitched_window(df: DataFrame, keys, order, lags=(), running=(),
