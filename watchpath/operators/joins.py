@@ -27,8 +27,8 @@ def bounded(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """
     if getattr(small, "_size_checked", False):
         return small
-    small = materialize(small, "small-side")
-    fits = small.count() <= max_rows
+    small, rows = materialize(small, "small-side", count=True)
+    fits = rows <= max_rows
     if fits:
         small = F.broadcast(small)
     small._size_checked = True

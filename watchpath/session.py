@@ -58,14 +58,22 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def materialize(df, name: str = "table"):
+def materialize(df, name: str = "table", count: bool = False):
     """Write ``df`` once as Parquet under the checkpoint folder and read it back.
 
     Cuts lineage (the files survive executor loss) and gives the optimizer
-    exact sizes for the read-back table. One write job.
+    exact sizes for the read-back table. One write job; with ``count=True``
+    the row count is observed during that job and returned as well.
     """
     import uuid
 
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
+
     path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    if not count:
+        df.write.parquet(path)
+        return df.sparkSession.read.parquet(path)
+    seen = Observation(name)
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    return df.sparkSession.read.parquet(path), int(seen.get["rows"])
