@@ -4,18 +4,19 @@ The daily scripts recompute "yesterday" on a schedule. Here a Structured
 Streaming file source watches the partitioned clickstream and viewing
 tables; each micro-batch yields the set of days that received new files,
 and exactly those days are recomputed from the full tables (every window is
-per account-day, so a day depends on nothing else) and written with dynamic
-partition overwrite. The stream's checkpoint records which files were
+per account-day, so a day depends on nothing else; contiguous touched days
+are computed as one range) and written with dynamic partition overwrite. The stream's checkpoint records which files were
 processed, and re-writing a day is idempotent, so a restarted or repeated
 run converges to the same store.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from watchpath import columns as C
 from watchpath.plans.attribution import attributed_timeline
 from watchpath.sources.store import save_attributed
 from watchpath.sources.tables import LakeTables
@@ -26,6 +27,18 @@ def _days(spark: SparkSession, path: str, date_col: str) -> DataFrame:
     return spark.readStream.schema(schema).parquet(path).select(F.col(date_col).alias("day"))
 
 
+def _runs(days):
+    """Contiguous (first, last) day ranges covering the sorted ``days``."""
+    runs, lo, prev = [], days[0], days[0]
+    for d in days[1:]:
+        if (d - prev).days > 1:
+            runs.append((lo, prev))
+            lo = d
+        prev = d
+    runs.append((lo, prev))
+    return runs
+
+
 def refresh_attributed(spark: SparkSession, tables: LakeTables, store_path: str,
                        checkpoint_location: str, target: str, brand: str,
                        scope: str = "feeder", click_feeder_mode: str = "lag",
@@ -43,9 +56,10 @@ def refresh_attributed(spark: SparkSession, tables: LakeTables, store_path: str,
         days = sorted(r.day for r in batch.distinct().collect())
         if not days:
             return
-        attributed = attributed_timeline(tables, days[0], days[-1], target, brand,
-                                         scope=scope, click_feeder_mode=click_feeder_mode)
-        save_attributed(attributed.where(F.col(C.DAY).isin(*days)), store_path)
+        parts = [attributed_timeline(tables, lo, hi, target, brand, scope=scope,
+                                     click_feeder_mode=click_feeder_mode)
+                 for lo, hi in _runs(days)]
+        save_attributed(reduce(DataFrame.unionByName, parts), store_path)
 
     writer = (changed.writeStream.foreachBatch(refresh)
               .option("checkpointLocation", checkpoint_location))
