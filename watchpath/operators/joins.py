@@ -20,7 +20,7 @@ BROADCAST_MAX_ROWS = 2_000_000
 
 
 def bounded(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``small`` checkpointed, with a broadcast hint when it has at most ``max_rows`` rows.
+    """``small`` written once as a table, broadcast when it has at most ``max_rows`` rows.
 
     A side that already went through ``bounded`` is returned as it is, so a
     plan can size-check a shared side once and hand it to several joins.
