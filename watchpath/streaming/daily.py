@@ -5,9 +5,10 @@ Streaming file source watches the partitioned clickstream and viewing
 tables; each micro-batch yields the set of days that received new files,
 and exactly those days are recomputed from the full tables (every window is
 per account-day, so a day depends on nothing else; contiguous touched days
-are computed as one range) and written with dynamic partition overwrite. The stream's checkpoint records which files were
-processed, and re-writing a day is idempotent, so a restarted or repeated
-run converges to the same store.
+are computed as one range) and written with dynamic partition overwrite.
+The stream's checkpoint records which files were processed, and rewriting
+a day is idempotent, so a restarted or repeated run converges to the same
+store.
 """
 
 from __future__ import annotations
