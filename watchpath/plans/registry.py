@@ -8,6 +8,7 @@ source row.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -149,7 +150,7 @@ def q_new_watch_time(s, d):
 
 
 def q_save_attributed(s, d):
-    path = f"{checkpoint_dir(s).rstrip('/')}/attributed-feeder"
+    path = f"{checkpoint_dir(s).rstrip('/')}/attributed-feeder-{uuid.uuid4().hex}"
     save_attributed(attributed(s, d, "feeder"), path)
     return load_attributed(s, path)
 

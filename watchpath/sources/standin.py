@@ -180,16 +180,18 @@ def materialized(spark: SparkSession, sf_dir: str) -> Tables:
         stamp = src
     key = hashlib.sha1(stamp.encode()).hexdigest()[:16]
     root = f"{checkpoint_dir(spark).rstrip('/')}/standin-{key}"
-    cached = _MATERIALIZED.get(root)
-    if cached is None or cached.spark is not spark:
+    if root not in _WRITTEN:
         lazy = StandInTables(spark, sf_dir)
         for name, df, part in (("clickstream", lazy.clickstream(), "adobe_date_est"),
                                ("video", lazy.video(), "adobe_date")):
             (df.repartition(part).write.mode("overwrite")
                .partitionBy(part).parquet(f"{root}/{name}"))
-        cached = LakeTables(spark, f"{root}/clickstream", f"{root}/video")
-        _MATERIALIZED[root] = cached
+        _WRITTEN.add(root)
+    cached = _TABLES.get(root)
+    if cached is None or cached.spark is not spark:     # files are shared by sessions
+        cached = _TABLES[root] = LakeTables(spark, f"{root}/clickstream", f"{root}/video")
     return cached
 
 
-_MATERIALIZED: dict[str, Tables] = {}
+_WRITTEN: set[str] = set()
+_TABLES: dict[str, Tables] = {}
