@@ -67,3 +67,28 @@ def test_published_order_on_request(spark):
                              ordered=True).collect()
     keys = [(r.Adobe_Date, -r.Total_Unique_Accounts) for r in rows]
     assert rows and keys == sorted(keys)
+
+
+@pytest.mark.parametrize("name", ["top_feeders_daily", "device_feed_list", "promo_reach_hours",
+                                  "promo_hourly_from"])
+def test_over_the_bound_sides_fall_back_to_shuffle_joins(spark, duck_small, monkeypatch, name):
+    from compare import compare
+    from oracle_sql import oracle_sql
+    from watchpath.operators import joins
+
+    monkeypatch.setattr(joins, "BROADCAST_MAX_ROWS", 0)        # every checked side is "too big"
+    knobs = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    saved = {k: spark.conf.get(k, None) for k in knobs}
+    for k in knobs:
+        spark.conf.set(k, "-1")                                  # and Spark may not pick one itself
+    try:
+        df = queries()[name](spark, SF_SMALL)
+        assert "BroadcastHashJoin" not in tree(df)
+        ok, msg = compare(df, duck_small, oracle_sql()[name])
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    assert ok, msg

@@ -19,7 +19,7 @@ from watchpath.session import materialize
 BROADCAST_MAX_ROWS = 2_000_000
 
 
-def bounded(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def bounded(small: DataFrame, max_rows: int | None = None) -> DataFrame:
     """``small`` written once as a table, broadcast when it has at most ``max_rows`` rows.
 
     A side that already went through ``bounded`` is returned as it is, so a
@@ -28,7 +28,7 @@ def bounded(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     if getattr(small, "_size_checked", False):
         return small
     small, rows = materialize(small, "small-side", count=True)
-    fits = rows <= max_rows
+    fits = rows <= (BROADCAST_MAX_ROWS if max_rows is None else max_rows)
     if fits:
         small = F.broadcast(small)
     small._size_checked = True
@@ -48,5 +48,5 @@ def subset_of(df: DataFrame, parent: DataFrame) -> DataFrame:
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
-               max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+               max_rows: int | None = None) -> DataFrame:
     return big.join(bounded(small, max_rows), on, how)
