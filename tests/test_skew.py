@@ -97,3 +97,23 @@ def test_hot_key_spreads_even_if_input_is_partitioned_by_key(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert len(per_task) > 1 and max(r["count"] for r in per_task) < 4000
+
+
+def test_stale_profile_keeps_results(spark):
+    # slice grid planned on the first hour only, then applied to a full day
+    base = dt.datetime(2024, 1, 5, 0, 0)
+    data = [("bot", dt.date(2024, 1, 5), base + dt.timedelta(seconds=9 * i), f"T{i % 4}", i % 7)
+            for i in range(3000)]
+    df = spark.createDataFrame(data, "acct string, day date, t timestamp_ntz, title string, v int")
+    keys = ["acct", "day"]
+    early = df.where(F.col("t") < F.lit("2024-01-05 01:00:00").cast("timestamp_ntz"))
+    stale = plan_slices([key_profile(early, keys, "t")], keys, max_rows=50)
+    assert stale is not None
+
+    def chain(slicing):
+        x = assign_slices(df, slicing, "t") if slicing else df
+        x = stitched_window(x, keys, "t", lags=[("prev", "title")],
+                            running=[("acc", F.col("v"))], slicing=slicing)
+        return x.select("acct", "day", "t", "title", "prev", "acc")
+
+    assert rows(chain(None)) == rows(chain(stale))
