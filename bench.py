@@ -55,7 +55,7 @@ def main() -> None:
     tables(spark, sf_dir)                     # stand-in tables, written once
     standin = time.perf_counter() - t0
 
-    medians, exchanges = {}, {}
+    medians, exchanges, rows = {}, {}, {}
     for name in names:
         q = registry[name]
         q(spark, sf_dir).write.format("noop").mode("overwrite").save()     # warm-up
@@ -65,7 +65,9 @@ def main() -> None:
             q(spark, sf_dir).write.format("noop").mode("overwrite").save()
             times.append(time.perf_counter() - t)
         medians[name] = round(statistics.median(times), 4)
-        exchanges[name] = _exchanges(q(spark, sf_dir))
+        df = q(spark, sf_dir)
+        exchanges[name] = _exchanges(df)
+        rows[name] = df.count()                   # untimed: shows the result is not empty
 
     sf = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
@@ -74,6 +76,7 @@ def main() -> None:
         "unit": "sec",
         "queries": medians,
         "exchanges": exchanges,
+        "rows": rows,
         "standin_materialize_sec": round(standin, 3),
         "runs": runs,
         "cpus": cpus,

@@ -26,3 +26,16 @@ def test_query_matches_oracle_small(spark, duck_small, name):
 def test_query_matches_oracle_mid(spark, duck_mid, name):
     ok, msg = compare(queries()[name](spark, SF_MID), duck_mid, oracle_sql()[name])
     assert ok, msg
+
+
+DUCK_TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
+              "date": "DATE", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_names_and_types_match_oracle(spark, duck_small, name):
+    df = queries()[name](spark, SF_SMALL)
+    ours = {f.name: DUCK_TYPES.get(f.dataType.simpleString(), f.dataType.simpleString())
+            for f in df.schema.fields}
+    theirs = {d[0]: str(d[1]) for d in duck_small.execute(oracle_sql()[name]).description}
+    assert ours == theirs
