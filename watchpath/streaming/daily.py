@@ -49,6 +49,8 @@ def refresh_attributed(spark: SparkSession, tables: LakeTables, store_path: str,
     ``available_now=True`` processes every file present and stops (a
     scheduled catch-up run); False keeps watching.
     """
+    if tables.source != "parquet":
+        raise ValueError("the refresh watches Parquet folders; give LakeTables paths")
     changed = (_days(spark, tables.clickstream_path, tables.click_date_col)
                .unionByName(_days(spark, tables.video_path, tables.video_date_col)))
 
