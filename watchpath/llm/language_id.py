@@ -31,12 +31,12 @@ from pyspark.sql import functions as F
 
 from .tables import col
 
-DICT_BYTES = 96 << 10
-TRAIN_ROWS = 400
+DICT_BYTES = 160 << 10
+TRAIN_ROWS = 700
 #: Bytes of normalised text compressed at once; short enough that the dictionary counts in every chunk.
-CHUNK = 8 << 10
+CHUNK = 1 << 10
 MARGIN = 0.55
-LEVEL = 3
+LEVEL = 6
 
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
 
