@@ -34,7 +34,7 @@ from .tables import col
 
 SEQUENCE = 2048
 #: Words kept in a Python worker's memo.
-MEMO_WORDS = 400_000
+MEMO_WORDS = 600_000
 #: Token bytes put into one Arrow batch.
 _BATCH_BYTES = 8 << 20
 
@@ -46,6 +46,17 @@ _UNUSUAL = regex.compile(r"[^\t\n\x0b\x0c\r\x20-\x7e -įı-ɏ]")
 _PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 
 
+_USUAL_BYTES = bytes(b for b in range(256) if not _UNUSUAL.match(chr(b)))
+
+
+def _unusual(text: str) -> bool:
+    """Whether a text has a character that the memo's word splitting doesn't cover."""
+    try:
+        return bool(text.encode("latin-1").translate(None, _USUAL_BYTES))
+    except UnicodeEncodeError:
+        return bool(_UNUSUAL.search(text))
+
+
 @cache
 def _byte_letters() -> dict[int, str]:
     """The letter that byte-level vocabularies write for each byte: printable
@@ -66,7 +77,7 @@ class WordTokens:
         self._memo: dict[str, bytes] = {}
 
     def ids(self, text: str) -> bytes:
-        if "<|" in text or _UNUSUAL.search(text):
+        if "<|" in text or _unusual(text):
             return array.array("I", self._whole.encode(text, add_special_tokens=False).ids).tobytes()
         if len(self._memo) > MEMO_WORDS:
             self._memo = {}
