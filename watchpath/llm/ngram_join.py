@@ -21,9 +21,11 @@ the part of A that can still decide a pair:
    column, all their cold n-grams are in their prefixes; if they shared one,
    step 3 has the pair. Else their overlap is at most their hot n-grams, which
    discards most pairs by size alone.
-5. Surviving pairs are checked on the full sets, best pair of each class first,
-   the others only where both sides are still in different components: a pair
-   inside one component cannot change it.
+5. Surviving pairs pass a sieve: a parity bitmap of each set (about n/4 bytes)
+   gives a lower bound of how many n-grams two sets differ in, so an upper
+   bound of their overlap. What is left is checked on the full sets, best pair
+   of each class first, the others only where both sides are still in different
+   components: a pair inside one component cannot change it.
 
 Hashes of n-grams are 64 bits wide. All threshold tests use integers.
 
@@ -98,9 +100,21 @@ def set_name(grams: np.ndarray) -> int:
     return int(mix(np.array([total], np.uint64)).view(np.int64)[0])
 
 
-def least_overlap(a, b):
-    """Smallest intersection of linked sets with sizes a and b: NUM (a + b) / (NUM + DEN), rounded up."""
-    return -((-NUM * (a + b)) // (NUM + DEN))
+def parities(grams: np.ndarray) -> bytes:
+    """A bitmap of twice the set's size or more (a power of two): whether each bit was hit an odd number of times."""
+    bits = 1 << max(6, (2 * len(grams) - 1).bit_length())
+    hits = np.bincount((grams & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
+    return np.packbits(hits & 1, bitorder="little").tobytes()
+
+
+def least_difference(a: bytes, b: bytes) -> int:
+    """At least so many n-grams are in one of two sets only: each flips one bit of one bitmap."""
+    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    while len(x) > len(y):
+        x = x[: len(x) // 2] ^ x[len(x) // 2:]
+    while len(y) > len(x):
+        y = y[: len(y) // 2] ^ y[len(y) // 2:]
+    return int(np.bitwise_count(x ^ y).sum())
 
 
 def prefix(n: int) -> int:
@@ -115,7 +129,7 @@ def _sets(batch: pa.RecordBatch, words: int) -> Iterator[tuple[int, np.ndarray]]
 
 
 def _signed(words: int):
-    """Rows with set size and name (kind 0), and n-grams met in several classes of a task (kind 1)."""
+    """Rows with set size, name and bitmap (kind 0), and n-grams met in several classes of a task (kind 1)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -128,14 +142,15 @@ def _signed(words: int):
             k = int(twice.sum())
             return pa.RecordBatch.from_pydict({
                 "kind": pa.array(np.ones(k, np.int32)), "row": pa.nulls(k, pa.int64()), "doc_id": pa.nulls(k, pa.int64()),
-                "name": pa.array(grams[twice].view(np.int64)), "n": pa.array(n[twice].astype(np.int64))})
+                "name": pa.array(grams[twice].view(np.int64)), "n": pa.array(n[twice].astype(np.int64)),
+                "bits": pa.nulls(k, pa.binary())})
 
         for batch in batches:
-            sizes, labels = np.zeros(batch.num_rows, np.int64), [None] * batch.num_rows
+            sizes, labels, maps = np.zeros(batch.num_rows, np.int64), [None] * batch.num_rows, [None] * batch.num_rows
             for i, grams in _sets(batch, words):
                 if not len(grams):
                     continue
-                sizes[i], labels[i] = len(grams), set_name(grams)
+                sizes[i], labels[i], maps[i] = len(grams), set_name(grams), parities(grams)
                 if labels[i] not in seen:
                     seen.add(labels[i])
                     held.append(grams)
@@ -145,7 +160,8 @@ def _signed(words: int):
                         seen, held, count = set(), [], 0
             yield pa.RecordBatch.from_pydict({
                 "kind": pa.array(np.zeros(batch.num_rows, np.int32)), "row": batch.column("row"),
-                "doc_id": batch.column("doc_id"), "name": pa.array(labels, pa.int64()), "n": pa.array(sizes)})
+                "doc_id": batch.column("doc_id"), "name": pa.array(labels, pa.int64()), "n": pa.array(sizes),
+                "bits": pa.array(maps, pa.binary())})
         yield common()
 
     return run
@@ -336,6 +352,10 @@ def _full_sets(words: int):
     return run
 
 
+def _differences(a: pa.Array, b: pa.Array) -> pa.Array:
+    return pa.array([least_difference(x.as_buffer(), y.as_buffer()) for x, y in zip(a, b, strict=True)], pa.int64())
+
+
 class Join:
     """Links of one table of documents."""
 
@@ -346,9 +366,9 @@ class Join:
         self._docs = self._rows.drop("row")
 
     def signatures(self) -> tuple[DataFrame, DataFrame]:
-        """(row, doc_id, name, n) of every document, and n-gram counts of tasks."""
+        """(row, doc_id, name, n, bits) of every document, and n-gram counts of tasks."""
         rows = self._rows.mapInArrow(
-            _signed(self._words), "kind int, row long, doc_id long, name long, n long")
+            _signed(self._words), "kind int, row long, doc_id long, name long, n long, bits binary")
         both = materialize(rows, "ngram-signed")
         return both.filter("kind = 0").drop("kind"), both.filter("kind = 1").select("name", "n")
 
@@ -389,6 +409,20 @@ def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                        "ngram-links")
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    """Classes of pairs."""
+    return pairs.select(F.explode(F.array("a", "b")).alias("name")).distinct()
+
+
+def _sieved(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs (a, b) that their bitmaps don't rule out."""
+    side = lambda x: classes.select(F.col("name").alias(x), F.col("n").alias(f"n{x}"), F.col("bits").alias(f"bits_{x}"))
+    both = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b")
+    both = both.withColumn("apart", F.arrow_udf(_differences, "long")("bits_a", "bits_b"))
+    total = F.col("na") + F.col("nb")                # overlap <= (total - apart) / 2
+    return both.filter((NUM + DEN) * (total - F.col("apart")) >= 2 * NUM * total).select("a", "b")
+
+
 def _pivots(wide: DataFrame) -> DataFrame:
     """Pairs of each member of a wide column with the pivot of its size band, and of pivots of neighbouring bands."""
     band = F.floor(F.log("n") / math.log(DEN / NUM))
@@ -444,18 +478,18 @@ def ngram_components(docs: DataFrame, text: str = "text", id: str = "doc_id", wo
     signed, counts = join.signatures()
     total = signed.agg(F.sum("n")).first()[0] or 0
     pairs, wide = join.candidates(total, hot_grams(counts))
-    by_id = signed.filter("n > 0").groupBy("name", "doc_id").agg(F.count(F.lit(1)).alias("times"))
-    classes = materialize(by_id.groupBy("name").agg(F.min("doc_id").alias("shown"), F.max("times").alias("times")),
-                          "ngram-classes")
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("name")).union(wide.select("name")).distinct()
-    sets = join.sets(classes, needed)
-    first = materialize(_best(pairs).union(_pivots(wide)).distinct(), "ngram-first")
-    links = _linked(first, sets)
+    by_id = signed.filter("n > 0").groupBy("name", "doc_id").agg(
+        F.count(F.lit(1)).alias("times"), F.first("n").alias("n"), F.first("bits").alias("bits"))
+    classes = materialize(by_id.groupBy("name").agg(
+        F.min("doc_id").alias("shown"), F.max("times").alias("times"), F.first("n").alias("n"), F.first("bits").alias("bits")),
+        "ngram-classes")
+    first = materialize(_sieved(_best(pairs).union(_pivots(wide)).distinct(), classes), "ngram-first")
+    left = materialize(_sieved(pairs.join(first, ["a", "b"], "left_anti"), classes), "ngram-left")
+    links = _linked(first, join.sets(classes, _ends(first)))
     labels = connected_components(links)
-    rest = _apart(pairs.select("a", "b").join(first, ["a", "b"], "left_anti"), labels).union(_outside(wide, labels)).distinct()
-    more, n = materialize(rest, "ngram-rest", count=True)
+    rest, n = materialize(_apart(left, labels).union(_sieved(_outside(wide, labels), classes)).distinct(), "ngram-rest", count=True)
     if n:
-        labels = connected_components(links.union(_linked(more, sets)))
+        labels = connected_components(links.union(_linked(rest, join.sets(classes, _ends(rest)))))
     # A row's component: by its class's label, then the least id of all classes there.
     named = classes.join(labels.withColumnRenamed("node", "name"), "name", "left").withColumn(
         "component", F.coalesce("component", "name"))
