@@ -59,7 +59,7 @@ WIDE = 24
 HOT, MAX_HOT = 48, 1_000_000
 #: Entries per column block, and per flush of a task.
 BLOCK = 500_000
-_FLUSH = 3_000_000
+_FLUSH = 1_500_000
 
 
 @cache
