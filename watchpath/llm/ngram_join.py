@@ -58,8 +58,8 @@ WIDE = 24
 #: Classes from which on an n-gram counts as hot; raised until the hot n-grams fit a broadcast.
 HOT, MAX_HOT = 48, 1_000_000
 #: Entries per column block, and per flush of a task.
-BLOCK = 500_000
-_FLUSH = 1_500_000
+BLOCK = 300_000
+_FLUSH = 1_000_000
 
 
 @cache

@@ -206,5 +206,7 @@ def judged(docs: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame
 def keep_good(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` without the rows that the vote or the base rules reject; same columns."""
     into = free_name(docs, "measures")
-    rows = materialize(measured(docs, into, text), "votes-docs")
-    return rows.filter(verdict(fit(rows, into), into)).select(*[col(c) for c in docs.columns])
+    rows = measured(docs, into, text)
+    # The texts are measured again for the filter: cheaper than a second copy of them on disk.
+    model = fit(materialize(rows.select(into), "votes-measured"), into)
+    return rows.filter(verdict(model, into)).select(*[col(c) for c in docs.columns])

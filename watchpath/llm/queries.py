@@ -27,7 +27,10 @@ _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Gives Python workers this package where they would not find it by themselves."""
+    """Gives Python workers this package where they would not find it by themselves, and sends texts to
+    them in batches that suit long documents (unless the session says otherwise)."""
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":       # the default
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     known = [os.path.abspath(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
     sc = spark.sparkContext
     if _ROOT in known or os.getcwd() == _ROOT or sc.applicationId in _shipped:

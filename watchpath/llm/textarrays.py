@@ -19,7 +19,7 @@ IS_WHITE[list(WHITE)] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 #: Bytes of text handled by one numpy step (a longer single text is one step).
-STEP_BYTES = 2 << 20
+STEP_BYTES = 1 << 20
 
 
 def mix(x: np.ndarray) -> np.ndarray:
