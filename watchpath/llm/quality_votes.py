@@ -84,29 +84,29 @@ def measured(docs: DataFrame, into: str, text: str = "text") -> DataFrame:
     """``docs`` with a struct ``into`` of whole-text measures (longs)."""
     whole = F.coalesce(col(text), F.lit(""))
     trimmed = F.btrim(whole, F.lit(_WHITE))
-    # btrim, split and the rest are separate steps: Spark keeps a value used many times in a column of its own.
-    step = docs.select("*", trimmed.alias(f"{into}_t"))
-    words = F.when(col(f"{into}_t") == "", F.array().cast("array<string>")).otherwise(F.split(col(f"{into}_t"), _SPACE))
-    step = step.select("*", words.alias(f"{into}_w"))
-    w, t = col(f"{into}_w"), col(f"{into}_t")
+
+    def of(t: Column, w: Column, lines: Column) -> Column:
+        measures = {
+            "n_words": F.size(w),
+            "word_chars": F.length(F.array_join(w, "")),
+            "n_symbols": F.length(t) - F.length(F.regexp_replace(t, _SYMBOLS, "")),
+            "n_dup_lines": F.size(lines) - F.size(F.array_distinct(lines)),
+            "n_repeat_words": _repeated(w),
+            "n_lines": F.size(lines),
+            "n_bars": _less(t, "|"),
+            "n_shouts": _less(t, "!"),
+            "n_upper": F.length(t) - F.length(F.regexp_replace(t, "[A-Z]+", "")),
+            "n_distinct": F.size(F.array_distinct(w)),
+        }
+        return F.struct(*[m.cast("long").alias(name) for name, m in measures.items()])
+
+    # Values used many times are bound once, whatever the optimizer makes of the projections around them.
+    none = F.array().cast("array<string>")
     # Lines are those of the whole text: trimming would shorten the first and last.
     lines = F.filter(F.split(whole, "\n"), lambda line: F.btrim(line, F.lit(_WHITE)) != "")
-    step = step.select("*", lines.alias(f"{into}_l"))
-    lines = col(f"{into}_l")
-    measures = {
-        "n_words": F.size(w),
-        "word_chars": F.length(F.array_join(w, "")),
-        "n_symbols": F.length(t) - F.length(F.regexp_replace(t, _SYMBOLS, "")),
-        "n_dup_lines": F.size(lines) - F.size(F.array_distinct(lines)),
-        "n_repeat_words": _repeated(w),
-        "n_lines": F.size(lines),
-        "n_bars": _less(t, "|"),
-        "n_shouts": _less(t, "!"),
-        "n_upper": F.length(t) - F.length(F.regexp_replace(t, "[A-Z]+", "")),
-        "n_distinct": F.size(F.array_distinct(w)),
-    }
-    packed = F.struct(*[m.cast("long").alias(name) for name, m in measures.items()])
-    return step.select(*[col(c) for c in docs.columns], packed.alias(into))
+    packed = _let(trimmed, lambda t: _let(F.when(t == "", none).otherwise(F.split(t, _SPACE)),
+                                          lambda w: _let(lines, lambda found: of(t, w, found))))
+    return docs.select("*", packed.alias(into))
 
 
 def base_failed(m: Column) -> Column:
