@@ -71,11 +71,11 @@ def clicked_title(details: str | Column = "Binge_Details",
     title = None
     for area in DETAIL_AREAS:
         cond = pe.like(f"%:{area}:%") & on_page
-        value = F.regexp_replace(pe, f"{brand}:details:{area}:", "")
+        value = F.replace(pe, F.lit(f"{brand}:details:{area}:"), F.lit(""))
         title = F.when(cond, value) if title is None else title.when(cond, value)
     cue = _extract_or_null(d, CUE_TITLE_PATTERN)
     return (
-        title.when(pe.like("%:details:%") & on_page, F.regexp_replace(pe, f"{brand}:details:", ""))
+        title.when(pe.like("%:details:%") & on_page, F.replace(pe, F.lit(f"{brand}:details:"), F.lit("")))
         .when(d.like("%auto-play"), cue)
         .when(d.like("%cue%up%click"), cue)
         .when(d.like("rail%click"), _extract_or_null(d, RAIL_TITLE_PATTERN))

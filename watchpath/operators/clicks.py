@@ -69,7 +69,7 @@ def classify_clicks(clicks: DataFrame, brand: str, title: str | None = None,
     )
     keep = F.col(C.START_TYPE).isNotNull()
     if title is not None:
-        keep = keep & (F.lower(C.TITLE) == F.lit(title))
+        keep = keep & (F.lower(C.TITLE) == F.lower(F.lit(title)))
     if device_like is not None:
         keep = keep & F.lower(C.DEVICE).like(device_like)
     return rows.where(keep)

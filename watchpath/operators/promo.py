@@ -48,7 +48,7 @@ def video_lookup(clicks: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
 def promo_events(clicks: DataFrame, lookup: DataFrame, origins, target: str,
                  start: dt.date, end: dt.date, cue_prefix: str | None = None) -> DataFrame:
     """Cue-up hits from the ``origins`` shows (LIKE patterns on the lower-cased
-    show) whose click path names ``target``, enriched through the lookup by
+    show) whose click path names ``target`` (any case, literally), enriched through the lookup by
     the 5th pipe field of the cue-up string. One row per (hit, tied lookup row).
     """
     show, path = F.lower("post_evar28"), F.lower("post_prop15")
@@ -56,7 +56,7 @@ def promo_events(clicks: DataFrame, lookup: DataFrame, origins, target: str,
     keep = (F.col("adobe_date_est").between(F.lit(start), F.lit(end))
             & F.col("post_prop47").isNotNull() & F.col("post_evar56").isNotNull()
             & from_origin & ~show.like("%trailer%")
-            & path.like(f"%{target}%") & ~path.like("%trailer%")
+            & path.contains(F.lower(F.lit(target))) & ~path.like("%trailer%")
             & (F.col("post_prop15").like("%|click") | F.col("post_prop15").like("%|auto-play")))
     if cue_prefix is not None:
         keep = keep & F.col("post_prop47").like(f"{cue_prefix}%")
@@ -100,7 +100,7 @@ def prior_target_viewers(video: DataFrame, accounts: DataFrame, target: str,
     """Cohort accounts that started ``target`` in [since, end]."""
     v = video.where(F.col("adobe_date").between(F.lit(since), F.lit(end))
                     & (F.col("num_views_started") > 0)
-                    & (F.lower("display_name") == F.lit(target)))
+                    & (F.lower("display_name") == F.lower(F.lit(target))))
     viewers = join_small(v, accounts, _in_cohort(), "left_semi").select(ACCOUNT).distinct()
     return subset_of(viewers, accounts)
 
@@ -120,7 +120,7 @@ def viewing_order(video: DataFrame, events: DataFrame, viewers: DataFrame, title
                     & (F.col("num_seconds_played_no_ads") > 0)
                     & F.lower("display_name").isin(*titles))
     v = join_small(v, viewers, ACCOUNT, "left_semi")
-    is_target = F.lower("display_name") == F.lit(target)
+    is_target = F.lower("display_name") == F.lower(F.lit(target))
     per_account = v.groupBy(ACCOUNT).agg(
         F.min("adobe_timestamp").alias("first_view"),
         F.min(F.when(is_target, F.col("adobe_timestamp"))).alias("first_target_view"))
@@ -149,7 +149,7 @@ def _promo_timeline(events: DataFrame, usage: DataFrame, excluded: DataFrame, ta
     0 = usage, and usage sorts first at equal times (the bound is strict).
     """
     ev_title = clean_title_promo("show2")
-    ev = events.where((F.col("show2") != F.col("post_evar72")) & ev_title.like(f"%{target}%"))
+    ev = events.where((F.col("show2") != F.col("post_evar72")) & ev_title.contains(clean_title_promo(F.lit(target))))
     ev = join_small(ev, excluded, F.col("userid") == F.col(ACCOUNT), "left_anti")
     ev = ev.select(
         F.col("userid").alias("_acct"), ev_title.alias("_title"),
@@ -157,7 +157,7 @@ def _promo_timeline(events: DataFrame, usage: DataFrame, excluded: DataFrame, ta
         F.lit(1).alias("_ev"), F.lit(None).cast("double").alias("_hours"),
         *[c.alias(name) for name, c, _ in event_cols])
     us_title = clean_title_promo("theshow")
-    us = usage.where(us_title.like(f"%{target}%")).select(
+    us = usage.where(us_title.contains(clean_title_promo(F.lit(target)))).select(
         F.col(ACCOUNT).alias("_acct"), us_title.alias("_title"),
         F.col("adobe_timestamp").alias("_t"), F.lit(0).alias("_ev"),
         F.col("hours_watched").alias("_hours"),

@@ -16,12 +16,12 @@ from watchpath.operators.skew import HOT, SLICE, stitched_group_sum, stitched_wi
 
 def scope_by_title(df: DataFrame, target: str) -> DataFrame:
     """Rows whose own title equals ``target`` in any case."""
-    return df.where(F.lower(C.TITLE) == F.lit(target))
+    return df.where(F.lower(C.TITLE) == F.lower(F.lit(target)))
 
 
 def scope_by_feeder(df: DataFrame, target: str) -> DataFrame:
     """Rows whose feeder equals ``target`` in any case (apply after the LAGs)."""
-    return df.where(F.lower(C.FEEDER) == F.lit(target))
+    return df.where(F.lower(C.FEEDER) == F.lower(F.lit(target)))
 
 
 def merge_timeline(clicks: DataFrame, plays: DataFrame) -> DataFrame:

@@ -184,7 +184,8 @@ def materialized(spark: SparkSession, sf_dir: str) -> Tables:
         lazy = StandInTables(spark, sf_dir)
         for name, df, part in (("clickstream", lazy.clickstream(), "adobe_date_est"),
                                ("video", lazy.video(), "adobe_date")):
-            (df.repartition(part).write.mode("overwrite")
+            # rebalanced by day: small days share a task, large ones are split
+            (df.hint("rebalance", F.col(part)).write.mode("overwrite")
                .partitionBy(part).parquet(f"{root}/{name}"))
         _WRITTEN.add(root)
     cached = _TABLES.get(root)

@@ -2,10 +2,13 @@
 
 The daily scripts recompute "yesterday" on a schedule. Here a Structured
 Streaming file source watches the partitioned clickstream and viewing
-tables; each micro-batch yields the set of days that received new files,
-and exactly those days are recomputed from the full tables (every window is
-per account-day, so a day depends on nothing else; contiguous touched days
-are computed as one range) and written with dynamic partition overwrite.
+tables; each micro-batch yields the set of days that received new files.
+A click's day comes from its hit time and may lie one day beside its
+partition, so the touched days and their neighbours are recomputed from the
+full tables, listed anew for every batch (every window is per account-day, so
+a day depends on nothing else; contiguous days are computed as one range),
+and written with dynamic partition overwrite. Recomputed days without rows
+are dropped from the store.
 The stream's checkpoint records which files were processed, and rewriting
 a day is idempotent, so a restarted or repeated run converges to the same
 store.
@@ -13,13 +16,17 @@ store.
 
 from __future__ import annotations
 
+import datetime as dt
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from watchpath.plans.attribution import attributed_timeline
-from watchpath.sources.store import save_attributed
+from watchpath import columns as C
+from watchpath.session import materialize
+from watchpath.sources.store import clear_days, save_attributed
 from watchpath.sources.tables import LakeTables
 
 
@@ -56,13 +63,18 @@ def refresh_attributed(spark: SparkSession, tables: LakeTables, store_path: str,
 
     def refresh(batch: DataFrame, epoch_id: int) -> None:
         # one row per touched day: a handful of dates, not data
-        days = sorted(r.day for r in batch.distinct().collect())
-        if not days:
+        touched = {r.day for r in batch.distinct().collect() if r.day is not None}
+        if not touched:
             return
-        parts = [attributed_timeline(tables, lo, hi, target, brand, scope=scope,
+        days = sorted({d + dt.timedelta(days=n) for d in touched for n in (-1, 0, 1)})
+        now = replace(tables)                  # lists the files again
+        parts = [attributed_timeline(now, lo, hi, target, brand, scope=scope,
                                      click_feeder_mode=click_feeder_mode)
                  for lo, hi in _runs(days)]
-        save_attributed(reduce(DataFrame.unionByName, parts), store_path)
+        rows = materialize(reduce(DataFrame.unionByName, parts), "refresh")
+        filled = {r[0] for r in rows.select(C.DAY).distinct().collect()}
+        save_attributed(rows, store_path)
+        clear_days(spark, store_path, [d for d in days if d not in filled])
 
     writer = (changed.writeStream.foreachBatch(refresh)
               .option("checkpointLocation", checkpoint_location))
