@@ -57,9 +57,9 @@ NUM, DEN = 80, 100
 WIDE = 24
 #: Classes from which on an n-gram counts as hot; raised until the hot n-grams fit a broadcast.
 HOT, MAX_HOT = 48, 1_000_000
-#: Entries per column block, and per flush of a task.
+#: Entries per column block, and n-grams, entries and pairs that a task holds before a flush.
 BLOCK = 300_000
-_FLUSH = 1_000_000
+_FLUSH, _FLUSH_ENTRIES, _FLUSH_PAIRS = 1_000_000, 400_000, 200_000
 
 
 @cache
@@ -221,7 +221,7 @@ def _entries(words: int, blocks: int, hot):
                 classes.append((label, len(grams), int(warm.sum())))
                 parts.append(part)
                 count += keep
-                if count > _FLUSH:
+                if count > _FLUSH_ENTRIES:
                     yield from out()
                     classes, seen, parts, count = [], set(), [], 0
         yield from out()
@@ -275,20 +275,22 @@ def _product(table: pa.Table, hot: bool) -> pa.Table:
     starts = np.flatnonzero(np.r_[True, gram[1:] != gram[:-1]])
     widths = np.full(len(starts), WIDE + 1) if hot else np.diff(np.r_[starts, len(gram)])
     pairs: list[np.ndarray] = []
-    held = 0
+    held, limit = 0, _FLUSH_PAIRS
     for width in range(2, WIDE + 1):
         at = starts[widths == width]
         i, j = np.triu_indices(width, 1)
-        for k in range(0, len(at), max(1, 200_000 // len(i))):
-            some = at[k: k + max(1, 200_000 // len(i))]
+        step = max(1, _FLUSH_PAIRS // 4 // len(i))
+        for k in range(0, len(at), step):
+            some = at[k: k + step]
             x, y = (some[:, None] + i).ravel(), (some[:, None] + j).ravel()
             near = (NUM * size[x] <= DEN * size[y]) & (NUM * size[y] <= DEN * size[x])
             x, y = x[near], y[near]
             pairs.append(np.stack([name[x], name[y], size[x], size[y], np.ones(len(x), np.int64), rank[x], rank[y]], 1))
             held += len(x)
-            if held > 1_000_000:
+            if held > limit:
                 pairs = [_added(pairs)]
                 held = len(pairs[0])
+                limit = max(_FLUSH_PAIRS, 2 * held)      # distinct pairs stay: merge again when they double
     rows = _added(pairs)
     inside = np.repeat(widths > WIDE, np.diff(np.r_[starts, len(gram)]))
     k = int(inside.sum())

@@ -34,9 +34,9 @@ from .tables import col
 
 SEQUENCE = 2048
 #: Words kept in a Python worker's memo.
-MEMO_WORDS = 300_000
+MEMO_WORDS = 120_000
 #: Token bytes put into one Arrow batch.
-_BATCH_BYTES = 8 << 20
+_BATCH_BYTES = 2 << 20
 
 #: Bits of a sequence id below its bucket: partition (20) and position in it (33).
 _BUCKET_SHIFT = 53

@@ -22,6 +22,9 @@ from .oracles import ORACLES
 URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
              ("allow", "com", "/fr/"), ("block", "com", "/de/")]
 
+#: Bytes of one Arrow batch between the JVM and a Python worker.
+BATCH_BYTES = 4 << 20
+
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 _shipped: set[str] = set()
 
@@ -31,6 +34,7 @@ def ship(spark: SparkSession) -> None:
     them in batches that suit long documents (unless the session says otherwise)."""
     if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":       # the default
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     known = [os.path.abspath(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
     sc = spark.sparkContext
     if _ROOT in known or os.getcwd() == _ROOT or sc.applicationId in _shipped:

@@ -8,6 +8,7 @@ UTF-8 character, so words are found on bytes. A null text is an empty one.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +21,8 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 #: Bytes of text handled by one numpy step (a longer single text is one step).
 STEP_BYTES = 1 << 20
+#: Bytes whose words are hashed together (a longer single word is hashed by itself).
+HASH_BYTES = 1 << 18
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -33,18 +36,20 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _BASE = 0x5851F42D4C957F2D
-_powers: dict[str, np.ndarray] = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2^64, at least ``n`` of each."""
-    if len(_powers["up"]) < n:
-        size = max(n, STEP_BYTES + 1)
-        for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
-            steps = np.full(size, base, np.uint64)
-            steps[0] = 1
-            _powers[name] = np.multiply.accumulate(steps)
-    return _powers["up"], _powers["down"]
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``n`` powers of the base and of its inverse modulo 2^64."""
+    tables = np.empty((2, n), np.uint64)
+    tables[0], tables[1] = _BASE, pow(_BASE, -1, 1 << 64)
+    tables[:, 0] = 1
+    np.multiply.accumulate(tables, axis=1, out=tables)
+    return tables[0], tables[1]
+
+
+@cache
+def _usual_powers() -> tuple[np.ndarray, np.ndarray]:
+    return _powers(HASH_BYTES + 1)
 
 
 def views(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -87,8 +92,20 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each word's bytes, from one running polynomial sum."""
-    up, down = _power_tables(len(data) + 1)
+    """64-bit hash of each word's bytes, whatever stands around it."""
+    out = np.empty(len(starts), np.uint64)
+    at = 0
+    while at < len(starts):
+        base = starts[at]
+        to = max(at + 1, int(np.searchsorted(ends, base + HASH_BYTES, "right")))
+        out[at:to] = _hashed(data[base: ends[to - 1]], starts[at:to] - base, ends[at:to] - base)
+        at = to
+    return out
+
+
+def _hashed(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes from one running polynomial sum over the bytes."""
+    up, down = _usual_powers() if len(data) <= HASH_BYTES else _powers(len(data) + 1)
     total = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(_BYTE[data] * up[: len(data)], out=total[1:])
     return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
