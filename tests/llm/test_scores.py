@@ -3,12 +3,14 @@
 import base64
 import hashlib
 import itertools
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
 from fractions import Fraction
 
 import pytest
+from pyspark.sql import functions as F
 
 from watchpath.llm import language_id, mixing, quality_votes, rule_ensemble, url_filters, warc
 from watchpath.llm.queries import URL_RULES, queries
@@ -59,6 +61,55 @@ def test_mix_meets_its_targets(spark, edge, nothing):
     assert out.columns == edge.columns and out.count() > 0
 
 
+def skewed_sources(spark):
+    """500 ordinary documents and one of 200,000 words in "a", one document alone in "solo", many in "z"."""
+    draw = random.Random(3)
+    rows = [(i, "w " * max(1, int(draw.lognormvariate(5.5, 0.8))), "a") for i in range(500)]
+    rows += [(500, "w " * 200_000, "a"), (501, "w " * 1000, "solo")]
+    rows += [(1000 + i, "w " * draw.randrange(1, 900), "z") for i in range(500)]
+    return spark.createDataFrame(rows, "doc_id long, text string, source string")
+
+
+def test_mix_with_a_very_long_document_meets_its_quota(spark):
+    docs = skewed_sources(spark)
+    # targets: 0.9 of the only document, 0.6 of the long document's source and the rest from the third
+    sizes = Counter()
+    for r in docs.collect():
+        sizes[r.source] += len(words(r.text))
+    share = {"solo": 900, "a": int(0.6 * sizes["a"])}
+    share["z"] = sum(sizes.values()) - sum(share.values())
+    for seed in range(4):
+        rows = mixing.mixed(docs, F.array("source"), lambda names: share, seed=seed, keep=F.col("source")).collect()
+        assert len(rows) == 1002
+        for s in sizes:
+            own = [r for r in rows if r.keep == s]
+            used = Counter(r.uses for r in own)
+            assert max(used) <= 3 and max(used) - min(used) <= 1
+            off = sum(r.taken for r in own) - min(share[s], 3 * sizes[s])
+            rest = [r["size"] for r in own if r.uses == min(used)]
+            assert 2 * abs(off) <= min(rest), (seed, s, off)
+        assert next(r.uses for r in rows if r.keep == "solo") == 1
+
+
+def test_mix_takes_what_fits_in_seeded_order(spark):
+    docs = skewed_sources(spark).filter("source = 'a'").union(skewed_sources(spark).filter("source = 'z'"))
+    got = mixing.mixed(docs, F.array("source"), seed=5, keep=F.struct(
+        "source", F.xxhash64(F.lit(5), "doc_id", F.size(F.split(F.btrim("text"), " ")).cast("long")).alias("u"))).collect()
+    for s in ("a", "z"):
+        own = sorted((r for r in got if r.keep.source == s), key=lambda r: (r.keep.u % mixing._BINS, r.keep.u, r.doc_id))
+        size = sum(r["size"] for r in own)
+        full, gap = divmod(round(own[0].target), size)
+        want, left = {}, []
+        for r in own:
+            fits = r["size"] <= gap
+            want[r.doc_id] = full + fits
+            gap -= fits * r["size"]
+            left += [] if fits else [(r["size"], r.keep.u, r.doc_id)]
+        if left and min(left)[0] - gap < gap:
+            want[min(left)[2]] += 1
+        assert {r.doc_id: r.uses for r in own} == want
+
+
 def test_rule_ensemble(spark, edge, nothing):
     rows = queries()["op4_rule_quality"](spark, MID).collect()
     label = {r.doc_id: r.quality for r in spark.read.parquet(f"{MID}/labels.parquet").collect()}

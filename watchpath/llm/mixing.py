@@ -8,11 +8,16 @@ corpus. A pattern offers its words once at no cost, and again at a rising
 cheapest full flow gives the words to take from each pattern.
 
 Documents of a pattern are then taken in a seeded order: every document
-``words // size`` times, and a seeded part of them once more. The cut in that
-order is found from a histogram of the order hash (combined before the
-shuffle) and a window over its one boundary bin, so no pattern's rows meet in
-one task; a few closing picks fill what is left with the largest documents that
-still fit. The selection depends on ids, sizes and the seed only.
+``words // size`` times, and a seeded part of them once more: in that order
+each document that still fits is taken and the others are skipped, until none
+fits. A run up to the first misfit is found from a histogram of the order hash
+(combined before the shuffle) and a window over its one boundary bin, so no
+pattern's rows meet in one task; the next run goes on behind the misfit with
+the documents that fit what is left. That is less than the misfit's size, so
+runs are few (about the logarithm of the longest text). At the end the smallest
+document not taken is taken too where that comes nearer to the quota, so a
+pattern is off by at most half of that document. The selection depends on ids,
+sizes and the seed only.
 
 Cases: a null or empty text has size 0 and is never taken. A null source is a
 source of its own, ordered last. Repeated rows are separate documents (ties of
@@ -38,8 +43,8 @@ MAX_USES = 3
 SEED = 17
 #: Bins of the order hash per pattern.
 _BINS = 4096
-#: Rounds that fill the rest of a pattern with its largest document that still fits.
-_CLOSING_PICKS = 6
+#: A document's place in the seeded order.
+_PLACE = "struct<bin: long, u: long, doc_id: long, row: long>"
 
 
 def word_counts(texts: pa.Array) -> pa.Array:
@@ -188,42 +193,52 @@ def _plan(rows: DataFrame, weights, max_uses: int) -> DataFrame:
 
 def _select(rows: DataFrame, plan: DataFrame) -> DataFrame:
     spark = rows.sparkSession
-    bins = rows.groupBy("pattern", "bin").agg(F.sum("size").alias("words"))
+    rows = rows.withColumn("place", F.struct("bin", "u", "doc_id", "row"))
+    free = rows.filter("size > 0").select("pattern", "bin", "size", "u", "doc_id", "row", "place")
+    gaps = {r.pattern: r.beyond for r in plan.filter("beyond > 0").select("pattern", "beyond").collect()}
+    # Per pattern its runs (gap, stop): documents of at most ``gap`` words placed before ``stop`` are taken. A run stops
+    # at the first document that does not fit any more; the next one goes on behind it with those that do, so that no
+    # more than one document is shut out at a time, whatever its size.
+    runs: dict[str, list] = {p: [] for p in gaps}
+    going = dict(gaps)
+    while going:
+        ask = materialize(spark.createDataFrame([(p, g, runs[p][-1][1] if runs[p] else None) for p, g in going.items()],
+                                                f"pattern string, gap long, since {_PLACE}"), "mix-gaps")
+        fit = free.filter(F.col("size") <= max(going.values())).join(ask, "pattern").filter(
+            (F.col("size") <= F.col("gap")) & (F.col("since").isNull() | (F.col("place") > F.col("since"))))
+        found = {r.pattern: r for r in _run(fit).collect()}
+        going = {}
+        for p, r in found.items():
+            runs[p].append((gaps[p], r.stop))
+            gaps[p] -= r.words
+            if r.stop is not None and gaps[p] > 0:
+                going[p] = gaps[p]
+    marks = "pattern string, gap long, runs array<struct<gap: long, stop: " + _PLACE + ">>"
+    taken = materialize(spark.createDataFrame([(p, gaps[p], runs[p]) for p in runs], marks), "mix-runs")
+    in_run = F.exists("runs", lambda r: (F.col("size") <= r["gap"]) & F.coalesce(F.col("place") < r["stop"], F.lit(True)))
+    # No document left fits: the smallest is taken where going over by it is nearer than falling short.
+    over = free.join(taken.filter("gap > 0"), "pattern").filter(~in_run & (F.col("size") - F.col("gap") < F.col("gap"))).groupBy(
+        "pattern").agg(F.min(F.struct("size", "u", "doc_id", "row"))["row"].alias("over"))
+    marked = materialize(plan.join(taken.drop("gap"), "pattern", "left").join(over, "pattern", "left"), "mix-marked")
+    more = F.coalesce(in_run, F.lit(False)) | F.coalesce(F.col("row") == F.col("over"), F.lit(False))
+    uses = F.when(F.col("size") > 0, F.col("full") + more.cast("long")).otherwise(F.lit(0).cast("long"))
+    return rows.join(marked, "pattern").select("doc_id", "sources", "size", uses.alias("uses"),
+                                               (uses * F.col("size")).alias("taken"), "source_size", "target", "keep")
+
+
+def _run(fit: DataFrame) -> DataFrame:
+    """Per pattern, the place of the first document in seeded order that passes the gap (null if none does) and the
+    words before it."""
+    bins = fit.groupBy("pattern", "gap", "bin").agg(F.sum("size").alias("words"))
     upto = F.sum("words").over(Window.partitionBy("pattern").orderBy("bin"))
     # The boundary bin: the first whose running sum passes the words wanted.
-    passed = F.when(F.col("upto") > F.col("beyond"), F.struct("bin", (F.col("upto") - F.col("words")).alias("before")))
-    cut = bins.withColumn("upto", upto).join(plan, "pattern").groupBy("pattern", "beyond").agg(F.min(passed).alias("at")).select(
-        "pattern", "beyond", F.coalesce("at.bin", F.lit(_BINS)).alias("cut_bin"), F.coalesce("at.before", "beyond").alias("before"))
+    passed = F.when(F.col("upto") > F.col("gap"), F.struct("bin", (F.col("upto") - F.col("words")).alias("before")))
+    cut = bins.withColumn("upto", upto).groupBy("pattern").agg(F.min(passed).alias("at"), F.sum("words").alias("all")).select(
+        "pattern", "all", F.col("at.bin").alias("bin"), F.col("at.before").alias("before"))
     cut = materialize(cut, "mix-cut")
-    # Inside it, documents in seeded order while they fit.
     running = F.sum("size").over(Window.partitionBy("pattern").orderBy("u", "doc_id", "row"))
-    edge = rows.join(cut, "pattern").filter("bin = cut_bin").withColumn("sum", F.col("before") + running)
-    edge = materialize(edge.filter("sum <= beyond").select("pattern", "row", "sum"), "mix-edge")
-    last = edge.groupBy("pattern").agg(F.max("sum").alias("sum"))
-    left = cut.join(last, "pattern", "left").select("pattern", (F.col("beyond") - F.coalesce("sum", "before")).alias("gap"))
-    gaps = {r.pattern: r.gap for r in left.collect()}
-    # Closing picks: per pattern, the largest document not taken yet that fits the gap.
-    picked: list[int] = []
-    free = rows.join(cut, "pattern").filter("bin >= cut_bin and size > 0").select("pattern", "size", "u", "row").join(
-        edge.select("row"), "row", "left_anti")
-    for _ in range(_CLOSING_PICKS):
-        wanted = [(p, g) for p, g in gaps.items() if g > 0]
-        if not wanted:
-            break
-        ask = materialize(spark.createDataFrame(wanted, "pattern string, gap long"), "mix-gaps")
-        best = free.join(ask, "pattern").filter((F.col("size") <= F.col("gap")) & ~F.col("row").isin(picked)).groupBy(
-            "pattern").agg(F.max(F.struct("size", "u", "row")).alias("best")).collect()
-        if not best:
-            break
-        for r in best:
-            picked.append(r.best.row)
-            gaps[r.pattern] -= r.best["size"]
-    again = edge.select("row")
-    if picked:
-        again = again.union(spark.createDataFrame([(r,) for r in picked], "row long"))
-    again = materialize(again.withColumn("again", F.lit(True)), "mix-again")
-    found = rows.join(plan, "pattern").join(cut.select("pattern", "cut_bin"), "pattern").join(again, "row", "left")
-    more = (F.col("bin") < F.col("cut_bin")) | F.col("again").isNotNull()
-    uses = F.when(F.col("size") > 0, F.col("full") + more.cast("long")).otherwise(F.lit(0).cast("long"))
-    return found.select("doc_id", "sources", "size", uses.alias("uses"), (uses * F.col("size")).alias("taken"),
-                        "source_size", "target", "keep")
+    edge = fit.join(cut.select("pattern", "bin", "before"), ["pattern", "bin"]).withColumn("sum", F.col("before") + running)
+    first = edge.filter("sum > gap").groupBy("pattern").agg(
+        F.min(F.struct("place", (F.col("sum") - F.col("size")).alias("words"))).alias("first"))
+    return cut.join(first, "pattern", "left").select(
+        "pattern", F.col("first.place").alias("stop"), F.coalesce("first.words", "all").alias("words"))
