@@ -166,6 +166,30 @@ def test_votes_separate_labelled_rows(spark):
     assert sum(r.kept == bool(label[r.doc_id]) for r in rows) / len(rows) > 0.97
 
 
+def test_votes_keep_long_clean_texts(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "lang", "text")
+    clean = docs.join(spark.read.parquet("/root/testdata/sf0.1/labels.parquet").filter("quality = 1").select("doc_id"), "doc_id")
+    texts = [r.text for r in clean.filter("lang = 'en'").dropDuplicates(["text"]).orderBy("doc_id").collect()]
+    long = []
+    for i, least in enumerate((30_000, 100_000)):
+        w = list(itertools.islice(itertools.chain.from_iterable(map(words, texts)), least))
+        assert len(w) == least
+        long += [(-1 - 2 * i, " ".join(w)), (-2 - 2 * i, " ".join([*w[:40], "R&D", *w[40:900], "5%", *w[900:]]))]
+    spam = (-9, " ".join(words(texts[0])[:40] * 750))
+    table = docs.select("doc_id", "text").union(spark.createDataFrame([*long, spam], "doc_id long, text string"))
+    got = {r.doc_id: r for r in quality_votes.judged(table).filter("doc_id < 0").collect()}
+    assert len(got) == 5 and all(got[i].kept and not got[i].base_failed for i in (-1, -2, -3, -4)), got
+    assert not got[-9].kept
+
+
+def test_votes_count_distinct_words_by_span(spark):
+    n = quality_votes.SPAN
+    rows = ["", "a", " ".join(["x"] * n), " ".join(["x"] * (n + 1)), " ".join(f"w{i % 300}" for i in range(3 * n + 7))]
+    want = [sum(len(set(words(t)[i:i + n])) for i in range(0, len(words(t)), n)) for t in rows]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    assert [r.n for r in quality_votes.measured(docs, "m").orderBy("doc_id").select(F.col("m.n_distinct").alias("n")).collect()] == want
+
+
 def test_expectation_maximisation_prefers_agreeing_rules():
     model = quality_votes.fitted([((1, 1, 1), 60), ((-1, -1, 1), 30), ((1, 1, -1), 5), ((-1, -1, -1), 5)], 3)
     assert model.accuracy[0] > model.accuracy[2]

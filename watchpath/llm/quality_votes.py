@@ -12,7 +12,9 @@ distinct vote patterns with their counts (bounded by the rules, not by the
 corpus), with votes of all documents. A repeated word window is found on 64-bit
 window hashes within one text: they are sorted with their positions, neighbours
 compared, and covered words counted from gaps between starts, so time is
-n log n in a text's words.
+n log n in a text's words. Distinct words are counted in spans of fixed length
+over the whole text, and no rule asks for exactly none of something, so votes
+do not turn with a text's length alone.
 
 Cases: a null or empty text has all measures 0 and fails the base rules. Ties at
 one half are kept. Repeated rows are counted as often as they occur and judged
@@ -34,6 +36,10 @@ MIN_WORDS = 50
 #: Repeated words, in percent of the words, above which a text fails.
 MAX_REPEATED = 50
 WINDOW = 3
+#: Words per span in which distinct words are counted: their share falls with length in any text.
+SPAN = 256
+#: Symbols a word that a plain text may have.
+FEW_SYMBOLS = 0.01
 _WHITE = " \t\n\x0b\x0c\r"
 _SPACE = r"[ \t\n\x0B\f\r]+"
 _SYMBOLS = "[#*$%&|<>]"
@@ -80,6 +86,14 @@ def _repeated(words: Column) -> Column:
     return F.when(F.size(words) > WINDOW, _let(hashes, of)).otherwise(F.lit(0).cast("long"))
 
 
+def _distinct(words: Column) -> Column:
+    """Distinct words of each span of the text, summed."""
+    spans = F.transform(F.sequence(F.lit(0), F.floor((F.size(words) - 1) / SPAN).cast("int")), lambda k: F.size(
+        F.array_distinct(F.slice(words, k * SPAN + 1, F.lit(SPAN)))))
+    return F.when(F.size(words) > SPAN, F.aggregate(spans, F.lit(0).cast("long"), lambda a, n: a + n)).otherwise(
+        F.size(F.array_distinct(words)).cast("long"))
+
+
 def measured(docs: DataFrame, into: str, text: str = "text") -> DataFrame:
     """``docs`` with a struct ``into`` of whole-text measures (longs)."""
     whole = F.coalesce(col(text), F.lit(""))
@@ -96,7 +110,7 @@ def measured(docs: DataFrame, into: str, text: str = "text") -> DataFrame:
             "n_bars": _less(t, "|"),
             "n_shouts": _less(t, "!"),
             "n_upper": F.length(t) - F.length(F.regexp_replace(t, "[A-Z]+", "")),
-            "n_distinct": F.size(F.array_distinct(w)),
+            "n_distinct": _distinct(w),
         }
         return F.struct(*[m.cast("long").alias(name) for name, m in measures.items()])
 
@@ -132,7 +146,7 @@ def votes(m: Column) -> dict[str, Column]:
         "word_length": (length > 6.5) | (length < 3),
     }
     good = {
-        "plain": (symbols == 0) & (shouts <= 0.05) & (upper < 0.15) & (repeats < 0.2),
+        "plain": (symbols <= FEW_SYMBOLS) & (shouts <= 0.05) & (upper < 0.15) & (repeats < 0.2),
         "prose": (distinct > 0.5) & (repeats < 0.2) & length.between(4, 6.5) & (symbols <= 0.05),
     }
     return {k: F.when(v, -1).otherwise(0) for k, v in bad.items()} | {k: F.when(v, 1).otherwise(0) for k, v in good.items()}
