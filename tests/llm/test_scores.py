@@ -136,6 +136,21 @@ def test_language(spark, edge, nothing):
     assert language_id.dictionaries(nothing) == {} and language_id.identified(nothing, contents).count() == 0
 
 
+def test_dictionaries_go_on_in_long_training_texts(spark):
+    texts = [" ".join(f"{'abc'[i]}{n:x}".translate(str.maketrans("0123456789", "ghijklmnop")) for n in range(35_000))
+             for i in range(3)]
+    short = [(10 + i, "short words only, 12 of 34", "xx") for i in range(5)]
+    rows = [(i, t, "la") for i, t in enumerate(texts)] + short + [(20, "1 2 3 " * 9000 + "last", "yy"), (21, "", "yy")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = language_id.dictionaries(docs)
+    assert 0.98 * language_id.DICT_BYTES <= len(got["la"]) <= language_id.DICT_BYTES
+    held = set(got["la"].decode().split())
+    for t in texts:
+        w = t.split()
+        assert all(len(held & set(w[k:k + 7000])) > 500 for k in range(0, 35_000, 7000))     # of every part of each text
+    assert got["xx"] == b" ".join([b"short words only of"] * 5) and got["yy"].strip() == b"last"
+
+
 def brute_measures(text):
     text = text or ""
     w = words(text)

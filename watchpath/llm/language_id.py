@@ -7,9 +7,10 @@ the most of what the text repeats. The score is the winner's share of a softmax
 over compressed bits per byte; where it is below ``MARGIN`` the answer is marked
 as rejected.
 
-Dictionaries are bounded: per language the first ``DICT_BYTES`` of training
-texts taken in hash order (``TRAIN_ROWS`` rows at most are read back per
-language). Every whole text is classified.
+Dictionaries are bounded: per language ``DICT_BYTES`` from pieces spread over
+the whole of at most ``TRAIN_ROWS`` training texts, taken in hash order. Each
+gives as much as the others, or all it has, until the dictionary is full or all
+are used up. Every whole text is classified.
 
 Cases: a null text, or one without a letter, is ``und`` with score 0. Equal
 totals go to the first language by code point. Rows without an id or language
@@ -26,15 +27,17 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .tables import col
+from .tables import col, materialize
 
 DICT_BYTES = 160 << 10
 TRAIN_ROWS = 700
 #: Bytes of normalised text compressed at once; short enough that the dictionary counts in every chunk.
 CHUNK = 1 << 10
+#: Characters of a training text's piece.
+PIECE = 256
 MARGIN = 0.55
 LEVEL = 6
 
@@ -46,6 +49,25 @@ def normal(text: str) -> bytes:
     return _NOT_LETTERS.sub(" ", text.lower()).strip().encode("utf-8", "replace")
 
 
+def _room(lengths: list[int], wanted: int) -> int:
+    """The characters that each text may give so that all together give ``wanted``, or the longest text's."""
+    for i, n in enumerate(sorted(lengths)):
+        each = -(-wanted // (len(lengths) - i))
+        if n >= each:
+            return each
+        wanted -= n
+    return max(lengths)
+
+
+def _spread(text: Column, room: Column) -> Column:
+    """About ``room`` characters in pieces evenly spread over a text; all of a text that is no longer."""
+    n, pieces = F.length(text), F.ceil(room / PIECE)
+    size = F.ceil(room / pieces).cast("int")
+    parts = F.transform(F.sequence(F.lit(0).cast("long"), pieces - 1), lambda j: F.substring(
+        text, (F.floor((2 * j + 1) * n / (2 * pieces)) - F.floor(size / 2) + 1).cast("int"), size))
+    return F.when(n <= room, text).otherwise(F.array_join(parts, " "))
+
+
 def dictionaries(train: DataFrame, text: str = "text", id: str = "doc_id", lang: str = "lang",
                  dict_bytes: int = DICT_BYTES, rows: int = TRAIN_ROWS) -> dict[str, bytes]:
     """Dictionary content per language, from at most ``rows`` texts each in hash order."""
@@ -57,16 +79,34 @@ def dictionaries(train: DataFrame, text: str = "text", id: str = "doc_id", lang:
     share = F.lit(-1)
     for name, n in counts.items():            # some more than asked for, cut below
         share = F.when(F.col("lang") == name, int(parts * min(1.0, 1.5 * rows / n))).otherwise(share)
-    near = known.withColumn("u", u).filter(F.col("u") < share)
-    piece = F.substring("text", 1, 4 * dict_bytes // rows + 200)      # of a training text, not of a judged one
-    picked = near.groupBy("lang").agg(F.slice(F.array_sort(F.collect_list(
-        F.struct("u", piece.alias("text")))), 1, rows).alias("texts")).collect()
-    out = {}
-    for r in sorted(picked, key=lambda r: r.lang):
-        content = b" ".join(normal(t.text) for t in r.texts)
-        if content:
-            out[r.lang] = content[:dict_bytes]
-    return out
+    near = materialize(known.withColumns({"u": u, "h": F.xxhash64("text")}).filter(F.col("u") < share), "language-sample")
+    sampled: dict[str, list] = {}
+    for r in near.select("lang", "u", "h", F.length("text").alias("n")).collect():
+        sampled.setdefault(r.lang, []).append((r.u, r.h, r.n))
+    sampled = {name: sorted(found)[:rows] for name, found in sampled.items()}
+    longest = {name: max(n for *_, n in found) for name, found in sampled.items()}
+    room = {name: _room([n for *_, n in found], dict_bytes) for name, found in sampled.items()}
+    out: dict[str, bytes] = {}
+    while any(room.values()):
+        ask = near.sparkSession.createDataFrame([(name, sampled[name][-1][:2], n) for name, n in room.items() if n],
+                                                "lang string, last struct<u: long, h: long>, room long")
+        picked = near.join(F.broadcast(ask), "lang").filter(F.struct("u", "h") <= F.col("last")).select(
+            "lang", "u", "h", _spread(F.col("text"), F.col("room")).alias("text")).collect()
+        texts: dict[str, list] = {}
+        for r in sorted(picked, key=lambda r: (r.lang, r.u, r.h)):
+            texts.setdefault(r.lang, []).append(normal(r.text))
+        for name, parts in texts.items():
+            parts = parts[:rows]
+            size = sum(map(len, parts)) + len(parts) - 1
+            if size < dict_bytes and room[name] < longest[name]:        # characters that are no letters left room
+                room[name] = min(longest[name], 1 + int(room[name] * min(4.0, 1.05 * dict_bytes / max(1, size))))
+                continue
+            if size > dict_bytes:
+                parts = [part[: -(-len(part) * dict_bytes // size)] for part in parts]
+            room[name], content = 0, b" ".join(parts)
+            if content.strip():
+                out[name] = content[:dict_bytes]
+    return dict(sorted(out.items()))
 
 
 @cache
