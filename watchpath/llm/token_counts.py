@@ -12,9 +12,9 @@ States and transitions are compiled when first met and kept per worker.
 
 A text is cut into chunks. A chunk's state map (state before -> state after,
 tokens) is fixed behind its first space, since no piece continues over a space:
-only the head depends on the state before it. Maps compose by a prefix scan
-over the chunks. Words behind a space start from one state, so their counts are
-memoised.
+only the head depends on the state before it. The maps are applied from left to
+right in one loop over the chunks of a text, not by a parallel prefix scan.
+Words behind a space start from one state, so their counts are memoised.
 
 Characters outside the vocabulary count one token per UTF-8 byte. Spaces are
 pieces' word marks, one more is put in front of a text, and control pieces are
