@@ -15,8 +15,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (exact_dedup, language_id, mixing, ngram_join, packing, quality_votes, rule_ensemble, token_counts,
-               url_filters, warc)
+from . import (exact_dedup, language_id, mixing, ngram_join, packing, periodic_runs, quality_votes, reply_trees,
+               rule_ensemble, token_alignment, token_counts, url_filters, warc)
 from .oracles import ORACLES
 
 URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
@@ -128,6 +128,55 @@ def op10_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_votes.judged(table(spark, sf_dir, "documents")).drop("posterior")
 
 
+def _with_repeats(docs: DataFrame) -> DataFrame:
+    """doc_id and text, where every tenth text repeats a stretch of its words up to its end."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.expr(r"filter(split(text, '[\\x20\\x09-\\x0D]+'), w -> w <> '')")
+    changed = docs.select("doc_id", "text", F.when(h % 10 == 0, words).alias("words"), F.floor(h / 10).cast("long").alias("g"))
+    changed = changed.withColumn("n", F.size("words").cast("long")).withColumn("a", F.expr("if(n > 0, g % n, 0L)"))
+    changed = changed.withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)"))
+    repeated = F.expr("array_join(transform(sequence(0L, n - 1), i -> words[int(if(i >= a, a + (i - a) % p, i))]), ' ')")
+    return changed.select("doc_id", F.when(F.col("n") > 0, repeated).otherwise(F.col("text")).alias("text"))
+
+
+def op11_recompression_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words of every document, and its text without them."""
+    found = periodic_runs.periodic_runs(_with_repeats(table(spark, sf_dir, "documents")))
+    longest = F.expr("""aggregate(runs, cast(null as struct<start:long,length:long,period:long>), (best, run) ->
+        if(best is null or run.length * best.period > best.length * run.period, run, best))""")
+    lines = F.expr("array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')")
+    return found.withColumn("best", longest).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("best.start").alias("start"),
+        F.col("best.length").alias("length"), F.col("best.period").alias("period"),
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(lines.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+def op12_reply_tree_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation as chat text, read back from it."""
+    told = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    marked = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, F.lit("user")).otherwise(F.lit("assistant")).alias("role"),
+        F.lit("</s>[INST] ok [/INST]").alias("text"))
+    messages = reply_trees.chained(told.unionByName(marked), "conv_id", "turn")
+    formatted = reply_trees.conversations(messages, "conv_id", "message", "parent", role="role", text="text")
+    back = reply_trees.read_back(formatted)
+    turns = F.expr("array_join(transform(turns, t -> concat(t.role, '\n', t.text, '\n')), '')")
+    learned = F.expr("array_join(transform(filter(turns, t -> t.learned is not null), t -> t.learned), '')")
+    return back.select(
+        F.col("tree").alias("conv_id"), F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(turns.cast("binary"), 256).alias("turns_sha256"), F.length(learned).cast("long").alias("loss_chars"),
+        F.sha2(learned.cast("binary"), 256).alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of two tokenizers' tokens of every document."""
+    return token_alignment.aligned(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"),
+                                   tokenizer_path("piece_bpe_32k.model"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline over all documents."""
     if _ROOT not in sys.path:
@@ -140,7 +189,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_grace_dedup, op2_power_packing, op3_flow_mixing, op4_rule_quality, op5_ngram_join,
                                     op6_url_filter, op7_compression_language, op8_warc, op9_token_counts,
-                                    op10_quality_votes, pipeline)}
+                                    op10_quality_votes, op11_recompression_runs, op12_reply_tree_chat,
+                                    op13_token_alignment, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
