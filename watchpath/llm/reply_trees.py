@@ -70,40 +70,40 @@ def _written(df: DataFrame, name: str, count: Column) -> tuple[DataFrame, int]:
     return df.sparkSession.read.parquet(path), int(seen.get["n"])
 
 
-def _paths(links: DataFrame, paths: int | None) -> DataFrame:
+def _met(left: DataFrame, right: DataFrame, node: str, how: str = "inner") -> DataFrame:
+    """``left`` with the columns of ``right`` (t, p, ...) of the message that ``node`` names."""
+    return left.join(right, (F.col("tree") == F.col("t")) & (F.col(node) == F.col("p")), how).drop("t", "p")
+
+
+def _named(df: DataFrame, node: str, *more: Column | str) -> DataFrame:
+    return df.select(F.col("tree").alias("t"), F.col(node).alias("p"), *more)
+
+
+def _paths(nodes: DataFrame, paths: int | None) -> DataFrame:
     """tree, leaf, node, place (0: the root) of the messages on the chosen paths."""
-    nodes = links.groupBy("tree", "node").agg(F.min("parent").alias("parent"), F.max("score").alias("score"))
-    nodes = materialize(nodes, "reply-nodes")
-    known = nodes.select(F.col("tree").alias("t"), F.col("node").alias("p"))
-    meets = (F.col("tree") == F.col("t")) & (F.col("parent") == F.col("p"))
-    step = nodes.join(known, meets, "left").select("tree", "node", F.when(F.col("p").isNotNull(), F.col("parent")).alias("up"),
-                                                  F.lit(1).cast("long").alias("n"), F.col("score").alias("s"))
-    step, going = _written(step, "reply-step", F.col("up").isNotNull())
-    parents = step.filter("up is not null").select(F.col("tree").alias("t"), F.col("up").alias("p")).distinct()
-    leaves = step.join(parents, (F.col("tree") == F.col("t")) & (F.col("node") == F.col("p")), "left_anti")
-    leaves = leaves.select("tree", "node")
-    rounds, before = [], None
+    first = _met(nodes, _named(nodes, "node", F.lit(True).alias("known")), "parent", "left").select(
+        "tree", "node", F.when(F.col("known"), F.col("parent")).alias("up"), F.lit(1).cast("long").alias("n"), F.col("score").alias("s"))
+    step, going = _written(first, "reply-step", F.col("up").isNotNull())
+    leaves = _met(step, _named(step, "up").filter("p is not null").distinct(), "node", "left_anti").select("tree", "node")
+    rounds, done, before = [], step.filter("up is null"), None
     while going and going != before:                     # what stays are circles
-        rounds.append(step.filter("up is not null").select("tree", "node", "up"))
-        far = step.select(F.col("tree").alias("t"), F.col("node").alias("p"), F.col("up").alias("far"),
-                          F.col("n").alias("fn"), F.col("s").alias("fs"))
-        met = step.join(far, (F.col("tree") == F.col("t")) & (F.col("up") == F.col("p")), "left")
-        step, left = _written(met.select(
-            "tree", "node", F.col("far").alias("up"), (F.col("n") + F.coalesce("fn", F.lit(0))).alias("n"),
-            (F.col("s") + F.coalesce("fs", F.lit(0.0))).alias("s")), "reply-step", F.col("up").isNotNull())
+        active = step.filter("up is not null")
+        rounds.append(active.select("tree", "node", "up"))
+        far = _named(active.unionByName(done), "node", F.col("up").alias("far"), F.col("n").alias("fn"), F.col("s").alias("fs"))
+        step, left = _written(_met(active, far, "up").select(
+            "tree", "node", F.col("far").alias("up"), (F.col("n") + F.col("fn")).alias("n"), (F.col("s") + F.col("fs")).alias("s")),
+            "reply-step", F.col("up").isNotNull())
+        done = done.unionByName(step.filter("up is null"))
         before, going = going, left
-    ends = step.filter("up is null").select(F.col("tree").alias("t"), F.col("node").alias("p"), "n", "s")
-    chosen = leaves.join(ends, (F.col("tree") == F.col("t")) & (F.col("node") == F.col("p"))).select(
-        "tree", F.col("node").alias("leaf"), "n", (F.col("s") / F.col("n")).alias("mean"))
+    chosen = _met(leaves, _named(done, "node", "n", (F.col("s") / F.col("n")).alias("mean")), "node")
     if paths is not None:
-        best = Window.partitionBy("tree").orderBy(F.desc("mean"), F.desc("n"), "leaf")
+        best = Window.partitionBy("tree").orderBy(F.desc("mean"), F.desc("n"), "node")
         chosen = chosen.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= paths)
-    found = chosen.select("tree", "leaf", F.col("leaf").alias("node"), (F.col("n") - 1).alias("place"))
+    found = chosen.select("tree", F.col("node").alias("leaf"), "node", (F.col("n") - 1).alias("place"))
     for k in reversed(range(len(rounds))):
-        jump = rounds[k].select(F.col("tree").alias("t"), F.col("node").alias("p"), "up")
-        moved = found.join(jump, (F.col("tree") == F.col("t")) & (F.col("node") == F.col("p")))
-        found = materialize(found.unionByName(moved.select(
-            "tree", "leaf", F.col("up").alias("node"), (F.col("place") - (1 << k)).alias("place"))), "reply-paths")
+        moved = _met(found, _named(rounds[k], "node", "up"), "node").select(
+            "tree", "leaf", F.col("up").alias("node"), (F.col("place") - (1 << k)).alias("place"))
+        found = materialize(found.unionByName(moved), "reply-paths")
     return found
 
 
@@ -122,25 +122,37 @@ def conversations(messages: DataFrame | tuple[DataFrame, DataFrame], tree: str,
     of, node, up = (col(n) for n in names)
     links = (rows if links is None else links).select(
         key(of).alias("tree"), key(node).alias("node"), F.when(up.isNotNull(), key(up)).alias("parent"), value.alias("score"))
-    places = materialize(_paths(links, paths), "reply-places")
-    large = links.groupBy("tree").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > whole_tree).select("tree")
+    nodes = materialize(links.groupBy("tree", "node").agg(F.min("parent").alias("parent"), F.max("score").alias("score")), "reply-nodes")
+    places = materialize(_paths(nodes, paths), "reply-places")
+    large = nodes.groupBy("tree").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > whole_tree).select("tree")
     large, n = materialize(large, "reply-large", count=True)
     rows = rows.select(key(col(tree)).alias("tree"), key(col(message)).alias("node"), F.coalesce(col(role), F.lit("")).alias("role"),
                        F.coalesce(col(text), F.lit("")).alias("text"))
     if not n:
-        return _formatted(rows.repartition("tree"), places.repartition("tree"), learned)
+        return _formatted(_placed(rows, places), learned)
     listed = F.broadcast(large) if n <= LISTED_TREES else large
     side = lambda df, how: df.join(listed.select(F.col("tree").alias("t")), (F.col("tree") == F.col("t")), how)
-    usual = _formatted(side(rows, "left_anti").repartition("tree"), side(places, "left_anti").repartition("tree"), learned)
-    return usual.unionByName(_formatted(side(rows, "left_semi"), side(places, "left_semi"), learned))
+    usual = _formatted(_placed(side(rows, "left_anti"), side(places, "left_anti")), learned)
+    return usual.unionByName(_formatted(side(places, "left_semi").join(side(rows, "left_semi"), ["tree", "node"]), learned))
+
+
+def _placed(rows: DataFrame, places: DataFrame) -> DataFrame:
+    """``rows`` on their places, a row for each; all of a tree in one task, so that nothing moves again by path."""
+    kind = lambda df, names: df.select(*[
+        F.col(n) if n in df.columns else F.lit(None).cast(dict([*rows.dtypes, *places.dtypes])[n]).alias(n) for n in names])
+    names = ["tree", "node", "role", "text", "leaf", "place"]
+    both = kind(rows, names).unionByName(kind(places, names)).repartition("tree")
+    at = F.collect_list(F.when(F.col("place").isNotNull(), F.struct("leaf", "place"))).over(Window.partitionBy("tree", "node"))
+    texts = both.withColumn("at", at).filter("place is null").select("tree", "node", "role", "text", F.explode("at").alias("x"))
+    return texts.select("tree", "node", "role", "text", "x.leaf", "x.place")
 
 
-def _formatted(rows: DataFrame, places: DataFrame, learned: tuple[str, ...]) -> DataFrame:
-    """Conversations of the paths in ``places``; where both sides come dealt by tree, nothing moves again."""
+def _formatted(placed: DataFrame, learned: tuple[str, ...]) -> DataFrame:
+    """Conversations of messages on their places."""
     head = F.concat(F.lit(TURN), escaped(F.col("role")), F.lit(ROLE_END))
     teaches = F.col("role").isin(*learned)
     body = escaped(F.col("text"))
-    turns = places.join(rows, ["tree", "node"]).select("tree", "leaf", F.struct(
+    turns = placed.select("tree", "leaf", F.struct(
         "place", F.concat(head, body, F.lit(TURN_END)).alias("turn"),
         F.when(teaches, F.length(head)).alias("start"), F.when(teaches, F.length(body)).alias("length")).alias("x"))
     path = turns.groupBy("tree", "leaf").agg(F.sort_array(F.collect_list("x")).alias("x"))
