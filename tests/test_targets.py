@@ -12,7 +12,7 @@ from watchpath.sources.standin import PLAYER_EVENT_BRAND
 
 def test_case_of_the_target_does_not_matter(spark):
     t = tables(spark, SF_SMALL)
-    n = [attributed_timeline(t, P.START, P.END, name, PLAYER_EVENT_BRAND).count() for name in ("alpha show", "Alpha Show")]
+    n = [attributed_timeline(t, *t.scope(), name, PLAYER_EVENT_BRAND).count() for name in ("alpha show", "Alpha Show")]
     assert n[0] == n[1] > 0
 
 

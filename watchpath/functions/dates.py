@@ -47,5 +47,9 @@ class DateScope:
         return cls.between(today - dt.timedelta(days=first_back),
                            today - dt.timedelta(days=last_back))
 
+    def __iter__(self):
+        """``start, end``: a scope can stand for both in a call (``plan(tables, *scope, ...)``)."""
+        return iter((self.start, self.end))
+
     def days(self) -> int:
         return (self.end - self.start).days + 1

@@ -11,7 +11,7 @@ from watchpath import columns as C
 from watchpath.functions.devices import device_family
 from watchpath.functions.labels import EASTERN
 from watchpath.functions.titles import clicked_title, start_type
-from watchpath.operators.skew import stitched_window
+from watchpath.operators.carry import carried_lags, deal, together
 
 
 def _ts_literal(d: dt.date):
@@ -75,18 +75,19 @@ def classify_clicks(clicks: DataFrame, brand: str, title: str | None = None,
     return rows.where(keep)
 
 
-def click_feeder(clicks: DataFrame, mode: str = "lag", slicing=None, tiebreak=()) -> DataFrame:
+def click_feeder(clicks: DataFrame, mode: str = "lag", tiebreak=(), parts: int | None = None) -> DataFrame:
     """Feeder of a click: the previous click's title in the same account-day
     (``lag``), or the blank string of the classified row (``blank``).
 
-    With ``slicing`` (hot account-days, see ``operators.skew``) the clicks
-    must carry their slice columns; the LAG runs per slice and is stitched.
-    ``tiebreak`` orders clicks at the same instant (default: unspecified).
+    The LAG runs on range partitions (``operators.carry``), so an account-day of any
+    size is spread. ``tiebreak`` orders clicks at the same instant (default: by a
+    hash of the row).
     """
     if mode == "blank":
         return clicks
     if mode != "lag":
         raise ValueError(f"unknown click feeder mode {mode!r}")
-    lagged = stitched_window(clicks.drop(C.FEEDER), [C.ACCOUNT, C.DAY], C.TIME,
-                             lags=[("_feeder", C.TITLE)], slicing=slicing, tiebreak=tiebreak)
-    return lagged.withColumnRenamed("_feeder", C.FEEDER).select(*clicks.columns)
+    keys = [C.ACCOUNT, C.DAY]
+    dealt = deal(clicks.drop(C.FEEDER), keys, [C.TIME], tiebreak, parts, "clicks")
+    lagged = carried_lags(together(dealt, keys), keys, [C.TIME], [(C.FEEDER, C.TITLE)], tiebreak=tiebreak)
+    return lagged.select(*clicks.columns)

@@ -65,13 +65,17 @@ def episode_series_map(counts: DataFrame, per_day: bool = True) -> DataFrame:
 
 def feeder_to_series(clicks: DataFrame, mapping: DataFrame) -> DataFrame:
     """``Combination``: the feeder's series when the map knows the feeder as an
-    episode, else the cleaned feeder. A tied map duplicates the click."""
+    episode, else the cleaned feeder. A tied map duplicates the click.
+
+    Clicks without a feeder (a third or more of them) match nothing. They get a key of
+    their own each, as NULL keys would all meet in one task where the map is too large to broadcast.
+    """
     per_day = C.DAY in mapping.columns
     keys = [C.DAY, "Episode"] if per_day else ["Episode"]
-    left = clicks.withColumn("Episode", clean_title(C.FEEDER))
-    joined = join_small(left, mapping, keys, "left")
-    return (joined.withColumn(COMBINATION, F.coalesce(F.col("Series"), F.col("Episode")))
-            .drop("Episode", "Series"))
+    alone = F.concat(F.lit("\0"), C.ACCOUNT, F.col(C.TIME).cast("string"))
+    left = clicks.withColumn("_known", clean_title(C.FEEDER)).withColumn("Episode", F.coalesce("_known", alone))
+    return (join_small(left, mapping, keys, "left")
+            .withColumn(COMBINATION, F.coalesce("Series", "_known")).select(*clicks.columns, COMBINATION))
 
 
 def series_cue_only(df: DataFrame) -> DataFrame:
@@ -79,13 +83,12 @@ def series_cue_only(df: DataFrame) -> DataFrame:
     return df.where(F.lower(C.DETAILS).like("%series%cue%up%"))
 
 
-def linear_channels(video: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
-    """Distinct cleaned linear channel names per day."""
-    return (video.where(F.col("adobe_date").between(F.lit(start), F.lit(end))
+def linear_channels(video: DataFrame, start: dt.date, end: dt.date, per_day: bool = True) -> DataFrame:
+    """Distinct cleaned linear channel names per day (``per_day=False``: of all days together)."""
+    names = video.where(F.col("adobe_date").between(F.lit(start), F.lit(end))
                         & (F.col("content_channel") != NO_CHANNEL))
-            .select(F.col("adobe_date").alias(C.DAY),
-                    clean_title("content_channel").alias(COMBINATION))
-            .distinct())
+    day = [F.col("adobe_date").alias(C.DAY)] if per_day else []
+    return names.select(*day, clean_title("content_channel").alias(COMBINATION)).distinct()
 
 
 def exclude_channels(df: DataFrame, channels: DataFrame) -> DataFrame:
@@ -94,7 +97,8 @@ def exclude_channels(df: DataFrame, channels: DataFrame) -> DataFrame:
     Neither side can hold a NULL key here, so NOT IN is a plain anti join.
     """
     kept = df.where(F.col(COMBINATION).isNotNull() & (F.col(COMBINATION) != VIEW_ALL))
-    return join_small(kept, channels, [C.DAY, COMBINATION], "left_anti")
+    keys = [C.DAY, COMBINATION] if C.DAY in channels.columns else [COMBINATION]
+    return join_small(kept, channels, keys, "left_anti")
 
 
 def conditional_reach(df: DataFrame, keys=(C.DAY, COMBINATION)) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from watchpath import columns as C
 from watchpath.functions.labels import MANUAL, PLAY_END, PLAY_SHIFT_SECONDS
-from watchpath.operators.skew import stitched_window
+from watchpath.operators.carry import carried_lags, deal, together
 
 
 def play_events(video: DataFrame, start: dt.date, end: dt.date,
@@ -48,14 +48,13 @@ def play_rows(video: DataFrame, start: dt.date, end: dt.date,
     return rows
 
 
-def play_feeder(rows: DataFrame, slicing=None, tiebreak=()) -> DataFrame:
+def play_feeder(rows: DataFrame, tiebreak=(), parts: int | None = None) -> DataFrame:
     """Feeder title and feeder video id: the previous viewing's, same account-day.
 
-    The window runs on the timeline names (a uniform shift keeps the order),
-    so its (account, day) partitioning survives into the union downstream.
+    The LAG runs on range partitions (``operators.carry``), so an account-day of any size is spread.
     """
-    lagged = stitched_window(rows, [C.ACCOUNT, C.DAY], C.TIME,
-                             lags=[(C.FEEDER, C.TITLE), (C.FEEDER_ID, C.VIDEO_ID)],
-                             slicing=slicing, tiebreak=tiebreak)
-    extra = [c for c in rows.columns if c not in C.TIMELINE]
-    return lagged.select(*C.TIMELINE, *extra)
+    keys = [C.ACCOUNT, C.DAY]
+    dealt = deal(rows, keys, [C.TIME], tiebreak, parts, "plays")
+    lagged = carried_lags(together(dealt, keys), keys, [C.TIME], [(C.FEEDER, C.TITLE), (C.FEEDER_ID, C.VIDEO_ID)],
+                          tiebreak=tiebreak)
+    return lagged.select(*C.TIMELINE)

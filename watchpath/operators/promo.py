@@ -1,10 +1,10 @@
 """Promo cohort: accounts sent by a cue-up from some shows to a target show,
 their later viewing of it, minus accounts that were already watching.
 
-No step pairs rows of one account with each other: the "viewing before a
-promo event" tests use per-account aggregates, and the "usage after an
-event" credit counts events with an ordered window over the union of
-events and usage.
+No step pairs rows of one account with each other: a viewing's rank among the
+pairs of viewings and promo events is computed from counts, and the "usage
+after an event" credit counts events with an ordered window over the union
+of events and usage. Both windows run on range partitions (``operators.carry``).
 """
 
 from __future__ import annotations
@@ -15,19 +15,11 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from watchpath.functions.hours import round_hours
+from watchpath.functions.hours import hour_hundredths, round_hours
 from watchpath.functions.labels import PROMO_CLOCK_SHIFT_HOURS, PROMO_LEAD_MINUTES
 from watchpath.functions.titles import clean_title_promo
 from watchpath.operators.joins import join_small, subset_of
-from watchpath.operators.skew import (
-    HOT_KEY_ROWS,
-    assign_slices,
-    key_profile,
-    plan_slices,
-    remembered_slices,
-    stitched_group_sum,
-    stitched_window,
-)
+from watchpath.operators.carry import carried_sums, deal
 
 ACCOUNT = "adobe_tracking_id"
 
@@ -105,44 +97,93 @@ def prior_target_viewers(video: DataFrame, accounts: DataFrame, target: str,
     return subset_of(viewers, accounts)
 
 
-def viewing_order(video: DataFrame, events: DataFrame, viewers: DataFrame, titles,
-                  target: str, since: dt.date, end: dt.date) -> DataFrame:
-    """Per prior viewer: first viewing among ``titles``, first viewing of
-    ``target``, and the latest promo event time.
+def _prior_views(video: DataFrame, titles, since: dt.date, end: dt.date) -> DataFrame:
+    """Started and played viewings of ``titles`` (any case) in [since, end]."""
+    titles = [t.lower() for t in titles]
+    return video.where(F.col("adobe_date").between(F.lit(since), F.lit(end))
+                       & (F.col("num_views_started") > 0)
+                       & (F.col("num_seconds_played_no_ads") > 0)
+                       & F.lower("display_name").isin(*titles))
+
 
-    These decide "the target came first" (rank 1 by time) and "the target
-    was watched before some promo event" without pairing each viewing with
-    each event of the account.
+def viewing_order(video: DataFrame, events: DataFrame, viewers: DataFrame, titles,
+                  since: dt.date, end: dt.date) -> DataFrame:
+    """The prior viewers' viewings of ``titles``, ranked: a row per (account, time, title).
+
+    As published, every viewing is paired with every promo event of its account and
+    the pairs (account, viewing time, title, event time) are ranked by viewing time,
+    so ``day_rank`` = 1 + (the account's earlier viewings) x (its distinct event
+    times); it is the same for all pairs of a viewing, and no pair is formed. The row of
+    a viewing is its pair with the latest event: ``bingetime``, and ``hours_watched`` once per
+    event row of that time (rounded to 2 decimals).
     """
-    titles = [t.lower() for t in titles]
-    v = video.where(F.col("adobe_date").between(F.lit(since), F.lit(end))
-                    & (F.col("num_views_started") > 0)
-                    & (F.col("num_seconds_played_no_ads") > 0)
-                    & F.lower("display_name").isin(*titles))
-    v = join_small(v, viewers, ACCOUNT, "left_semi")
-    is_target = F.lower("display_name") == F.lower(F.lit(target))
-    per_account = v.groupBy(ACCOUNT).agg(
-        F.min("adobe_timestamp").alias("first_view"),
-        F.min(F.when(is_target, F.col("adobe_timestamp"))).alias("first_target_view"))
-    last_promo = events.groupBy(F.col("userid").alias(ACCOUNT)).agg(
-        F.max("RevisedTimeStamp1").alias("last_promo"))
-    order = per_account.join(last_promo, ACCOUNT, "inner")
+    v = join_small(_prior_views(video, titles, since, end), viewers, ACCOUNT, "left_semi")
+    views = (v.groupBy(ACCOUNT, F.col("adobe_timestamp").alias("jtimestamp"), "display_name")
+             .agg(F.sum("num_seconds_played_no_ads").alias("_s")))
+    # a row per instant, so no two rows of the running count tie; titles at one instant are spellings of the list
+    instants = (views.groupBy(ACCOUNT, "jtimestamp")
+                .agg(F.count(F.lit(1)).alias("_n"), F.collect_list(F.struct("display_name", "_s")).alias("_views")))
+    counted = carried_sums(deal(instants, [ACCOUNT], ["jtimestamp"], name="viewings"), [ACCOUNT], ["jtimestamp"],
+                           [("_upto", F.col("_n"))])
+    times = (events.groupBy(F.col("userid").alias(ACCOUNT), "RevisedTimeStamp1").agg(F.count(F.lit(1)).alias("_rows"))
+             .groupBy(ACCOUNT).agg(F.count(F.lit(1)).alias("_times"), F.max("RevisedTimeStamp1").alias("bingetime"),
+                                   F.max_by("_rows", "RevisedTimeStamp1").alias("_latest")))
+    rows = join_small(counted, times, ACCOUNT, "inner").select(
+        ACCOUNT, "jtimestamp", F.explode("_views").alias("_v"), "bingetime", "_latest",
+        (1 + (F.col("_upto") - F.col("_n")) * F.col("_times")).alias("day_rank"))
+    order = rows.select(ACCOUNT, "jtimestamp", "_v.display_name", "bingetime",
+                        (hour_hundredths(F.col("_v._s") * F.col("_latest")) / F.lit(100)).cast("double").alias("hours_watched"),
+                        "day_rank")
     order._viewers = viewers          # its accounts are a subset of the viewers
     return order
 
 
-def already_watching(order: DataFrame) -> DataFrame:
-    """Accounts whose target viewing came first or preceded a promo event."""
-    first, target = F.col("first_view"), F.col("first_target_view")
-    excluded = (order.where(target.isNotNull() & ((target == first) | (target < F.col("last_promo"))))
-                .select(ACCOUNT))
+def already_watching(order: DataFrame, target: str) -> DataFrame:
+    """Accounts with a viewing of ``target`` that came first or preceded a promo event."""
+    is_target = F.lower("display_name") == F.lower(F.lit(target))
+    excluded = (order.where(is_target & ((F.col("day_rank") == 1) | (F.col("jtimestamp") < F.col("bingetime"))))
+                .select(ACCOUNT).distinct())
     return subset_of(excluded, getattr(order, "_viewers", order))
 
 
+def viewer_history(video: DataFrame, titles, target: str, since: dt.date | None = None,
+                   end: dt.date | None = None) -> DataFrame:
+    """Per account: ``started_target`` (it started ``target``), ``first_view`` and ``first_target_view`` (its
+    first played viewing among ``titles``, and of ``target``).
+
+    All ``already_watching`` needs of the history. Parts of the history merge to the history of
+    the whole (``merge_history``), in any order and also when a part comes twice.
+    """
+    if since is not None:
+        video = video.where(F.col("adobe_date") >= F.lit(since))
+    if end is not None:
+        video = video.where(F.col("adobe_date") <= F.lit(end))
+    title = F.lower("display_name")
+    is_target, listed = title == target.lower(), title.isin(*[t.lower() for t in titles])
+    v = video.where(F.col(ACCOUNT).isNotNull() & (F.col("num_views_started") > 0) & (is_target | listed))
+    time = F.when((F.col("num_seconds_played_no_ads") > 0) & listed, F.col("adobe_timestamp"))
+    return v.groupBy(ACCOUNT).agg(F.max(is_target).alias("started_target"), F.min(time).alias("first_view"),
+                                  F.min(F.when(is_target, time)).alias("first_target_view"))
+
+
+def merge_history(*parts: DataFrame) -> DataFrame:
+    return (reduce(DataFrame.unionByName, parts).groupBy(ACCOUNT)
+            .agg(F.max("started_target").alias("started_target"), F.min("first_view").alias("first_view"),
+                 F.min("first_target_view").alias("first_target_view")))
+
+
+def already_watching_since(history: DataFrame, events: DataFrame) -> DataFrame:
+    """``already_watching`` from a kept ``viewer_history`` instead of the viewings: promo accounts only."""
+    last = events.groupBy(F.col("userid").alias(ACCOUNT)).agg(F.max("RevisedTimeStamp1").alias("last_promo"))
+    target = F.col("first_target_view")
+    return (join_small(history.where("started_target"), last, ACCOUNT, "inner")
+            .where((target == F.col("first_view")) | (target < F.col("last_promo"))).select(ACCOUNT))
+
+
 def _promo_timeline(events: DataFrame, usage: DataFrame, excluded: DataFrame, target: str,
-                    hot_key_rows, remember, event_cols=()):
+                    event_cols=(), parts: int | None = None) -> DataFrame:
     """Promo events (of accounts not excluded) and cohort usage of titles
-    containing ``target`` as one (account, title) timeline, with its slicing.
+    containing ``target`` as one (account, title) timeline, dealt over range partitions.
 
     Events are placed ``PROMO_LEAD_MINUTES`` early, so "usage after the
     event minus the lead" becomes "later on the timeline"; kind 1 = event,
@@ -162,18 +203,14 @@ def _promo_timeline(events: DataFrame, usage: DataFrame, excluded: DataFrame, ta
         F.col("adobe_timestamp").alias("_t"), F.lit(0).alias("_ev"),
         F.col("hours_watched").alias("_hours"),
         *[F.lit(None).cast(kind).alias(name) for name, _, kind in event_cols])
-    keys = ["_acct", "_title"]
-    slicing = None
-    if hot_key_rows is not None:
-        slicing = _slicing(ev.unionByName(us), keys, hot_key_rows, remember)
-    if slicing is not None:
-        return assign_slices(ev.unionByName(us), slicing, "_t"), keys, slicing
-    return ev.unionByName(us), keys, None
+    return deal(ev.unionByName(us), PROMO_KEYS, PROMO_ORDER, parts=parts, name="promo-timeline")
+
+
+PROMO_KEYS, PROMO_ORDER = ["_acct", "_title"], ["_t", "_ev"]
 
 
 def promo_reach_hours(events: DataFrame, usage: DataFrame, excluded: DataFrame,
-                      target: str, hot_key_rows: int | None = HOT_KEY_ROWS,
-                      remember=None) -> DataFrame:
+                      target: str, parts: int | None = None) -> DataFrame:
     """Reach and hours per (promoted title, watched title).
 
     A usage row counts for every promo event of the same account and title
@@ -181,14 +218,10 @@ def promo_reach_hours(events: DataFrame, usage: DataFrame, excluded: DataFrame,
     credited once per such event (as published). Events of excluded
     accounts are dropped. The count of qualifying events per usage row is a
     running sum over the account-title timeline (RANGE frame over time and
-    kind: a usage row sees the events strictly before it). An account-title
-    with more than ``hot_key_rows`` rows is split into time slices and
-    stitched (``operators.skew``).
+    kind: a usage row sees the events strictly before it).
     """
-    timeline, keys, slicing = _promo_timeline(events, usage, excluded, target,
-                                              hot_key_rows, remember)
-    credited = (stitched_window(timeline, keys, ["_t", "_ev"],
-                                running=[("_events_before", F.col("_ev"))], slicing=slicing)
+    timeline = _promo_timeline(events, usage, excluded, target, parts=parts)
+    credited = (carried_sums(timeline, PROMO_KEYS, PROMO_ORDER, [("_events_before", F.col("_ev"))])
                 .where((F.col("_ev") == 0) & (F.col("_events_before") > 0)))
     return (credited.groupBy("_title")
             .agg(F.countDistinct("_acct").alias("Reach"),
@@ -197,17 +230,6 @@ def promo_reach_hours(events: DataFrame, usage: DataFrame, excluded: DataFrame,
                     "Reach", "Hours"))
 
 
-def _slicing(timeline, keys, hot_key_rows, remember):
-    """Hot account-titles of the promo timeline; ``remember=(owner, params)``
-    lets a plan reuse the profile across runs (see ``remembered_slices``)."""
-    def build():
-        return plan_slices([key_profile(timeline, keys, "_t")], keys, hot_key_rows)
-    if remember is None:
-        return build()
-    owner, params = remember
-    return remembered_slices(owner, (*params, hot_key_rows), build)
-
-
 def _hour_ntz(ts):
     """Wall-clock hour of a timestamp_ntz, without any zone (date_trunc would
     go through the session zone and return a zoned timestamp)."""
@@ -216,32 +238,26 @@ def _hour_ntz(ts):
 
 
 def promo_hourly_from(events: DataFrame, usage: DataFrame, excluded: DataFrame, target: str,
-                      hot_key_rows: int | None = HOT_KEY_ROWS, remember=None) -> DataFrame:
+                      parts: int | None = None) -> DataFrame:
     """Reach and hours per (event hour, origin title, promoted title, watched title).
 
     Same credit as ``promo_reach_hours``, seen from the events: an event
     gets the hours of every later usage row of its account and title, i.e.
-    the title's totals minus the running sums up to the event. Reach counts
-    accounts with an event that has later usage; hours stay NULL when every
-    credited usage row has NULL hours, as a SUM over the pairs would.
+    the title's totals minus the running sums up to the event (both from one
+    pass). Reach counts accounts with an event that has later usage; hours stay
+    NULL when every credited usage row has NULL hours, as a SUM over the pairs would.
     """
     event_cols = [("Binge_Hour", _hour_ntz(F.col("RevisedTimeStamp1")), "timestamp_ntz"),
                   ("Binge_From", clean_title_promo("post_evar72"), "string")]
-    timeline, keys, slicing = _promo_timeline(events, usage, excluded, target,
-                                              hot_key_rows, remember, event_cols)
+    timeline = _promo_timeline(events, usage, excluded, target, event_cols, parts)
     use = (F.col("_ev") == 0).cast("long")
-    hours = F.coalesce("_hours", F.lit(0.0)) * use
-    has_hours = (F.col("_hours").isNotNull() & (F.col("_ev") == 0)).cast("long")
-    scanned = stitched_window(timeline, keys, ["_t", "_ev"], slicing=slicing,
-                              running=[("_h_upto", hours), ("_n_upto", use), ("_k_upto", has_hours)])
-    scanned = scanned.withColumn("_all", F.lit(0))
-    for name, expr in (("_h_all", hours), ("_n_all", use), ("_k_all", has_hours)):
-        scanned = stitched_group_sum(scanned, keys, "_all", expr, name, slicing=slicing)
+    sums = [("h", F.coalesce("_hours", F.lit(0.0)) * use), ("n", use),
+            ("k", (F.col("_hours").isNotNull() & (F.col("_ev") == 0)).cast("long"))]
+    scanned = carried_sums(timeline, PROMO_KEYS, PROMO_ORDER, [(f"_{n}_upto", e) for n, e in sums],
+                           [(f"_{n}_all", e) for n, e in sums])
     per_event = scanned.where(F.col("_ev") == 1).select(
         "_acct", "Binge_Hour", "Binge_From", "_title",
-        (F.col("_h_all") - F.col("_h_upto")).alias("_h_after"),
-        (F.col("_n_all") - F.col("_n_upto")).alias("_n_after"),
-        (F.col("_k_all") - F.col("_k_upto")).alias("_k_after"))
+        *[(F.col(f"_{n}_all") - F.col(f"_{n}_upto")).alias(f"_{n}_after") for n, _ in sums])
     return (per_event.where(F.col("_n_after") > 0)
             .groupBy("Binge_Hour", "Binge_From", "_title")
             .agg(F.countDistinct("_acct").alias("Reach"), F.sum("_h_after").alias("_h"),

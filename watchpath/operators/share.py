@@ -40,6 +40,21 @@ def autoplay_destinations(attributed: DataFrame, titles) -> DataFrame:
                     _hours("_h").alias("New_Watch_Times"))
 
 
+def _variants(attributed: DataFrame, titles) -> tuple[DataFrame, DataFrame]:
+    """Auto-play metrics per (day, feeder, title) as spelled, written once, and the hours of each day."""
+    titles = [t.lower() for t in titles]
+    dest = F.lower(C.TITLE).isin(*titles) & (F.col(C.START_TYPE) == AUTO_PLAY)
+    groups = (attributed.groupBy(C.DAY, C.FEEDER, C.TITLE)
+              .agg(F.sum(C.WATCH_TIME).alias("_all"),
+                   F.max(dest.cast("int")).alias("_is_dest"),
+                   F.countDistinct(F.when(dest, F.col(C.ACCOUNT))).alias("Unique_Accounts"),
+                   F.sum(F.when(dest, F.col(C.WATCH_TIME))).alias("_dest_s")))
+    groups = materialize(groups, "share-groups")
+    totals = (groups.groupBy(C.DAY).agg(hour_hundredths(F.sum("_all")).alias("_t"))
+              .select(C.DAY, _hours("_t").alias("Total_Watch_Time")))
+    return groups, totals
+
+
 def autoplay_share(attributed: DataFrame, titles, ordered: bool = False) -> DataFrame:
     """Destinations with titles case-folded, re-summed, and their share of the day.
 
@@ -52,16 +67,7 @@ def autoplay_share(attributed: DataFrame, titles, ordered: bool = False) -> Data
     The day totals have one row per day and are broadcast. A zero day total
     gives a NULL share.
     """
-    titles = [t.lower() for t in titles]
-    dest = F.lower(C.TITLE).isin(*titles) & (F.col(C.START_TYPE) == AUTO_PLAY)
-    groups = (attributed.groupBy(C.DAY, C.FEEDER, C.TITLE)
-              .agg(F.sum(C.WATCH_TIME).alias("_all"),
-                   F.max(dest.cast("int")).alias("_is_dest"),
-                   F.countDistinct(F.when(dest, F.col(C.ACCOUNT))).alias("Unique_Accounts"),
-                   F.sum(F.when(dest, F.col(C.WATCH_TIME))).alias("_dest_s")))
-    groups = materialize(groups, "share-groups")
-    totals = (groups.groupBy(C.DAY).agg(hour_hundredths(F.sum("_all")).alias("_t"))
-              .select(C.DAY, _hours("_t").alias("Total_Watch_Time")))
+    groups, totals = _variants(attributed, titles)
     folded = (groups.where(F.col("_is_dest") == 1)
               .withColumn("_h", hour_hundredths(F.col("_dest_s")))
               .groupBy(C.DAY, F.lower(C.FEEDER).alias(C.FEEDER), F.lower(C.TITLE).alias(C.TITLE))
@@ -75,13 +81,19 @@ def autoplay_share(attributed: DataFrame, titles, ordered: bool = False) -> Data
     return published_order(share, "share", ordered)
 
 
-def fold_minor_feeders(share: DataFrame, min_share: float = MINOR_FEEDER_SHARE) -> DataFrame:
-    """Feeders at or below ``min_share`` of the day's hours become Unattributed
-    and are merged per (day, feeder, destination)."""
-    feeder = F.when(F.col("Prc_of_Total") > min_share, F.col(C.FEEDER)).otherwise(F.lit(UNATTRIBUTED))
-    return (share.withColumn(C.FEEDER, feeder)
-            .withColumn("_h", F.round(F.col("New_Watch_Times") * 100).cast("bigint"))
-            .groupBy(C.DAY, C.FEEDER, C.TITLE)
+def fold_minor_feeders(attributed: DataFrame, titles, min_share: float = MINOR_FEEDER_SHARE) -> DataFrame:
+    """The share report with minor feeders folded: a feeder, as spelled, at or below ``min_share`` of the
+    day's hours for a destination becomes Unattributed.
+
+    The test comes before destinations are case-folded and summed, so two spellings at 0.3 % each
+    are both folded; feeders above it keep their spelling.
+    """
+    groups, totals = _variants(attributed, titles)
+    tested = (groups.where(F.col("_is_dest") == 1).withColumn("_h", hour_hundredths(F.col("_dest_s")))
+              .join(F.broadcast(totals), C.DAY, "left"))                # one row per day
+    part = F.try_divide(_hours("_h"), F.col("Total_Watch_Time"))
+    feeder = F.when(part > min_share, F.col(C.FEEDER)).otherwise(F.lit(UNATTRIBUTED))
+    return (tested.groupBy(C.DAY, feeder.alias(C.FEEDER), F.lower(C.TITLE).alias(C.TITLE))
             .agg(F.sum("Unique_Accounts").alias("Unique_Accounts"), F.sum("_h").alias("_h"),
                  F.first("Total_Watch_Time").alias("Total_Watch_Time"))
             .select(C.DAY, C.FEEDER, C.TITLE, "Unique_Accounts", _hours("_h").alias("New_Watch_Times"),

@@ -5,20 +5,21 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from watchpath import columns as C
 from watchpath.functions.dates import as_date
 from watchpath.functions.labels import EASTERN
-from watchpath.operators.clicks import click_feeder, classify_clicks, normalize_clicks
-from watchpath.operators.plays import play_feeder, play_rows
-from watchpath.operators.skew import HOT_KEY_ROWS, SLICE, assign_slices
-from watchpath.plans.hotkeys import account_day_slicing
+from watchpath.operators.clicks import classify_clicks, normalize_clicks
 from watchpath.operators.order import published_order
+from watchpath.operators.plays import play_rows
 from watchpath.operators.timeline import (
+    IS_PLAY,
     attribute,
-    merge_timeline,
+    dealt_timeline,
     scope_by_feeder,
-    scope_by_title,
     sessionize,
+    with_feeders,
 )
 from watchpath.sources.tables import Tables
 
@@ -26,8 +27,7 @@ from watchpath.sources.tables import Tables
 def attributed_timeline(tables: Tables, start: str | dt.date, end: str | dt.date,
                         target: str, brand: str, scope: str = "display",
                         click_feeder_mode: str = "lag", tz: str = EASTERN,
-                        hot_key_rows: int | None = HOT_KEY_ROWS, ordered: bool = False,
-                        tiebreak=()):
+                        ordered: bool = False, tiebreak=(), parts: int | None = None):
     """Timeline of ``target`` over [start, end], attributed row by row.
 
     ``scope="display"``: rows whose own title is the target; clicks are
@@ -36,35 +36,23 @@ def attributed_timeline(tables: Tables, start: str | dt.date, end: str | dt.date
     ``scope="feeder"``: rows whose feeder is the target, after both LAGs.
     ``click_feeder_mode="blank"`` leaves click feeders as ''.
 
-    Account-days with more than ``hot_key_rows`` rows are split into time
-    slices for every window and stitched (``operators.skew``); None skips
-    the check. ``ordered=True`` sorts by account, day and time as published.
-    ``tiebreak`` (timeline column names) orders rows at the same instant for
-    the three LAGs only; by default such ties are unordered, as in SQL.
+    Clicks and plays are dealt together, once, over range partitions of (account,
+    day, time); all windows run on these and carry what crosses an edge
+    (``operators.carry``), so an account-day of any size is spread. ``parts``: their number.
+    ``ordered=True`` sorts by account, day and time as published. ``tiebreak`` (timeline
+    column names) orders rows at the same instant for the three LAGs only; by
+    default a hash of the row does.
     """
     if scope not in ("display", "feeder"):
         raise ValueError(f"unknown scope {scope!r}")
     start, end = as_date(start), as_date(end)
     clicks = normalize_clicks(tables.clickstream(start, end), start, end, tz)
     clicks = classify_clicks(clicks, brand, title=target if scope == "display" else None)
-    plays = play_rows(tables.video(start, end), start, end)
-    slicing = None
-    if hot_key_rows is not None:
-        slicing = account_day_slicing(tables, start, end, tz, hot_key_rows)
-    if slicing is not None:
-        clicks = assign_slices(clicks, slicing, C.TIME)
-        plays = assign_slices(plays, slicing, C.TIME)
-    clicks = click_feeder(clicks, click_feeder_mode, slicing, tiebreak)
-    plays = play_feeder(plays, slicing, tiebreak)
-    if scope == "display":
-        plays = scope_by_title(plays, target)
+    dealt = dealt_timeline(clicks, play_rows(tables.video(start, end), start, end), tiebreak, parts)
+    rows = with_feeders(dealt, click_feeder_mode, tiebreak)
+    if scope == "display":                      # clicks are scoped already
+        rows = rows.where(~F.col(IS_PLAY) | (F.lower(C.TITLE) == F.lower(F.lit(target))))
     else:
-        clicks = scope_by_feeder(clicks, target)
-        plays = scope_by_feeder(plays, target)
-    if click_feeder_mode == "blank":
-        # no window partitioned the clicks; shuffle them on the timeline key
-        # so the union keeps one partitioning and the plays move only once
-        part = [C.ACCOUNT, C.DAY] + ([SLICE] if slicing is not None else [])
-        clicks = clicks.repartition(*part)
-    result = attribute(sessionize(merge_timeline(clicks, plays), slicing, tiebreak))
+        rows = scope_by_feeder(rows, target)
+    result = attribute(sessionize(rows, tiebreak, dealt=dealt))
     return published_order(result, "attributed", ordered)

@@ -9,8 +9,6 @@ from watchpath import columns as C
 from watchpath.functions.dates import as_date
 from watchpath.functions.labels import EASTERN, TOP_K
 from watchpath.operators.clicks import click_feeder, classify_clicks, normalize_clicks
-from watchpath.operators.skew import HOT_KEY_ROWS, assign_slices
-from watchpath.plans.hotkeys import account_day_slicing
 from watchpath.operators.order import published_order
 from watchpath.operators.feeders import (
     COMBINATION,
@@ -27,22 +25,13 @@ from watchpath.sources.tables import Tables
 
 
 def feeder_clicks(tables: Tables, start, end, brand: str, tz: str = EASTERN,
-                  device_like: str | None = None,
-                  hot_key_rows: int | None = HOT_KEY_ROWS) -> DataFrame:
-    """Classified clicks with the LAG feeder (device scope before the LAG).
-
-    Hot account-days (over ``hot_key_rows`` clicks) are split for the LAG.
-    """
+                  device_like: str | None = None) -> DataFrame:
+    """Classified clicks with the LAG feeder (device scope before the LAG)."""
     start, end = as_date(start), as_date(end)
     clicks = normalize_clicks(tables.clickstream(start, end), start, end, tz,
                               with_device=device_like is not None)
     clicks = classify_clicks(clicks, brand, device_like=device_like)
-    slicing = None
-    if hot_key_rows is not None:
-        slicing = account_day_slicing(tables, start, end, tz, hot_key_rows)
-    if slicing is not None:
-        clicks = assign_slices(clicks, slicing, C.TIME)
-    return click_feeder(clicks, "lag", slicing).select(*C.TIMELINE)
+    return click_feeder(clicks, "lag").select(*C.TIMELINE)
 
 
 def series_map(tables: Tables, start, end, per_day: bool = True) -> DataFrame:
@@ -51,14 +40,23 @@ def series_map(tables: Tables, start, end, per_day: bool = True) -> DataFrame:
 
 
 def feeder_reach(tables: Tables, start, end, brand: str, tz: str = EASTERN,
-                 with_title: bool = False, device_like: str | None = None) -> DataFrame:
+                 with_title: bool = False, device_like: str | None = None,
+                 map_day=None, channel_day=None) -> DataFrame:
     """Per day and feeder series (and destination title when ``with_title``):
-    distinct accounts moved on by auto-play / up-next / either."""
+    distinct accounts moved on by auto-play / up-next / either.
+
+    Each day has its own map and channels; ``map_day`` and ``channel_day`` name one day
+    whose map (channels) holds for all click days, inside [start, end] or not.
+    """
     start, end = as_date(start), as_date(end)
-    combos = feeder_to_series(feeder_clicks(tables, start, end, brand, tz, device_like),
-                              series_map(tables, start, end))
-    combos = exclude_channels(series_cue_only(combos),
-                              linear_channels(tables.video(start, end), start, end))
+    if map_day is None:
+        mapping = series_map(tables, start, end)
+    else:
+        mapping = series_map(tables, map_day, map_day, per_day=False)
+    first, last = (start, end) if channel_day is None else (as_date(channel_day),) * 2
+    channels = linear_channels(tables.video(first, last), first, last, per_day=channel_day is None)
+    combos = feeder_to_series(feeder_clicks(tables, start, end, brand, tz, device_like), mapping)
+    combos = exclude_channels(series_cue_only(combos), channels)
     keys = (C.DAY, COMBINATION, C.TITLE) if with_title else (C.DAY, COMBINATION)
     return conditional_reach(combos, keys)
 
@@ -71,10 +69,10 @@ def top_feeders_daily(tables: Tables, start, end, brand: str, k: int = TOP_K,
 
 
 def feeder_destination_pairs(tables: Tables, start, end, brand: str, tz: str = EASTERN,
-                             series: str | None = None,
-                             device_like: str | None = None) -> DataFrame:
+                             series: str | None = None, device_like: str | None = None,
+                             map_day=None, channel_day=None) -> DataFrame:
     """Reach per (day, feeder series, destination title); optional one-series filter."""
-    r = feeder_reach(tables, start, end, brand, tz, with_title=True, device_like=device_like)
+    r = feeder_reach(tables, start, end, brand, tz, True, device_like, map_day, channel_day)
     if series is not None:
         r = r.where(F.col(COMBINATION) == series)
     return r.select(C.DAY, F.col(COMBINATION).alias("Auto_Binge_Source_Titles"), C.TITLE,
@@ -96,6 +94,6 @@ def device_feed_list(tables: Tables, start, end, map_start, map_end, device_like
 
 
 def device_top_feeders(tables: Tables, start, end, device_like: str, brand: str,
-                       k: int = TOP_K, tz: str = EASTERN) -> DataFrame:
-    """The daily ranking over one device family's clicks (per-day map and channels)."""
-    return top_feeders(feeder_reach(tables, start, end, brand, tz, device_like=device_like), k)
+                       k: int = TOP_K, tz: str = EASTERN, map_day=None, channel_day=None) -> DataFrame:
+    """The daily ranking over one device family's clicks (see ``feeder_reach`` for the days)."""
+    return top_feeders(feeder_reach(tables, start, end, brand, tz, False, device_like, map_day, channel_day), k)

@@ -1,26 +1,15 @@
 """Arguments of the registered queries on the stand-in tables.
 
-Date scopes cover every day of the stand-in (Eastern dates of events from
-2024-01-01 GMT start on 2023-12-31), so each registered query reads whole
-tables. Titles and patterns are the stand-in's counterparts of the daily
-scripts' literals.
-
-HISTORY_START is the promo report's "watched before since" date, a report
-parameter like the scripts' fixed start date. With history from the first
-day every cohort account of the stand-in counts as a prior viewer and the
-report is empty, so the last days are used; the usage and event scans still
-cover every day.
+Dates are no parameters: each query covers every day that the tables hold
+(``Tables.scope``), the promo report's history included. Titles and patterns are
+the stand-in's counterparts of the daily scripts' literals.
 """
 
-import datetime as dt
-
-START = dt.date(2023, 12, 31)
-END = dt.date(2024, 2, 1)
 TARGET = "alpha show"
 DESTINATIONS = ("bravo: live!", "view-all")
 DEVICE_LIKE = "%fire%tv%"
 PROMO_ORIGINS = ("%bravo%", "%charlie%")
 PROMO_VIEW_TITLES = ("alpha show", "bravo: live!")
-HISTORY_START = dt.date(2024, 1, 28)
-TOP_K = 50
+#: Ranks of the top feeders report (the stand-in has more of them on most days).
+TOP_K = 3
 CUE_PREFIX = "s|a|b"

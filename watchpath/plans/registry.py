@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from watchpath import columns as C
+from watchpath.functions.dates import DateScope
 from watchpath.functions.devices import device_family
 from watchpath.functions.rules import attributed_start_type, new_watch_time
 from watchpath.functions.titles import (
@@ -51,16 +52,30 @@ def tables(spark: SparkSession, sf_dir: str):
     return materialized(spark, sf_dir)
 
 
-def attributed(spark, sf_dir, scope="display", feeder="lag") -> DataFrame:
-    return attributed_timeline(tables(spark, sf_dir), P.START, P.END, P.TARGET, BRAND,
-                               scope=scope, click_feeder_mode=feeder)
+def scope(spark: SparkSession, sf_dir: str) -> DateScope:
+    """Every day of the tables."""
+    return tables(spark, sf_dir).scope()
+
+
+def attributed(s, d, kind="display", feeder="lag") -> DataFrame:
+    return attributed_timeline(tables(s, d), *scope(s, d), P.TARGET, BRAND, scope=kind, click_feeder_mode=feeder)
+
+
+def q_date_scope(s, d):
+    """Every day of the scope, with the tables that hold it."""
+    t = tables(s, d)
+    (start, end), (clicks, views) = t.scope(), t.days()
+    days = s.createDataFrame([(start, end)], "scope_start date, scope_end date").select(
+        F.explode(F.sequence("scope_start", "scope_end")).alias("day"), "scope_start", "scope_end")
+    held = lambda some: F.col("day").isin(*some) if some else F.lit(False)
+    return days.select("day", held(clicks).alias("has_clicks"), held(views).alias("has_views"), "scope_start", "scope_end")
 
 
 # --- click and play sides -------------------------------------------------
 
 def q_click_normalize(s, d):
     t = tables(s, d)
-    return normalize_clicks(t.clickstream(P.START, P.END), P.START, P.END)
+    return normalize_clicks(t.clickstream(*scope(s, d)), *scope(s, d))
 
 
 def q_device_normalize(s, d):
@@ -87,7 +102,7 @@ def q_classified_clicks(s, d):
 
 def q_click_device_scope(s, d):
     t = tables(s, d)
-    clicks = normalize_clicks(t.clickstream(P.START, P.END), P.START, P.END, with_device=True)
+    clicks = normalize_clicks(t.clickstream(*scope(s, d)), *scope(s, d), with_device=True)
     return classify_clicks(clicks, BRAND, device_like=P.DEVICE_LIKE)
 
 
@@ -101,7 +116,7 @@ def q_click_feeder_blank(s, d):
 
 
 def q_play_events(s, d):
-    return play_events(tables(s, d).video(P.START, P.END), P.START, P.END)
+    return play_events(tables(s, d).video(*scope(s, d)), *scope(s, d))
 
 
 def q_scope_by_title(s, d):
@@ -170,7 +185,7 @@ def q_autoplay_share(s, d):
 
 
 def q_minor_feeder_fold(s, d):
-    return SH.fold_minor_feeders(q_autoplay_share(s, d))
+    return SH.fold_minor_feeders(attributed(s, d, "feeder"), P.DESTINATIONS)
 
 
 def q_daily_start_type_totals(s, d):
@@ -199,17 +214,17 @@ def q_reject_station_names(s, d):
 
 
 def q_episode_series_counts(s, d):
-    return FD.episode_series_counts(tables(s, d).video(P.START, P.END), P.START, P.END)
+    return FD.episode_series_counts(tables(s, d).video(*scope(s, d)), *scope(s, d))
 
 
 def q_episode_series_map(s, d):
-    return PF.series_map(tables(s, d), P.START, P.END, per_day=True)
+    return PF.series_map(tables(s, d), *scope(s, d), per_day=True)
 
 
 def _feeder_combos(s, d):
     t = tables(s, d)
-    return FD.feeder_to_series(PF.feeder_clicks(t, P.START, P.END, BRAND),
-                               PF.series_map(t, P.START, P.END))
+    return FD.feeder_to_series(PF.feeder_clicks(t, *scope(s, d), BRAND),
+                               PF.series_map(t, *scope(s, d)))
 
 
 def q_feeder_to_series(s, d):
@@ -223,39 +238,48 @@ def q_series_cue_filter(s, d):
 def q_exclude_linear_channels(s, d):
     t = tables(s, d)
     return FD.exclude_channels(FD.series_cue_only(_feeder_combos(s, d)),
-                               FD.linear_channels(t.video(P.START, P.END), P.START, P.END))
+                               FD.linear_channels(t.video(*scope(s, d)), *scope(s, d)))
 
 
 def q_conditional_reach(s, d):
-    return PF.feeder_reach(tables(s, d), P.START, P.END, BRAND)
+    return PF.feeder_reach(tables(s, d), *scope(s, d), BRAND)
 
 
 def q_top_feeders_daily(s, d):
-    return PF.top_feeders_daily(tables(s, d), P.START, P.END, BRAND, P.TOP_K)
+    return PF.top_feeders_daily(tables(s, d), *scope(s, d), BRAND, P.TOP_K)
 
 
 def q_device_feed_list(s, d):
-    return PF.device_feed_list(tables(s, d), P.START, P.END, P.START, P.END, P.DEVICE_LIKE, BRAND)
+    return PF.device_feed_list(tables(s, d), *scope(s, d), *scope(s, d), P.DEVICE_LIKE, BRAND)
+
+
+def _fixed_days(s, d):
+    """First and last day of the viewing table: the device reports' channel day and map day."""
+    views = tables(s, d).days()[1]
+    return views[0], views[-1]
 
 
 def q_feeder_destination_pairs(s, d):
-    return PF.feeder_destination_pairs(tables(s, d), P.START, P.END, BRAND,
-                                       device_like=P.DEVICE_LIKE)
+    channel_day, map_day = _fixed_days(s, d)
+    return PF.feeder_destination_pairs(tables(s, d), *scope(s, d), BRAND, device_like=P.DEVICE_LIKE,
+                                       map_day=map_day, channel_day=channel_day)
 
 
 def q_device_top_feeders(s, d):
-    return PF.device_top_feeders(tables(s, d), P.START, P.END, P.DEVICE_LIKE, BRAND, P.TOP_K)
+    channel_day, map_day = _fixed_days(s, d)
+    return PF.device_top_feeders(tables(s, d), *scope(s, d), P.DEVICE_LIKE, BRAND, P.TOP_K,
+                                 map_day=map_day, channel_day=channel_day)
 
 
 # --- promo cohort ----------------------------------------------------------
 
 def q_video_id_lookup(s, d):
     t = tables(s, d)
-    return PR.video_lookup(t.clickstream(P.START, P.END), P.START, P.END)
+    return PR.video_lookup(t.clickstream(*scope(s, d)), *scope(s, d))
 
 
 def _events(s, d):
-    return PP.cohort_events(tables(s, d), P.START, P.END, P.PROMO_ORIGINS, P.TARGET)
+    return PP.cohort_events(tables(s, d), *scope(s, d), P.PROMO_ORIGINS, P.TARGET)
 
 
 def q_promo_binge_events(s, d):
@@ -268,48 +292,48 @@ def q_promo_accounts(s, d):
 
 def q_cohort_usage(s, d):
     t = tables(s, d)
-    return PR.cohort_usage(t.video(P.START, P.END), PR.promo_accounts(_events(s, d)),
-                           P.START, P.END)
+    return PR.cohort_usage(t.video(*scope(s, d)), PR.promo_accounts(_events(s, d)),
+                           *scope(s, d))
 
 
 def q_prior_target_viewers(s, d):
     t = tables(s, d)
-    return PR.prior_target_viewers(t.video(P.HISTORY_START, P.END), PR.promo_accounts(_events(s, d)),
-                                   P.TARGET, P.HISTORY_START, P.END)
+    return PR.prior_target_viewers(t.video(*scope(s, d)), PR.promo_accounts(_events(s, d)),
+                                   P.TARGET, *scope(s, d))
 
 
 def q_viewing_order(s, d):
     t = tables(s, d)
     events = _events(s, d)
-    video = t.video(P.HISTORY_START, P.END)
+    video = t.video(*scope(s, d))
     viewers = PR.prior_target_viewers(video, PR.promo_accounts(events), P.TARGET,
-                                      P.HISTORY_START, P.END)
-    return PR.viewing_order(video, events, viewers, P.PROMO_VIEW_TITLES, P.TARGET,
-                            P.HISTORY_START, P.END)
+                                      *scope(s, d))
+    return PR.viewing_order(video, events, viewers, P.PROMO_VIEW_TITLES, *scope(s, d))
 
 
 def q_already_watching(s, d):
-    return PR.already_watching(q_viewing_order(s, d))
+    return PR.already_watching(q_viewing_order(s, d), P.TARGET)
 
 
 def q_promo_reach_hours(s, d):
-    return PP.promo_reach(tables(s, d), P.START, P.END, P.HISTORY_START, P.PROMO_ORIGINS,
+    return PP.promo_reach(tables(s, d), *scope(s, d), scope(s, d).start, P.PROMO_ORIGINS,
                           P.TARGET, P.PROMO_VIEW_TITLES)
 
 
 def q_promo_hourly_from(s, d):
-    return PP.promo_reach_hourly(tables(s, d), P.START, P.END, P.HISTORY_START, P.PROMO_ORIGINS,
+    return PP.promo_reach_hourly(tables(s, d), *scope(s, d), scope(s, d).start, P.PROMO_ORIGINS,
                                  P.TARGET, P.PROMO_VIEW_TITLES)
 
 
 def q_optional_predicates(s, d):
-    return PP.promo_reach(tables(s, d), P.START, P.END, P.HISTORY_START, P.PROMO_ORIGINS,
+    return PP.promo_reach(tables(s, d), *scope(s, d), scope(s, d).start, P.PROMO_ORIGINS,
                           P.TARGET, P.PROMO_VIEW_TITLES, cue_prefix=P.CUE_PREFIX,
                           played_only=True)
 
 
 def queries() -> dict[str, Query]:
     return {
+        "date_scope": q_date_scope,
         "click_normalize": q_click_normalize,
         "device_normalize": q_device_normalize,
         "start_type_classify": q_start_type_classify,

@@ -35,7 +35,10 @@ CLICK_PATHS = ("cue|Alpha Show|auto-play", "cue|alpha show|click",
 STATIONS = ("WXYZ-DT", "KAB1-X", "ABC", "Local TV")
 EPISODES = ("alpha show", "Charlie Trailer", "Pilot")
 CHANNELS = ("Bravo Live", "N/A", "N/A", None, None, None)
-PROGRAMS = ("alpha show", "Alpha: Show", "Bravo: Live!")
+PROGRAMS = ("alpha show", "Alpha: Show", "Bravo: Live!", "Alpha Show: Recap", "Alpha Show & Friends")
+LOOKUPS = ("Alpha: Show", "Alpha Show: Recap", "Bravo: Live!", "Alpha Show & Friends")
+#: What an account of the share that never watched the target watches in its place.
+INSTEAD = "Delta"
 
 
 def _pick(values, index: Column) -> Column:
@@ -104,12 +107,13 @@ class StandInTables(Tables):
             .otherwise(F.lit(f"{PLAYER_EVENT_BRAND}:home"))
         )
         binge_from = (
-            F.when(((v % 3) < 2) & (eid % 3 != 1), F.lit("Alpha: Show"))
+            F.when(eid % 3 != 1, _pick(LOOKUPS, v % 4))
             .when(eid % 11 == 0, F.lit(None).cast("string"))
             .otherwise(F.lit("Bravo: Live!"))
         )
         cue_up = (
-            F.when(eid % 2 == 0, F.concat(F.lit("s|a|b|c|v"), v.cast("string")))
+            F.when((eid % 2 == 0) & (_idiv(eid, 24) % 2 == 0), F.concat(F.lit("s|a|b|c|v"), v.cast("string")))
+            .when(eid % 2 == 0, F.concat(F.lit("m|a|b|c|v"), v.cast("string")))
             .when(eid % 9 == 0, F.lit("s|a"))
         )
         return ev.select(
@@ -133,7 +137,9 @@ class StandInTables(Tables):
     def video(self, start=None, end=None) -> DataFrame:
         ev = _shared(self.events(start, end).where(F.col("event_type").isin(*VIEW_TYPES)))
         eid, value = F.col("event_id"), F.col("value")
-        display = F.when(eid % 13 == 0, _pick(STATIONS, eid % 4)).otherwise(F.col("_t"))
+        new_to_target = (_idiv(F.col("user_id"), 8) % 3 == 0) & (F.lower("_t") == "alpha show")
+        display = (F.when(eid % 13 == 0, _pick(STATIONS, eid % 4))
+                   .when(new_to_target, F.lit(INSTEAD)).otherwise(F.col("_t")))
         episode = (
             F.when(eid % 17 == 0, F.lit(None).cast("string"))
             .when(eid % 23 == 0, F.lit("Yellowstone"))
@@ -153,7 +159,7 @@ class StandInTables(Tables):
             (eid % 2).cast("bigint").alias("num_views_started"),
             episode.alias("episode_title"),
             _pick(CHANNELS, eid % 6).alias("content_channel"),
-            _pick(PROGRAMS, _idiv(eid, 5) % 3).alias("program"),
+            _pick(PROGRAMS, _idiv(eid, 5) % 5).alias("program"),
         )
 
 

@@ -15,6 +15,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from watchpath.functions.dates import DateScope
+
 
 class Tables:
     """Interface: ``clickstream(start, end)`` and ``video(start, end)``."""
@@ -27,6 +29,30 @@ class Tables:
     def video(self, start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:
         raise NotImplementedError
 
+    def days(self) -> tuple[list[dt.date], list[dt.date]]:
+        """The days that the clickstream and the viewing table hold, rising."""
+        raise NotImplementedError
+
+    def scope(self) -> DateScope:
+        """First to last day of both tables."""
+        clicks, views = self.days()
+        both = sorted({*clicks, *views})
+        if not both:
+            raise ValueError("the tables hold no day")
+        return DateScope.between(both[0], both[-1])
+
+
+def partition_days(spark: SparkSession, name: str, column: str, source: str = "parquet") -> list[dt.date]:
+    """Days of a date-partitioned table, from its folders or the catalogue: no file is read."""
+    if source == "table":
+        values = [r[0] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()]
+    else:
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+        fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        values = [s.getPath().getName() for s in fs.listStatus(where)]
+    parts = [p.removeprefix(f"{column}=") for v in values for p in v.split("/") if p.startswith(f"{column}=")]
+    return sorted({dt.date.fromisoformat(p) for p in parts if not p.startswith("__HIVE")})
+
 
 @dataclass
 class LakeTables(Tables):
@@ -59,6 +85,10 @@ class LakeTables(Tables):
             self._frames[name] = reader(name)
         return self._frames[name]
 
+    def days(self) -> tuple[list[dt.date], list[dt.date]]:
+        return (partition_days(self.spark, self.clickstream_path, self.click_date_col, self.source),
+                partition_days(self.spark, self.video_path, self.video_date_col, self.source))
+
     def clickstream(self, start=None, end=None) -> DataFrame:
         df = self._read(self.clickstream_path)
         if start is not None:
