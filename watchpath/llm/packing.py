@@ -33,8 +33,9 @@ from pyspark.sql import functions as F
 from .tables import col
 
 SEQUENCE = 2048
-#: Words kept in a Python worker's memo.
-MEMO_WORDS = 120_000
+#: Bytes of a generation of a Python worker's memo (words, ids and the table's own), and of its longest word.
+MEMO_BYTES = 40 << 20
+MEMO_WORD = 100
 #: Token bytes put into one Arrow batch.
 _BATCH_BYTES = 2 << 20
 
@@ -74,21 +75,33 @@ class WordTokens:
 
         self._whole = Tokenizer.from_file(path)
         self._model = self._whole.model
-        self._memo: dict[str, bytes] = {}
+        self._young: dict[str, bytes] = {}
+        self._old: dict[str, bytes] = {}
+        self._size = 0
 
     def ids(self, text: str) -> bytes:
         if "<|" in text or _unusual(text):
             return array.array("I", self._whole.encode(text, add_special_tokens=False).ids).tobytes()
-        if len(self._memo) > MEMO_WORDS:
-            self._memo = {}
-        memo, out = self._memo, []
+        out = []
         for word in text.lower().split():
-            found = memo.get(word)
+            found = self._young.get(word)
             if found is None:
-                found = memo[word] = self._word(word)
+                found = self._old.get(word)
+                if found is None:
+                    found = self._word(word)
+                self._keep(word, found)
             out.append(found)
         return b"".join(out)
 
+    def _keep(self, word: str, ids: bytes) -> None:
+        """Remembers a word; when the young generation is full, the old one goes."""
+        if len(word) > MEMO_WORD:
+            return
+        self._young[word] = ids
+        self._size += len(word) + len(ids) + 180
+        if self._size > MEMO_BYTES:
+            self._young, self._old, self._size = {}, self._young, 0
+
     def _word(self, word: str) -> bytes:
         letters = _byte_letters()
         ids = array.array("I")
