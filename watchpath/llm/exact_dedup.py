@@ -26,6 +26,7 @@ import hashlib
 import math
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,8 +35,9 @@ from pyspark.sql import types as T
 from .tables import col, materialize, numbered
 from .textarrays import WHITE
 
-#: Largest total of distinct contents in a bucket's table.
+#: Largest total of distinct contents in a bucket's table, and what an entry counts besides its content.
 BUCKET_BYTES = 16 << 20
+ENTRY_BYTES = 400
 _HASH_BITS = 63
 
 
@@ -69,7 +71,7 @@ class ContentTable:
         self.contents.append(content)
         self.best.append(rank)
         self.counts.append(count)
-        self.size += len(content)
+        self.size += len(content) + ENTRY_BYTES
         if 2 * len(self.hashes) > self._mask:
             self._grow()
 
@@ -169,7 +171,7 @@ def bucket_bits(rows: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> int:
     Starts from the total size (and four buckets per shuffle partition), then
     splits every bucket again until none with two contents is too large.
     """
-    contents = rows.groupBy("h").agg(F.max("size").alias("size"))
+    contents = rows.groupBy("h").agg((F.max("size") + ENTRY_BYTES).alias("size"))
     total = contents.agg(F.sum("size")).first()[0] or 0
     partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     bits = max(math.ceil(math.log2(max(1, total / bucket_bytes))), math.ceil(math.log2(4 * partitions)))
@@ -209,12 +211,104 @@ def exact_groups(docs: DataFrame, text: str = "text", id: str = "doc_id",
         F.lower(F.hex("sha")).alias("text_sha256"))
 
 
+def _sized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Hash and size of each content."""
+    for batch in batches:
+        contents = [text.as_py().translate(None, WHITE) for text in batch.column("text")]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([_hash(c) for c in contents], pa.int64()), pa.array([len(c) for c in contents], pa.int64())],
+            names=["h", "size"])
+
+
+def _hash(content: bytes) -> int:
+    return int.from_bytes(hashlib.sha256(content).digest()[:8], "big") >> 1
+
+
+class Best:
+    """The best row of each content met, whole: the table ranks, the batches are kept until it is emptied."""
+
+    def __init__(self) -> None:
+        self._clear()
+
+    def _clear(self) -> None:
+        self.table, self._held, self._rows, self._bytes = ContentTable(), [], 0, 0
+
+    def add(self, batch: pa.RecordBatch) -> None:
+        contents = [text.as_py().translate(None, WHITE) for text in batch.column("text")]
+        if "h" not in batch.schema.names:
+            batch = batch.append_column("h", pa.array([_hash(c) for c in contents], pa.int64()))
+        columns = [batch.column(c) for c in ("h", "points", "id", "row")]
+        for i, (content, h, points, key, row) in enumerate(zip(contents, *columns, strict=True)):
+            key = key.as_py()
+            self.table.add(h.as_py(), content, (-points.as_py(), key is None, key or 0, row.as_py(), self._rows + i), 1)
+        self._held.append(batch)
+        self._rows += batch.num_rows
+        self._bytes += batch.nbytes
+
+    @property
+    def full(self) -> bool:
+        return self.table.size > BUCKET_BYTES or self._bytes > 4 * BUCKET_BYTES
+
+    def settle(self) -> None:
+        """Lets go of rows that have lost, when those held are many."""
+        if self._bytes > 4 * BUCKET_BYTES and self._held:
+            kept = self._kept()
+            self.table.best = [(*b[:4], i) for i, b in enumerate(self.table.best)]
+            self._held, self._rows, self._bytes = kept, len(self.table.best), sum(b.nbytes for b in kept)
+
+    def _kept(self) -> list[pa.RecordBatch]:
+        rows = pa.array([b[4] for b in self.table.best], pa.int64())
+        return pa.Table.from_batches(self._held).take(rows).combine_chunks().to_batches(max_chunksize=1000)
+
+    def out(self) -> list[pa.RecordBatch]:
+        kept = self._kept() if self._held else []
+        self._clear()
+        return kept
+
+
+def _best_of_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of one task, of equal contents the best; passed on whenever the table is full."""
+    best = Best()
+    for batch in batches:
+        best.add(batch)
+        if best.full:
+            yield from best.out()
+    yield from best.out()
+
+
+def _best_of_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One table per bucket (rows come sorted by bucket)."""
+    best, current = Best(), None
+    for batch in batches:
+        buckets = batch.column("bucket").to_numpy()
+        cuts = [0, *(np.flatnonzero(buckets[1:] != buckets[:-1]) + 1).tolist(), len(buckets)]
+        for low, high in zip(cuts[:-1], cuts[1:], strict=True):
+            if high > low:
+                if buckets[low] != current:
+                    yield from best.out()
+                    current = buckets[low]
+                best.add(batch.slice(low, high - low))
+                best.settle()
+    yield from best.out()
+
+
 def drop_exact_copies(docs: DataFrame, text: str = "text", id: str = "doc_id",
                       bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
-    """``docs`` without the rows whose content stays in another row; same columns."""
-    rows = written(docs, text, id)
-    found = materialize(groups(rows, bucket_bytes), "dedup-groups").select("sha", "keep_row")
-    left = rows.join(found, "sha", "left").filter(
-        F.col("keep_row").isNull() | (F.col("row") == F.col("keep_row")))
-    whole = F.when(~F.col("no_text"), F.col("text").cast("string"))
-    return left.select(*[whole.alias(c) if c == text else F.col("doc")[c].alias(c) for c in docs.columns])
+    """``docs`` without the rows whose content stays in another row; same columns.
+
+    A first reading sizes the buckets (hashes and sizes are written). In the second the rows themselves go to
+    their buckets, once, and the row that stays comes out whole.
+    """
+    whole = F.coalesce(col(text), F.lit(""))
+    rows = numbered(docs.select(
+        col(id).cast("long").alias("id"), F.struct(*[col(c) for c in docs.columns if c != text]).alias("doc"),
+        F.length(whole).cast("long").alias("points"), col(text).isNull().alias("no_text"),
+        whole.cast("binary").alias("text")), "row")
+    sizes = materialize(rows.select("text").mapInArrow(_sized, "h long, size long"), "dedup-sizes")
+    bits = bucket_bits(sizes, bucket_bytes)
+    hashed = T.StructType([*rows.schema.fields, T.StructField("h", T.LongType())])
+    some = rows.mapInArrow(_best_of_task, hashed).withColumn("bucket", _bucket(bits))
+    buckets = some.repartition("bucket").sortWithinPartitions("bucket")
+    left = buckets.mapInArrow(_best_of_buckets, buckets.schema)
+    shown = F.when(~F.col("no_text"), F.col("text").cast("string"))
+    return left.select(*[shown.alias(c) if c == text else F.col("doc")[c].alias(c) for c in docs.columns])
