@@ -7,8 +7,8 @@ A click's day comes from its hit time and may lie one day beside its
 partition, so the touched days and their neighbours are recomputed from the
 full tables, listed anew for every batch (every window is per account-day, so
 a day depends on nothing else; contiguous days are computed as one range),
-and written with dynamic partition overwrite. Recomputed days without rows
-are dropped from the store.
+and replaced in the store by one commit, which also drops recomputed days
+without rows.
 The stream's checkpoint records which files were processed, and rewriting
 a day is idempotent, so a restarted or repeated run converges to the same
 store.
@@ -24,9 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from watchpath.plans.attribution import attributed_timeline
-from watchpath import columns as C
-from watchpath.session import materialize
-from watchpath.sources.store import clear_days, save_attributed
+from watchpath.sources.store import save_attributed
 from watchpath.sources.tables import LakeTables
 
 
@@ -71,10 +69,7 @@ def refresh_attributed(spark: SparkSession, tables: LakeTables, store_path: str,
         parts = [attributed_timeline(now, lo, hi, target, brand, scope=scope,
                                      click_feeder_mode=click_feeder_mode)
                  for lo, hi in _runs(days)]
-        rows = materialize(reduce(DataFrame.unionByName, parts), "refresh")
-        filled = {r[0] for r in rows.select(C.DAY).distinct().collect()}
-        save_attributed(rows, store_path)
-        clear_days(spark, store_path, [d for d in days if d not in filled])
+        save_attributed(reduce(DataFrame.unionByName, parts), store_path, days)
 
     writer = (changed.writeStream.foreachBatch(refresh)
               .option("checkpointLocation", checkpoint_location))
