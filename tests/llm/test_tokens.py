@@ -2,6 +2,7 @@
 
 import array
 import random
+from functools import reduce
 
 import pytest
 
@@ -36,6 +37,50 @@ def test_transducer_equals_the_library(chunk):
         assert ours.count(text, chunk) == len(whole.encode(text)), repr(text)
 
 
+@pytest.mark.parametrize("chunk", [3, 17])
+def test_chunk_maps_compose_in_any_grouping(chunk):
+    import sentencepiece
+
+    whole, ours = sentencepiece.SentencePieceProcessor(model_file=PIECES), token_counts.counter(PIECES)
+    wrong = 0
+    for text in [*texts(800), "a" * 200, " " * 90, "= " * 40, "ñ" * 50, "日本" * 200]:
+        maps = [ours.chunk_map(part, before) for _, before, part in token_counts.chunks(text, chunk)]
+        wrong += sum(a.end != b.guess for a, b in zip(maps, maps[1:], strict=False))
+        for fan in (2, 5, 1000):                 # levels of a scan, and one fold
+            level = maps
+            while len(level) > 1:
+                level = [reduce(ours.compose, level[i: i + fan]) for i in range(0, len(level), fan)]
+            assert sum(m.head_tokens + m.fixed for m in level) == len(whole.encode(text)), repr(text)
+    assert wrong                                 # wrongly supposed states occurred and were read again
+
+
+def test_states_cleared_inside_a_text(monkeypatch):
+    import sentencepiece
+
+    whole = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    ours = token_counts.Counter(token_counts.counter(PIECES).machine._ranks)
+    monkeypatch.setattr(token_counts, "MAX_STATES", 50)
+    monkeypatch.setattr(token_counts, "MAX_TESTED", 50)
+    monkeypatch.setattr(token_counts, "MEMO_BYTES", 5_000)
+    text = " ".join(f"w{i * 7919 % 100003}xé日" for i in range(3000)) + "x" * 300
+    assert ours.count(text) == ours.count(text, 100) == len(whole.encode(text))
+    assert len(ours._words._young) + len(ours._words._old) < 100 and len(ours.machine._states) <= 51
+
+
+def test_long_texts_are_counted_in_chunks_by_many_tasks(spark, edge, nothing):
+    import sentencepiece
+
+    whole = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    more = spark.createDataFrame([(20, "日本語" * 900, "ja", "z", 0, "x", 1.0), (21, " " * 500 + "a" * 700, "en", "z", 0, "x", 1.0),
+                                  (21, " " * 500 + "a" * 700, "en", "z", 0, "x", 1.0)], edge.schema)
+    table = edge.union(more)
+    got = sorted((r.doc_id or -1, r.n_bytes, r.n_tokens, r.over_limit)
+                 for r in token_counts.token_counts(table, PIECES, long=20, chunk=50, fan=4).collect())
+    want = [(r.doc_id or -1, len((r.text or "").encode()), len(whole.encode(r.text or ""))) for r in table.collect()]
+    assert got == sorted((*w, w[2] > 4096) for w in want)
+    assert token_counts.token_counts(nothing, PIECES, long=20).count() == 0
+
+
 def test_lengths():
     for n in (1, 2047, 2048, 2049, 7000):
         cut = packing.lengths(n)
