@@ -82,6 +82,42 @@ def test_join_matches_brute_force(spark, monkeypatch, wide):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute(rows)
 
 
+def test_linked_sets_without_shared_cold_grams_agree_in_a_part():
+    rng = np.random.default_rng(5)
+    fresh = lambda k: rng.integers(0, 1 << 63, k, dtype=np.uint64)
+    met = 0
+    for _ in range(3000):
+        size = int(rng.integers(1, 120))
+        both = fresh(size)
+        own = [fresh(int(rng.integers(0, 2 + size // 6))) for _ in range(2)]          # hot, in one set only
+        cold = rng.integers(0, 2 + size // 8, 2)
+        a, b = (np.unique(np.r_[both, o]) for o in own)
+        na, nb = len(a) + int(cold[0]), len(b) + int(cold[1])
+        if 100 * size >= 80 * (na + nb - size):
+            met += 1
+            (x, x_home), (y, y_home) = ngram_join.part_names(a, na), ngram_join.part_names(b, nb)
+            assert np.isin(x[x_home], y).any() or np.isin(y[y_home], x).any()
+    assert met > 500
+
+
+def test_shared_passages_do_not_pair_everyone(spark, monkeypatch):
+    """Documents of 10 out of 30 shared passages of 40 words, hardly any linked: pairs stay below the documents."""
+    rng = random.Random(3)
+    passages = [" ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(40)) for _ in range(30)]
+    rows = [(i, " ".join(rng.sample(passages, 10))) for i in range(240)]
+    for i in (240, 241, 242):                    # linked by hot n-grams: an edited copy of 0, one of 1, one of 240
+        words = rows[{240: 0, 241: 1, 242: 240}[i]][1].split()
+        words[i % 7 * 40: i % 7 * 40 + 2] = [f"x{i}"]
+        rows.append((i, " ".join(words)))
+    made = []
+    for name in ("agreeing", "_outside"):
+        plain = getattr(ngram_join, name)
+        monkeypatch.setattr(ngram_join, name, lambda *a, plain=plain: (found := plain(*a), made.append(found.count()))[0])
+    got = ngram_join.ngram_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute(rows)
+    assert len(made) == 2 and sum(made) < len(rows)
+
+
 def test_join_on_edge_rows(edge, nothing):
     rows = {r.doc_id: r for r in ngram_join.ngram_components(edge).collect()}
     assert all(rows[i].n_shingles == 0 and rows[i].component_id == i for i in (1, 2, 3))

@@ -19,8 +19,10 @@ the part of A that can still decide a pair:
    the least edited copy), and after that only members outside the column's
    main component are paired with the others. Where two classes meet in a hot
    column, all their cold n-grams are in their prefixes; if they shared one,
-   step 3 has the pair. Else their overlap is at most their hot n-grams, which
-   discards most pairs by size alone.
+   step 3 has the pair. Else all cold n-grams of both count as differences, and
+   few are left for the hot ones. If these differ in at most k, and all hot
+   n-grams are dealt over more than k parts, some part is the same in both: only
+   classes with an equal part are paired (``agreeing``), not all of a column.
 5. Surviving pairs pass a sieve: a parity bitmap of each set (about n/4 bytes)
    gives a lower bound of how many n-grams two sets differ in, so an upper
    bound of their overlap. What is left is checked on the full sets, best pair
@@ -167,6 +169,13 @@ def _signed(words: int):
     return run
 
 
+def is_hot(grams: np.ndarray, heat: np.ndarray) -> np.ndarray:
+    """Which n-grams are among ``heat`` (sorted)."""
+    if not len(heat):
+        return np.zeros(len(grams), bool)
+    return heat[np.minimum(np.searchsorted(heat, grams), len(heat) - 1)] == grams
+
+
 _ENTRY = np.dtype([("gram", "<u8"), ("owner", "<u4"), ("rank", "<u4")])
 
 
@@ -180,16 +189,11 @@ def _entries(words: int, blocks: int, hot):
         parts: list[np.ndarray] = []
         count = 0
 
-        def is_hot(grams: np.ndarray) -> np.ndarray:
-            if not len(heat):
-                return np.zeros(len(grams), bool)
-            return heat[np.minimum(np.searchsorted(heat, grams), len(heat) - 1)] == grams
-
         def out() -> Iterator[pa.RecordBatch]:
             entries = np.concatenate(parts) if parts else np.empty(0, _ENTRY)
             known = np.array(classes, np.int64).reshape(-1, 3)
             block = (entries["gram"] % np.uint64(blocks)).astype(np.int64)
-            wide = is_hot(entries["gram"])       # dealt by class, so that a hot column is spread
+            wide = is_hot(entries["gram"], heat)       # dealt by class, so that a hot column is spread
             block[wide] = blocks + known[entries["owner"][wide], 0] % blocks
             order = np.argsort(block, kind="stable")
             entries, block = entries[order], block[order]
@@ -211,7 +215,7 @@ def _entries(words: int, blocks: int, hot):
                 if not len(grams) or (label := set_name(grams)) in seen:
                     continue
                 seen.add(label)
-                warm = is_hot(grams)
+                warm = is_hot(grams, heat)
                 keep = prefix(len(grams))
                 ordered = grams[~warm][:keep]
                 if len(ordered) < keep:
@@ -374,11 +378,10 @@ class Join:
         both = materialize(rows, "ngram-signed")
         return both.filter("kind = 0").drop("kind"), both.filter("kind = 1").select("name", "n")
 
-    def candidates(self, grams: int, hot: np.ndarray) -> tuple[DataFrame, DataFrame]:
+    def candidates(self, grams: int, heat) -> tuple[DataFrame, DataFrame]:
         """Pairs (a, b, na, nb, shared) that can still be linked, and members of wide columns."""
         spark = self._docs.sparkSession
         blocks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(0.21 * grams / BLOCK))
-        heat = spark.sparkContext.broadcast(hot)
         entries = self._docs.mapInArrow(_entries(self._words, blocks, heat), _ENTRY_ROWS)
         product = materialize(entries.groupBy("block").applyInArrow(_multiplied(blocks), _PAIR), "ngram-product")
         pairs = product.filter("b is not null").groupBy("a", "b").agg(
@@ -452,26 +455,113 @@ def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
         F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
 
 
-def _outside(wide: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members outside their column's main component, paired with every other member that sizes allow."""
+def _with_main(wide: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members of wide columns with their component, and the column's main one."""
     known = wide.join(labels.withColumnRenamed("node", "name"), "name", "left").withColumn(
         "component", F.coalesce("component", "name"))
     main = known.groupBy("gram", "component").agg(F.count(F.lit(1)).alias("k")).groupBy("gram").agg(
-        F.max(F.struct("k", "component")).alias("m")).select("gram", F.col("m.component").alias("main"))
-    known = materialize(known.join(main, "gram"), "ngram-members")
-    of_x = {"name": "x", "n": "nx", "rank": "rx", "heat": "hx", "component": "cx"}
-    # Linked sets are at least NUM/DEN of each other's size, so too few hot n-grams rule a member out at once.
-    able = ~F.col("hot") | ((NUM + DEN) * DEN * F.col("heat") >= NUM * (NUM + DEN) * F.col("n"))
-    known = known.filter(able)
+        F.max(F.struct("k", "component")).alias("m"), F.count(F.lit(1)).alias("components")).select(
+        "gram", F.col("m.component").alias("main"), "components")
+    return materialize(known.join(main.filter("components > 1").drop("components"), "gram"), "ngram-members")
+
+
+def _outside(known: DataFrame) -> DataFrame:
+    """Members of wide, not hot columns outside the main component, with every other member that sizes allow."""
+    of_x = {"name": "x", "n": "nx", "rank": "rx", "component": "cx"}
+    known = known.filter("not hot")
     out = known.filter("component <> main").select("gram", *[F.col(a).alias(b) for a, b in of_x.items()])
-    nx, n, hot = F.col("nx"), F.col("n"), F.col("hot")
-    by_heat = (NUM + DEN) * F.least("hx", "heat") >= NUM * (nx + n)
+    nx, n = F.col("nx"), F.col("n")
     by_rank = _reachable(1 + F.least("rx", "rank"), nx, F.col("rx"), n, F.col("rank"))
     met = out.join(known, "gram").filter((F.col("cx") != F.col("component")) & (NUM * nx <= DEN * n) & (NUM * n <= DEN * nx)
-                                         & F.when(hot, by_heat).otherwise(by_rank))
+                                         & by_rank)
     return met.select(F.least("x", "name").alias("a"), F.greatest("x", "name").alias("b")).distinct()
 
 
+def _able(known: DataFrame) -> DataFrame:
+    """Members of hot columns with hot n-grams enough for a link by these alone."""
+    n, heat = F.col("n"), F.col("heat")
+    differ = F.floor((n + F.floor(n * DEN / NUM)) * (DEN - NUM) / (DEN + NUM))
+    return known.filter(F.col("hot") & (n - heat <= differ))
+
+
+def ladder(most: int) -> list[int]:
+    """Numbers of differences, each half as much again as the last, up to the first that is ``most`` or more."""
+    out = [0]
+    while out[-1] < most:
+        out.append(max(out[-1] + 1, out[-1] * 3 // 2))
+    return out
+
+
+def part_names(hot: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Names of the parts of the hot n-grams of a set of size n, and whether it is at home there.
+
+    Linked sets that share no cold n-gram differ in at most f(a) + f(b) hot ones, where f is the size's share
+    of differences less the set's cold n-grams; so in at most twice the larger f. That number's step of the
+    ladder is the home of the set with the larger f, and the other visits all steps from its own home up to
+    the highest that a partner can have. A step of k deals the n-grams by hash over more than k parts, so both
+    agree in one, and a pair needs one side at home. Empty parts are named only where a set has k or
+    fewer others: else one of the others agrees.
+    """
+    cold, both = n - len(hot), DEN + NUM
+    home = 2 * (n * (DEN - NUM) - cold * both) // both
+    steps_up = ladder(2 * (n * DEN // NUM) * (DEN - NUM) // both)
+    first = next((k for k in steps_up if k >= home), steps_up[-1])
+    keys, names, at_home = mix(hot ^ np.uint64(0x2545F4914F6CDD1D)), [], []
+    for k in steps_up[steps_up.index(first):]:
+        count = (5 * k + 7) // 4               # more than k
+        part = (keys % np.uint64(count)).astype(np.int64)
+        order = np.argsort(part, kind="stable")
+        at = np.flatnonzero(np.diff(part[order], prepend=-1))
+        filled = part[order][at]
+        sums = np.zeros(count, np.uint64)
+        if len(at):
+            sums[filled] = np.add.reduceat(mix(keys[order]), at)
+        shown = np.arange(count) if len(at) <= k else filled
+        names.append(mix(mix(sums[shown] + np.uint64(k)) + shown.astype(np.uint64)))
+        at_home.append(np.full(len(shown), k == first and home >= 0))
+    return np.concatenate(names).view(np.int64), np.concatenate(at_home)
+
+
+def _parts(heat):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out(held: list[tuple]) -> pa.RecordBatch:
+            times = [len(h[0]) for h in held]
+            of = lambda i: pa.array(np.repeat(np.array([h[i] for h in held], np.int64), times))
+            return pa.RecordBatch.from_pydict({
+                "part": pa.array(np.concatenate([h[0] for h in held])), "home": pa.array(np.concatenate([h[1] for h in held])),
+                "name": of(2), "n": of(3), "component": of(4)})
+
+        held, count = [], 0
+        for batch in batches:
+            known = zip(*(batch.column(c).to_pylist() for c in ("name", "n", "component")), strict=True)
+            for (label, n, component), grams in zip(known, batch.column("grams"), strict=True):
+                grams = np.frombuffer(grams.as_buffer(), np.uint64)
+                held.append((*part_names(grams[is_hot(grams, heat.value)], n), label, n, component))
+                count += len(held[-1][0])
+                if count > _FLUSH_ENTRIES:
+                    yield out(held)
+                    held, count = [], 0
+        if held:
+            yield out(held)
+
+    return run
+
+
+def agreeing(members: DataFrame, sets: DataFrame, heat) -> DataFrame:
+    """Pairs (a, b) of ``members`` (name, n, component) of different components that agree in a part of their
+    hot n-grams, one of them at home. Parts where no such pair can be drop out before the join."""
+    rows = members.join(sets, "name").select("name", "n", "component", "grams")
+    parts = materialize(rows.mapInArrow(_parts(heat), "part long, home boolean, name long, n long, component long"),
+                        "ngram-parts")
+    mixed = parts.groupBy("part").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
+                                      F.max("home").alias("home")).filter("lo <> hi and home")
+    parts = materialize(parts.join(mixed.select("part"), "part", "left_semi"), "ngram-mixed")
+    x = parts.filter("home").select("part", *[F.col(c).alias(f"{c}_x") for c in ("name", "n", "component")])
+    met = x.join(parts, "part").filter((F.col("component_x") != F.col("component"))
+                                       & (NUM * F.col("n_x") <= DEN * F.col("n")) & (NUM * F.col("n") <= DEN * F.col("n_x")))
+    return met.select(F.least("name_x", "name").alias("a"), F.greatest("name_x", "name").alias("b")).distinct()
+
+
 def ngram_components(docs: DataFrame, text: str = "text", id: str = "doc_id", words: int = WORDS,
                      row: str | None = None) -> DataFrame:
     """row, doc_id, n_shingles, component (a number, null for an empty set), component_id (the least id
@@ -479,7 +569,8 @@ def ngram_components(docs: DataFrame, text: str = "text", id: str = "doc_id", wo
     join = Join(docs, text, id, words, row)
     signed, counts = join.signatures()
     total = signed.agg(F.sum("n")).first()[0] or 0
-    pairs, wide = join.candidates(total, hot_grams(counts))
+    heat = docs.sparkSession.sparkContext.broadcast(hot_grams(counts))      # at most MAX_HOT numbers
+    pairs, wide = join.candidates(total, heat)
     by_id = signed.filter("n > 0").groupBy("name", "doc_id").agg(
         F.count(F.lit(1)).alias("times"), F.first("n").alias("n"), F.first("bits").alias("bits"))
     classes = materialize(by_id.groupBy("name").agg(
@@ -489,7 +580,12 @@ def ngram_components(docs: DataFrame, text: str = "text", id: str = "doc_id", wo
     left = materialize(_sieved(pairs.join(first, ["a", "b"], "left_anti"), classes), "ngram-left")
     links = _linked(first, join.sets(classes, _ends(first)))
     labels = connected_components(links)
-    rest, n = materialize(_apart(left, labels).union(_sieved(_outside(wide, labels), classes)).distinct(), "ngram-rest", count=True)
+    known = _with_main(wide, labels)
+    members, n = materialize(_able(known).select("name", "n", "component").distinct(), "ngram-able", count=True)
+    met = _outside(known)
+    if n:
+        met = met.union(agreeing(members, join.sets(classes, members), heat)).distinct()
+    rest, n = materialize(_apart(left, labels).union(_sieved(met, classes)).distinct(), "ngram-rest", count=True)
     if n:
         labels = connected_components(links.union(_linked(rest, join.sets(classes, _ends(rest)))))
     # A row's component: by its class's label, then the least id of all classes there.
