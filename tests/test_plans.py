@@ -144,16 +144,14 @@ def test_minor_feeders_are_tested_per_spelling(spark):
 
 @pytest.mark.parametrize("name", ["top_feeders_daily", "device_feed_list", "promo_reach_hours",
                                   "promo_hourly_from"])
-def test_over_the_bound_sides_fall_back_to_shuffle_joins(spark, duck_small, monkeypatch, name):
+def test_over_the_bound_sides_fall_back_to_shuffle_joins(spark, duck_small, name):
     from compare import compare
     from oracle_sql import oracle_sql
-    from watchpath.operators import joins
 
-    monkeypatch.setattr(joins, "BROADCAST_MAX_ROWS", 0)        # every checked side is "too big"
     knobs = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
     saved = {k: spark.conf.get(k, None) for k in knobs}
     for k in knobs:
-        spark.conf.set(k, "-1")                                  # and Spark may not pick one itself
+        spark.conf.set(k, "-1")                                  # every side is too big to broadcast
     try:
         df = queries()[name](spark, SF_SMALL)
         # what is left are the edge rows of range partitions, one per partition
@@ -166,3 +164,50 @@ def test_over_the_bound_sides_fall_back_to_shuffle_joins(spark, duck_small, monk
             else:
                 spark.conf.set(k, v)
     assert ok, msg
+
+
+def test_large_cohort_reaches_the_mart_scan_as_a_bloom_filter(spark):
+    from watchpath.operators import promo as PR
+    from watchpath.operators.joins import cohort
+    from watchpath.plans import params as P
+    from watchpath.plans.promo import cohort_events
+    from watchpath.plans.registry import tables
+
+    t = tables(spark, SF_SMALL)
+    s = t.scope()
+    events = cohort_events(t, *s, P.PROMO_ORIGINS, P.TARGET)
+    everyone = cohort(PR.promo_accounts(events), "userid")
+    video = t.video(*s)
+
+    def steps():
+        viewers = PR.prior_target_viewers(video, everyone, P.TARGET, *s)
+        return {"usage": PR.cohort_usage(video, everyone, *s), "viewers": viewers,
+                "order": PR.viewing_order(video, events, viewers, P.PROMO_VIEW_TITLES, *s)}
+
+    def rows(found):
+        return {k: sorted(map(str, df.collect())) for k, df in found.items()}
+
+    plain = steps()
+    assert "might_contain" not in plan(plain["usage"]) and "BroadcastHashJoin" in tree(plain["usage"])
+    want = rows(plain)
+    knobs = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0"}
+    saved = {k: spark.conf.get(k, None) for k in knobs}
+    try:
+        for k, v in knobs.items():
+            spark.conf.set(k, v)
+        large = steps()
+        for name in ("usage", "viewers"):                  # the order's windows are written already
+            assert "might_contain" in plan(large[name]), name
+        got = rows(large)
+    finally:
+        for k, v in saved.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert got == want and all(want[k] for k in ("usage", "viewers", "order"))
+
+
+def test_cohort_drops_only_the_account_without_an_id(spark):
+    from watchpath.operators.joins import cohort
+
+    ids = spark.createDataFrame([("",), ("a",), (" ",), ("\u00e9",), (None,)], "userid string")
+    assert sorted(r.userid for r in cohort(ids, "userid").collect()) == ["", " ", "a", "\u00e9"]

@@ -1,52 +1,39 @@
 """Joins against a side whose size depends on the data.
 
-A broadcast is only safe for a side with a known bound. Dimension-like
-sides here (episode->series maps, channel lists, video lookups, cohort
-account lists) are small in practice but not bounded by construction, so
-they are first written once as a table in the shared checkpoint folder
-(cutting lineage, surviving executor loss), counted, and broadcast only
-under ``max_rows``. Beyond it the join stays a shuffle join, which AQE may still
-turn into a broadcast or split for skew at run time.
+Dimension-like sides here (episode->series maps, channel lists, video lookups,
+cohort account lists) are small in practice but not bounded by construction.
+They are written once as a table in the shared checkpoint folder (cutting
+lineage, surviving executor loss), so Spark plans the join by their true bytes: it
+broadcasts them under ``spark.sql.autoBroadcastJoinThreshold`` and shuffles
+beyond it. Nothing is forced and no mark is kept on a DataFrame.
+
+A cohort that is too large to broadcast still prunes the viewing mart before its
+shuffle: Spark's runtime Bloom filter carries the account ids to the scan
+(``cohort``).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from watchpath.session import materialize
 
-BROADCAST_MAX_ROWS = 2_000_000
 
+def bounded(small: DataFrame) -> DataFrame:
+    """``small`` written once as a table of known bytes."""
+    return materialize(small, "small-side")
 
-def bounded(small: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """``small`` written once as a table, broadcast when it has at most ``max_rows`` rows.
 
-    A side that already went through ``bounded`` is returned as it is, so a
-    plan can size-check a shared side once and hand it to several joins.
+def cohort(accounts: DataFrame, key: str) -> DataFrame:
+    """Distinct account ids as a written table for semi-joins.
+
+    Spark builds a runtime Bloom filter only from a side that it takes for selective,
+    which it reads off a comparison over the scan. Every id passes this one; NULL, which
+    no join matches, does not.
     """
-    if getattr(small, "_size_checked", False):
-        return small
-    small, rows = materialize(small, "small-side", count=True)
-    fits = rows <= (BROADCAST_MAX_ROWS if max_rows is None else max_rows)
-    if fits:
-        small = F.broadcast(small)
-    small._size_checked = True
-    small._broadcast = fits
-    return small
-
-
-def subset_of(df: DataFrame, parent: DataFrame) -> DataFrame:
-    """``df`` is known to hold at most as many rows as ``parent`` (a filter or
-    semi join of it); when ``parent`` passed the size check, ``df`` is
-    broadcast without a check of its own."""
-    if getattr(parent, "_size_checked", False) and getattr(parent, "_broadcast", False):
-        df = F.broadcast(df)
-        df._size_checked = True
-        df._broadcast = True
-    return df
-
-
-def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
-               max_rows: int | None = None) -> DataFrame:
-    return big.join(bounded(small, max_rows), on, how)
+    return bounded(accounts.where(F.col(key).isNotNull())).where(F.col(key).cast("string") >= "")
+
+
+def join_small(big: DataFrame, small: DataFrame, on: str | list[str] | Column, how: str = "inner") -> DataFrame:
+    return big.join(bounded(small), on, how)

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from watchpath.functions.hours import hour_hundredths, round_hours
 from watchpath.functions.labels import PROMO_CLOCK_SHIFT_HOURS, PROMO_LEAD_MINUTES
 from watchpath.functions.titles import clean_title_promo
-from watchpath.operators.joins import join_small, subset_of
+from watchpath.operators.joins import cohort, join_small
 from watchpath.operators.carry import carried_sums, deal
 
 ACCOUNT = "adobe_tracking_id"
@@ -68,9 +68,9 @@ def promo_accounts(events: DataFrame) -> DataFrame:
     return events.select("userid").distinct()
 
 
-def _in_cohort():
-    """Semi-join condition of viewing rows against a ``userid`` account list."""
-    return F.col(ACCOUNT) == F.col("userid")
+def _of_cohort(video: DataFrame, accounts: DataFrame) -> DataFrame:
+    """Viewing rows of a ``userid`` account list (a ``joins.cohort``, or any list)."""
+    return video.join(accounts, F.col(ACCOUNT) == F.col("userid"), "left_semi")
 
 
 def cohort_usage(video: DataFrame, accounts: DataFrame, start: dt.date, end: dt.date,
@@ -80,7 +80,7 @@ def cohort_usage(video: DataFrame, accounts: DataFrame, start: dt.date, end: dt.
     keep = F.col("adobe_date").between(F.lit(start), F.lit(end)) & (F.col("num_views_started") > 0)
     if played_only:
         keep = keep & (F.col("num_seconds_played_no_ads") > 0)
-    v = join_small(video.where(keep), accounts, _in_cohort(), "left_semi")
+    v = _of_cohort(video.where(keep), accounts)
     # grouped by (time, account, program), not partitioned by account first:
     # one very active account must not land in a single task
     return (v.groupBy("adobe_timestamp", ACCOUNT, F.lower("program").alias("theshow"))
@@ -93,8 +93,7 @@ def prior_target_viewers(video: DataFrame, accounts: DataFrame, target: str,
     v = video.where(F.col("adobe_date").between(F.lit(since), F.lit(end))
                     & (F.col("num_views_started") > 0)
                     & (F.lower("display_name") == F.lower(F.lit(target))))
-    viewers = join_small(v, accounts, _in_cohort(), "left_semi").select(ACCOUNT).distinct()
-    return subset_of(viewers, accounts)
+    return _of_cohort(v, accounts).select(ACCOUNT).distinct()
 
 
 def _prior_views(video: DataFrame, titles, since: dt.date, end: dt.date) -> DataFrame:
@@ -117,7 +116,7 @@ def viewing_order(video: DataFrame, events: DataFrame, viewers: DataFrame, title
     a viewing is its pair with the latest event: ``bingetime``, and ``hours_watched`` once per
     event row of that time (rounded to 2 decimals).
     """
-    v = join_small(_prior_views(video, titles, since, end), viewers, ACCOUNT, "left_semi")
+    v = _prior_views(video, titles, since, end).join(cohort(viewers, ACCOUNT), ACCOUNT, "left_semi")
     views = (v.groupBy(ACCOUNT, F.col("adobe_timestamp").alias("jtimestamp"), "display_name")
              .agg(F.sum("num_seconds_played_no_ads").alias("_s")))
     # a row per instant, so no two rows of the running count tie; titles at one instant are spellings of the list
@@ -131,19 +130,16 @@ def viewing_order(video: DataFrame, events: DataFrame, viewers: DataFrame, title
     rows = join_small(counted, times, ACCOUNT, "inner").select(
         ACCOUNT, "jtimestamp", F.explode("_views").alias("_v"), "bingetime", "_latest",
         (1 + (F.col("_upto") - F.col("_n")) * F.col("_times")).alias("day_rank"))
-    order = rows.select(ACCOUNT, "jtimestamp", "_v.display_name", "bingetime",
-                        (hour_hundredths(F.col("_v._s") * F.col("_latest")) / F.lit(100)).cast("double").alias("hours_watched"),
-                        "day_rank")
-    order._viewers = viewers          # its accounts are a subset of the viewers
-    return order
+    return rows.select(ACCOUNT, "jtimestamp", "_v.display_name", "bingetime",
+                       (hour_hundredths(F.col("_v._s") * F.col("_latest")) / F.lit(100)).cast("double").alias("hours_watched"),
+                       "day_rank")
 
 
 def already_watching(order: DataFrame, target: str) -> DataFrame:
     """Accounts with a viewing of ``target`` that came first or preceded a promo event."""
     is_target = F.lower("display_name") == F.lower(F.lit(target))
-    excluded = (order.where(is_target & ((F.col("day_rank") == 1) | (F.col("jtimestamp") < F.col("bingetime"))))
-                .select(ACCOUNT).distinct())
-    return subset_of(excluded, getattr(order, "_viewers", order))
+    return (order.where(is_target & ((F.col("day_rank") == 1) | (F.col("jtimestamp") < F.col("bingetime"))))
+            .select(ACCOUNT).distinct())
 
 
 def viewer_history(video: DataFrame, titles, target: str, since: dt.date | None = None,

@@ -15,7 +15,7 @@ from watchpath.operators.promo import (
     video_lookup,
     viewing_order,
 )
-from watchpath.operators.joins import bounded
+from watchpath.operators.joins import cohort
 from watchpath.operators.order import published_order
 from watchpath.session import materialize
 from watchpath.sources.tables import Tables
@@ -39,7 +39,7 @@ def excluded_accounts(tables: Tables, events, history_start, end, target: str, v
         return already_watching_since(history, events)
     history_start, end = as_date(history_start), as_date(end)
     video = tables.video(history_start, end)
-    accounts = accounts if accounts is not None else bounded(promo_accounts(events))
+    accounts = accounts if accounts is not None else cohort(promo_accounts(events), "userid")
     viewers = prior_target_viewers(video, accounts, target, history_start, end)
     return already_watching(viewing_order(video, events, viewers, view_titles, history_start, end), target)
 
@@ -48,7 +48,7 @@ def _cohort(tables, start, end, history_start, origins, target, view_titles, cue
     """Promo events, the cohort's usage and the excluded accounts."""
     start, end = as_date(start), as_date(end)
     events = cohort_events(tables, start, end, origins, target, cue_prefix)
-    accounts = bounded(promo_accounts(events))       # size-checked once, used twice
+    accounts = cohort(promo_accounts(events), "userid")       # written once, used twice
     usage = cohort_usage(tables.video(start, end), accounts, start, end, played_only)
     return events, usage, excluded_accounts(tables, events, history_start, end, target, view_titles, accounts, history)
 
