@@ -261,3 +261,33 @@ def test_warc_reader_sees_damage():
     wrong = warc.Record({**next(iter(warc.Members(good))).headers, "warc-block-digest": "sha1:x"}, b"")
     with pytest.raises(ValueError):
         warc._verified(wrong)
+
+
+def test_archives_are_bounded_by_bytes(spark, tmp_path):
+    rows = [(i, f"https://a.org/{i}", f"page {i} " + "".join(chr(97 + (i * j * j) % 26) for j in range(600))) for i in range(200)]
+    rows += [(200, "https://a.org/long", "".join(chr(33 + (j * j * j) % 93) for j in range(60_000))), (201, None, None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(2)
+    path, bound = f"{tmp_path}/archive", 8_000
+    warc.write_archives(pages, path, file_bytes=bound)
+    files = list((tmp_path / "archive").rglob("*.txt"))
+    counts = [sum(1 for _ in warc.Members(f.read_bytes())) for f in files]
+    assert sum(counts) == len(rows) and len(files) >= sum(f.stat().st_size for f in files) / bound > 5
+    assert all(f.stat().st_size <= bound or n == 1 for f, n in zip(files, counts, strict=True))
+    got = {r.page_id: bytes(r.payload).decode() for r in warc.read_archives(spark, path).collect()}
+    assert got == {i: html or "" for i, _, html in rows}
+
+
+def test_urls_without_a_name_get_no_alias(spark):
+    link = '<link rel="canonical" href="http://blocked.example.org/es/x">'
+    pages = [(1, "http://alias.net/a", link), (2, "http://alias.net/a", None), (3, None, link), (4, "no name", link), (5, "", None)]
+    pages += [(10 + i, None, None) for i in range(50)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    rows = {r.page_id: (r.host, r.verdict) for r in url_filters.judged(df, URL_RULES).collect()}
+    assert rows[1] == rows[2] == ("alias.net", "block")
+    assert len(rows) == 55 and all(rows[i] == ("", "allow") for i in rows if i > 2)
+
+
+def test_very_long_html(spark):
+    html = "x" * 3_000_000 + '<link rel="canonical" href="http://blocked.example.org/es/x">'
+    df = spark.createDataFrame([(1, "http://alias.net/a", html)], "page_id long, url string, html string")
+    assert url_filters.judged(df, URL_RULES).collect()[0].verdict == "block"

@@ -7,6 +7,7 @@ parameters, to the whole of its table.
 from __future__ import annotations
 
 import os
+import re
 import sys
 import tempfile
 import zipfile
@@ -37,9 +38,11 @@ def ship(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     known = [os.path.abspath(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
     sc = spark.sparkContext
-    if _ROOT in known or os.getcwd() == _ROOT or sc.applicationId in _shipped:
+    # Paths of the driver say something about its own machine only.
+    here = re.fullmatch(r"local(\[.*\])?", sc.master) and (_ROOT in known or os.getcwd() == _ROOT)
+    if here or sc.applicationId in _shipped:
         return
-    archive = os.path.join(tempfile.mkdtemp(prefix="watchpath-py-"), "watchpath.zip")     # the driver serves it
+    archive = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="watchpath-py-")), "watchpath.zip")   # the driver serves it
     with zipfile.ZipFile(archive, "w") as out:
         for folder, _, names in os.walk(os.path.join(_ROOT, "watchpath")):
             for name in names:

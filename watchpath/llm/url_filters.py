@@ -97,7 +97,10 @@ def judged(pages: DataFrame, rules: list[Rule], id: str = "page_id", url: str =
             F.max(F.col("v") == "allow").alias("allowed"), F.max(F.col("v") == "block").alias("blocked"))
         spread = F.when(F.col("allowed"), "allow").when(F.col("blocked"), "block")
         alias = known.join(decided, "component").select("node", spread.alias("alias")).filter("alias is not null")
-        rows = rows.withColumn("node", same_name(F.col("url"))).join(materialize(alias, "url-aliases"), "node", "left")
+        # Null urls and those without a host have no aliases; with a key of their own each they do not meet in a task.
+        alone = F.concat(F.lit("\0"), F.monotonically_increasing_id().cast("string"))
+        node = F.when(F.col("url").contains("://"), same_name(F.col("url"))).otherwise(alone)
+        rows = rows.withColumn("node", node).join(materialize(alias, "url-aliases"), "node", "left")
         verdict = F.coalesce(explicit, F.col("alias"), F.lit(default))
     return rows.select("page_id", "host", "path", F.col("own.rule").alias("rule"), verdict.alias("verdict"))
 

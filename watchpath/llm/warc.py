@@ -10,9 +10,14 @@ line separator. A gzip member of less than 16 MB of data ends in a zero byte
 the separator puts it back: the files are plain concatenated gzip members. A
 larger record is followed by an empty member, which readers pass over.
 
-The reader takes files as Spark hands them out (``binaryFile``), inflates one
-member after another in bounded steps, frames the block by its Content-Length,
-and verifies block and payload digests.
+A file is one value for the reader (Spark's ``binaryFile``), so files are bounded by
+bytes: each task numbers its members by their running size and starts a file when the
+next member would pass the bound. Only a record larger than that makes a larger file.
+Archives of other writers are read as they are, up to the 2 GB that ``binaryFile``
+takes, and one of their files must fit a task twice (JVM and Python).
+
+The reader inflates one member after another in bounded steps, frames the block by its
+Content-Length, and verifies block and payload digests.
 
 Cases: a null payload is an empty one; empty payloads are equal to each other.
 A null url gives no target header; a null page id is written as ``null`` and
@@ -38,8 +43,8 @@ from .tables import col, materialize, run_path
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 LEVEL = 4
-#: Records per archive file at most; with Spark's input splits it bounds a file's size.
-FILE_RECORDS = 10_000
+#: Bytes of an archive file at most, but for a single larger record.
+FILE_BYTES = 64 << 20
 _STEP = 1 << 16
 _EMPTY = b"\x1f\x8b\x08\x00\x00\x00\x00\x00\x00\x03\x03\x00" + bytes(8)
 _URN = "urn:page:"
@@ -149,17 +154,27 @@ def _verified(r: Record) -> tuple:
             payload if h["warc-type"] == "response" else None)
 
 
-def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        columns = [batch.column(c) for c in ("page_id", "url", "payload", "refers_to")]
-        for page, url, payload, refers_to in zip(*columns, strict=True):
-            made = record(page.as_py(), url.as_py(), payload.as_py() or b"", refers_to.as_py())
-            yield pa.RecordBatch.from_pydict({"member": pa.array([made[:-1]], pa.binary())})
+def _members(file_bytes: int) -> Callable:
+    """Each record's member without its last byte, and the number of its file among the task's files."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        file, held = 0, 0
+        for batch in batches:
+            columns = [batch.column(c) for c in ("page_id", "url", "payload", "refers_to")]
+            for page, url, payload, refers_to in zip(*columns, strict=True):
+                made = record(page.as_py(), url.as_py(), payload.as_py() or b"", refers_to.as_py())
+                if held and held + len(made) > file_bytes:
+                    file, held = file + 1, 0
+                held += len(made)
+                yield pa.RecordBatch.from_pydict({"file": pa.array([file], pa.int32()),
+                                                  "member": pa.array([made[:-1]], pa.binary())})
+
+    return run
 
 
 def write_archives(pages: DataFrame, path: str, id: str = "page_id", url: str = "url", payload: str = "html",
-                   least: int = 0) -> None:
-    """Writes a record per page; equal payloads of at least ``least`` bytes are stored once."""
+                   least: int = 0, file_bytes: int = FILE_BYTES) -> None:
+    """Writes a record per page; equal payloads of at least ``least`` bytes are stored once. A folder per file
+    number holds one file of each task."""
     data = F.coalesce(col(payload).cast("binary"), F.lit(b""))
     rows = pages.select(col(id).cast("long").alias("page_id"), col(url).alias("url"), data.alias("payload"))
     key = (F.sha2("payload", 256).alias("sha"), F.octet_length("payload").alias("size"))
@@ -169,9 +184,9 @@ def write_archives(pages: DataFrame, path: str, id: str = "page_id", url: str =
     joined = rows.select("*", *key).join(same, ["sha", "size"], "left")
     refers_to = F.when(F.col("page_id").isNull() | (F.col("page_id") != F.col("stored")), F.col("stored"))
     records = joined.select("page_id", "url", "payload", refers_to.alias("refers_to"))
-    members = records.mapInArrow(_batched(_members), "member binary")
-    members.select(F.col("member").cast("string").alias("value")).write.option("lineSep", "\x00").option(
-        "compression", "none").option("maxRecordsPerFile", FILE_RECORDS).text(path)
+    members = records.mapInArrow(_batched(_members(file_bytes)), "file int, member binary")
+    members.select("file", F.col("member").cast("string").alias("value")).write.option("lineSep", "\x00").option(
+        "compression", "none").option("maxRecordsPerFile", 0).partitionBy("file").text(path)
 
 
 def _batched(make: Callable, size: int = 4 << 20):
@@ -221,15 +236,15 @@ def _table(rows: list[tuple], fields: list[str]) -> pa.RecordBatch:
 
 def read_archives(spark: SparkSession, path: str, with_payload: bool = True) -> DataFrame:
     """One row per record of the archives under ``path``; fails on a bad frame or digest."""
-    files = spark.read.format("binaryFile").load(path).select("content")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("content")
     schema = ("page_id long, url string, payload_bytes long, payload_digest string, record_type string, "
               "refers_to long") + (", payload binary" if with_payload else "")
     return files.mapInArrow(_records(with_payload), schema)
 
 
 def archived(pages: DataFrame, id: str = "page_id", url: str = "url", payload: str = "html", least: int = 0,
-             with_payload: bool = True) -> DataFrame:
+             with_payload: bool = True, file_bytes: int = FILE_BYTES) -> DataFrame:
     """Writes the pages to archives in the shared folder and reads them back."""
     path = run_path(pages, "warc")
-    write_archives(pages, path, id, url, payload, least)
+    write_archives(pages, path, id, url, payload, least, file_bytes)
     return read_archives(pages.sparkSession, path, with_payload)
