@@ -118,6 +118,40 @@ def test_shared_passages_do_not_pair_everyone(spark, monkeypatch):
     assert len(made) == 2 and sum(made) < len(rows)
 
 
+def test_sketches_never_overstate_the_difference():
+    rng = np.random.default_rng(8)
+    for _ in range(200):
+        a = np.unique(rng.integers(0, 1 << 63, rng.integers(0, 300), dtype=np.uint64))
+        b = np.unique(np.r_[a[: rng.integers(0, len(a) + 1)], rng.integers(0, 1 << 63, rng.integers(0, 200), dtype=np.uint64)])
+        flips = int(np.bitwise_count((ngram_join.sketch(a) ^ ngram_join.sketch(b)).view(np.uint64)).sum())
+        assert flips <= len(np.setxor1d(a, b))
+
+
+def test_edited_copies_agree_in_a_rare_part_whatever_is_common():
+    """Of k + 1 parts with the lowest rank in any common order, sets that differ in k or fewer n-grams share one."""
+    rng = np.random.default_rng(9)
+    for _ in range(300):
+        a = np.unique(rng.integers(0, 1 << 63, rng.integers(20, 200), dtype=np.uint64))
+        differ = rng.integers(0, len(a) // 9 + 1)
+        b = np.unique(np.r_[a[differ:], rng.integers(0, 1 << 63, rng.integers(0, len(a) // 9 + 1), dtype=np.uint64)])
+        if 100 * len(np.intersect1d(a, b)) < 80 * len(np.union1d(a, b)):
+            continue
+        found = []
+        for x in (a, b):
+            names, home = ngram_join.part_names(x, len(x))
+            at, rare, at_home = 0, set(), set()
+            for k in ngram_join.part_steps(len(x), len(x))[0]:
+                count = ngram_join.parts_at(k)
+                kept = sorted(zip(names[at: at + count].tolist(), home[at: at + count]), key=lambda p: p[0] % 7919)[: k + 1]
+                rare |= {p for p, _ in kept}
+                at_home |= {p for p, h in kept if h}
+                at += count
+            assert at == len(names)
+            found.append((rare, at_home))
+        (x, x_home), (y, y_home) = found
+        assert x_home & y or y_home & x
+
+
 def test_join_on_edge_rows(edge, nothing):
     rows = {r.doc_id: r for r in ngram_join.ngram_components(edge).collect()}
     assert all(rows[i].n_shingles == 0 and rows[i].component_id == i for i in (1, 2, 3))

@@ -21,8 +21,9 @@ the part of A that can still decide a pair:
    column, all their cold n-grams are in their prefixes; if they shared one,
    step 3 has the pair. Else all cold n-grams of both count as differences, and
    few are left for the hot ones. If these differ in at most k, and all hot
-   n-grams are dealt over more than k parts, some part is the same in both: only
-   classes with an equal part are paired (``agreeing``), not all of a column.
+   n-grams are dealt over m > k parts, m - k parts are the same in both: so one of
+   the k + 1 parts that fewest classes have. Only classes that agree in such a rare part are
+   paired (``agreeing``), where sizes and 256 parities leave a link possible.
 5. Surviving pairs pass a sieve: a parity bitmap of each set (about n/4 bytes)
    gives a lower bound of how many n-grams two sets differ in, so an upper
    bound of their overlap. What is left is checked on the full sets, best pair
@@ -45,7 +46,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import connected_components
@@ -492,52 +493,82 @@ def ladder(most: int) -> list[int]:
     return out
 
 
-def part_names(hot: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Names of the parts of the hot n-grams of a set of size n, and whether it is at home there.
+def part_steps(heat: int, n: int) -> tuple[list[int], bool]:
+    """Steps of the ladder that a set of size n with ``heat`` hot n-grams is dealt at, from its home up; whether
+    it can be the side at home.
 
     Linked sets that share no cold n-gram differ in at most f(a) + f(b) hot ones, where f is the size's share
     of differences less the set's cold n-grams; so in at most twice the larger f. That number's step of the
     ladder is the home of the set with the larger f, and the other visits all steps from its own home up to
-    the highest that a partner can have. A step of k deals the n-grams by hash over more than k parts, so both
-    agree in one, and a pair needs one side at home. Empty parts are named only where a set has k or
-    fewer others: else one of the others agrees.
+    the highest that a partner can have.
     """
-    cold, both = n - len(hot), DEN + NUM
-    home = 2 * (n * (DEN - NUM) - cold * both) // both
+    both = DEN + NUM
+    home = 2 * (n * (DEN - NUM) - (n - heat) * both) // both
     steps_up = ladder(2 * (n * DEN // NUM) * (DEN - NUM) // both)
-    first = next((k for k in steps_up if k >= home), steps_up[-1])
+    first = next((i for i, k in enumerate(steps_up) if k >= home), len(steps_up) - 1)
+    return steps_up[first:], home >= 0
+
+
+def parts_at(k: int) -> int:
+    """Parts that n-grams are dealt over at step k: linked sets are the same in all but k of them."""
+    return (3 * k + 1) // 2 + 1
+
+
+def part_names(hot: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Names of the parts of the hot n-grams of a set of size n, step by step (``part_steps``), and whether it is
+    at home there. Empty parts have names too: equal sets agree in them."""
+    steps_up, able = part_steps(len(hot), n)
     keys, names, at_home = mix(hot ^ np.uint64(0x2545F4914F6CDD1D)), [], []
-    for k in steps_up[steps_up.index(first):]:
-        count = (5 * k + 7) // 4               # more than k
+    for k in steps_up:
+        count = parts_at(k)
         part = (keys % np.uint64(count)).astype(np.int64)
         order = np.argsort(part, kind="stable")
         at = np.flatnonzero(np.diff(part[order], prepend=-1))
-        filled = part[order][at]
         sums = np.zeros(count, np.uint64)
         if len(at):
-            sums[filled] = np.add.reduceat(mix(keys[order]), at)
-        shown = np.arange(count) if len(at) <= k else filled
-        names.append(mix(mix(sums[shown] + np.uint64(k)) + shown.astype(np.uint64)))
-        at_home.append(np.full(len(shown), k == first and home >= 0))
+            sums[part[order][at]] = np.add.reduceat(mix(keys[order]), at)
+        names.append(mix(mix(sums + np.uint64(k)) + np.arange(count, dtype=np.uint64)))
+        at_home.append(np.full(count, k == steps_up[0] and able))
     return np.concatenate(names).view(np.int64), np.concatenate(at_home)
 
 
+#: Numbers of 64 parities each that go with a part, of all hot n-grams of the set.
+_SKETCH = 4
+
+
+def sketch(hot: np.ndarray) -> np.ndarray:
+    """Parities of the hot n-grams: sets differ in at least as many as their parities do."""
+    bit = (mix(hot ^ np.uint64(0x9FB21C651E98DF25)) % np.uint64(64 * _SKETCH)).astype(np.int64)
+    odd = np.bincount(bit, minlength=64 * _SKETCH) & 1
+    return np.packbits(odd, bitorder="little").view(np.int64)
+
+
+_OF_SET = ["name", "n", "component", "cold", *(f"s{i}" for i in range(_SKETCH))]
+_PART_ROWS = "part long, step int, home boolean, " + ", ".join(f"{c} long" for c in _OF_SET)
+
+
 def _parts(heat):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out(held: list[tuple]) -> pa.RecordBatch:
             times = [len(h[0]) for h in held]
-            of = lambda i: pa.array(np.repeat(np.array([h[i] for h in held], np.int64), times))
-            return pa.RecordBatch.from_pydict({
-                "part": pa.array(np.concatenate([h[0] for h in held])), "home": pa.array(np.concatenate([h[1] for h in held])),
-                "name": of(2), "n": of(3), "component": of(4)})
+            columns = {"part": pa.array(np.concatenate([h[0] for h in held])),
+                       "step": pa.array(np.concatenate([h[1] for h in held])),
+                       "home": pa.array(np.concatenate([h[2] for h in held]))}
+            sets = np.array([h[3] for h in held], np.int64)
+            return pa.RecordBatch.from_pydict(columns | {
+                c: pa.array(np.repeat(sets[:, i], times)) for i, c in enumerate(_OF_SET)})
 
         held, count = [], 0
         for batch in batches:
             known = zip(*(batch.column(c).to_pylist() for c in ("name", "n", "component")), strict=True)
             for (label, n, component), grams in zip(known, batch.column("grams"), strict=True):
                 grams = np.frombuffer(grams.as_buffer(), np.uint64)
-                held.append((*part_names(grams[is_hot(grams, heat.value)], n), label, n, component))
-                count += len(held[-1][0])
+                hot = grams[is_hot(grams, heat.value)]
+                names, home = part_names(hot, n)
+                steps_up = part_steps(len(hot), n)[0]
+                step = np.repeat(np.array(steps_up, np.int32), [parts_at(k) for k in steps_up])
+                held.append((names, step, home, (label, n, component, n - len(hot), *sketch(hot).tolist())))
+                count += len(names)
                 if count > _FLUSH_ENTRIES:
                     yield out(held)
                     held, count = [], 0
@@ -548,17 +579,30 @@ def _parts(heat):
 
 
 def agreeing(members: DataFrame, sets: DataFrame, heat) -> DataFrame:
-    """Pairs (a, b) of ``members`` (name, n, component) of different components that agree in a part of their
-    hot n-grams, one of them at home. Parts where no such pair can be drop out before the join."""
+    """Pairs (a, b) of ``members`` (name, n, component) of different components that agree in a rare part of their
+    hot n-grams, one of them at home, and can be linked by sizes and parities.
+
+    Of a step's parts a set keeps the k + 1 that fewest sets have: equal parts of two sets that differ in k or
+    fewer cannot all be among the others. Parts where no pair can be drop out before the join.
+    """
     rows = members.join(sets, "name").select("name", "n", "component", "grams")
-    parts = materialize(rows.mapInArrow(_parts(heat), "part long, home boolean, name long, n long, component long"),
-                        "ngram-parts")
-    mixed = parts.groupBy("part").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
-                                      F.max("home").alias("home")).filter("lo <> hi and home")
-    parts = materialize(parts.join(mixed.select("part"), "part", "left_semi"), "ngram-mixed")
-    x = parts.filter("home").select("part", *[F.col(c).alias(f"{c}_x") for c in ("name", "n", "component")])
-    met = x.join(parts, "part").filter((F.col("component_x") != F.col("component"))
-                                       & (NUM * F.col("n_x") <= DEN * F.col("n")) & (NUM * F.col("n") <= DEN * F.col("n_x")))
+    parts = materialize(rows.mapInArrow(_parts(heat), _PART_ROWS), "ngram-parts")
+    held = parts.groupBy("part").agg(F.count(F.lit(1)).alias("sets"))
+    place = F.row_number().over(Window.partitionBy("name", "step").orderBy("sets", "part"))
+    rare = materialize(parts.join(held, "part").withColumn("place", place).filter(F.col("place") <= F.col("step") + 1).drop(
+        "place", "sets", "step"), "ngram-rare")
+    mixed = rare.groupBy("part").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
+                                     F.max("home").alias("home")).filter("lo <> hi and home")
+    rare = materialize(rare.join(mixed.select("part"), "part", "left_semi"), "ngram-mixed")
+    x = rare.filter("home").select("part", *[F.col(c).alias(f"{c}_x") for c in _OF_SET])
+    n, nx = F.col("n"), F.col("n_x")
+    flips = sum((F.bit_count(F.col(f"s{i}").bitwiseXOR(F.col(f"s{i}_x"))) for i in range(1, _SKETCH)),
+                F.bit_count(F.col("s0").bitwiseXOR(F.col("s0_x"))))
+    uneven = F.abs((n - F.col("cold")) - (nx - F.col("cold_x")))
+    differ = F.col("cold") + F.col("cold_x") + F.greatest(flips.cast("long"), uneven)
+    met = x.join(rare, "part").filter((F.col("component_x") != F.col("component"))
+                                      & (NUM * nx <= DEN * n) & (NUM * n <= DEN * nx)
+                                      & ((DEN + NUM) * differ <= (DEN - NUM) * (n + nx)))
     return met.select(F.least("name_x", "name").alias("a"), F.greatest("name_x", "name").alias("b")).distinct()
 
 
