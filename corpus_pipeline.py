@@ -5,6 +5,10 @@ as Parquet and read again as the next stage's documents. All but the last
 return the columns of ``documents``.
 
 The mix repeats a document as often as it is used; packing packs each use.
+
+Cases: null, empty and blank texts fail the quality rules, so later stages see none from ``run``; a stage that is given them
+keeps one of them (exact dedup), keeps all (near copies), takes none (mix), or packs the end token alone (packing). Repeated rows are copies. Null sources are a source of their own. An empty table gives an empty result.
+Columns beyond those of ``documents`` are kept, whatever their names, up to packing.
 """
 
 from __future__ import annotations
