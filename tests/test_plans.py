@@ -128,7 +128,9 @@ def test_switches_and_limits_act(spark):
     q, t = queries(), tables(spark, SF_MID)
     assert sorted(q["optional_predicates"](spark, SF_MID).collect()) != sorted(q["promo_reach_hours"](spark, SF_MID).collect())
     assert q["promo_reach_hours"](spark, SF_MID).count() >= 3 and q["promo_hourly_from"](spark, SF_MID).count() >= 20
-    assert q["top_feeders_daily"](spark, SF_MID).count() < top_feeders_daily(t, *t.scope(), BRAND, 50).count() and P.TOP_K < 50
+    published = top_feeders_daily(t, *t.scope(), BRAND, 50).count()
+    assert top_feeders_daily(t, *t.scope(), BRAND, 3).count() < published
+    assert q["top_feeders_daily"](spark, SF_MID).count() == published and P.TOP_K == 50
 
 
 def test_minor_feeders_are_tested_per_spelling(spark):

@@ -10,6 +10,6 @@ DESTINATIONS = ("bravo: live!", "view-all")
 DEVICE_LIKE = "%fire%tv%"
 PROMO_ORIGINS = ("%bravo%", "%charlie%")
 PROMO_VIEW_TITLES = ("alpha show", "bravo: live!")
-#: Ranks of the top feeders report (the stand-in has more of them on most days).
-TOP_K = 3
+#: Ranks of the top feeders reports, as published.
+TOP_K = 50
 CUE_PREFIX = "s|a|b"
