@@ -82,3 +82,44 @@ def test_report_ends_at_the_published_rank(spark):
                                         "Unique_Click_Next_Accounts long, Total_Unique_Accounts long")
     got = {r.Auto_Binge_Source_Titles: r.Daily_Ranks for r in top_feeders(reach, P.TOP_K).collect()}
     assert got == {s: 54 - n for s, n in REACH.items() if n > 3} | {"tied": 1}
+
+
+@pytest.fixture
+def three_days(tmp_path):
+    """The episode "alpha show" is of another series each day; "Bravo: Live!" is a linear channel on the second only."""
+    e = Events()
+    for day, series in enumerate(("Delta", "Echo & Co.", "Foxtrot")):
+        e.viewing(series, day, channel=day == 1)
+        e.moved_on(day + 2, "alpha show", day)
+        e.moved_on(day + 12, "Bravo: Live!", day)
+    return e.write(tmp_path)
+
+
+def reached(df):
+    return {((r.Adobe_Date - NOON.date()).days, r.Auto_Binge_Source_Titles) for r in df.collect()}
+
+
+OWN_DAYS = {(0, "delta"), (0, "bravo live"), (1, "echo  co"), (2, "foxtrot"), (2, "bravo live")}
+
+
+@pytest.mark.parametrize("name", ["feeder_destination_pairs"])
+def test_each_click_day_has_its_own_map_and_channels(spark, three_days, name):
+    df = queries()[name](spark, three_days)
+    assert reached(df) == OWN_DAYS
+    ok, message = matches_oracle(df, three_days, name)
+    assert ok, message
+
+
+def test_a_named_map_day_and_channel_day_hold_for_all_click_days(spark, three_days):
+    from watchpath.plans import params as P
+    from watchpath.plans.feeders import device_top_feeders, feeder_destination_pairs
+    from watchpath.plans.registry import tables
+    from watchpath.sources.standin import PLAYER_EVENT_BRAND as BRAND
+
+    t = tables(spark, three_days)
+    first, second = NOON.date(), NOON.date() + dt.timedelta(days=1)
+    for channel_day, channels in ((first, {(day, "bravo live") for day in range(3)}), (second, set())):
+        want = {(day, "foxtrot") for day in range(3)} | channels
+        days = {"map_day": t.scope().end, "channel_day": channel_day}
+        assert reached(feeder_destination_pairs(t, *t.scope(), BRAND, device_like=P.DEVICE_LIKE, **days)) == want
+        assert reached(device_top_feeders(t, *t.scope(), P.DEVICE_LIKE, BRAND, **days)) == want

@@ -260,9 +260,7 @@ def _fixed_days(s, d):
 
 
 def q_feeder_destination_pairs(s, d):
-    channel_day, map_day = _fixed_days(s, d)
-    return PF.feeder_destination_pairs(tables(s, d), *scope(s, d), BRAND, device_like=P.DEVICE_LIKE,
-                                       map_day=map_day, channel_day=channel_day)
+    return PF.feeder_destination_pairs(tables(s, d), *scope(s, d), BRAND, device_like=P.DEVICE_LIKE)
 
 
 def q_device_top_feeders(s, d):
