@@ -102,7 +102,7 @@ def reached(df):
 OWN_DAYS = {(0, "delta"), (0, "bravo live"), (1, "echo  co"), (2, "foxtrot"), (2, "bravo live")}
 
 
-@pytest.mark.parametrize("name", ["feeder_destination_pairs"])
+@pytest.mark.parametrize("name", ["feeder_destination_pairs", "device_top_feeders"])
 def test_each_click_day_has_its_own_map_and_channels(spark, three_days, name):
     df = queries()[name](spark, three_days)
     assert reached(df) == OWN_DAYS

@@ -253,20 +253,12 @@ def q_device_feed_list(s, d):
     return PF.device_feed_list(tables(s, d), *scope(s, d), *scope(s, d), P.DEVICE_LIKE, BRAND)
 
 
-def _fixed_days(s, d):
-    """First and last day of the viewing table: the device reports' channel day and map day."""
-    views = tables(s, d).days()[1]
-    return views[0], views[-1]
-
-
 def q_feeder_destination_pairs(s, d):
     return PF.feeder_destination_pairs(tables(s, d), *scope(s, d), BRAND, device_like=P.DEVICE_LIKE)
 
 
 def q_device_top_feeders(s, d):
-    channel_day, map_day = _fixed_days(s, d)
-    return PF.device_top_feeders(tables(s, d), *scope(s, d), P.DEVICE_LIKE, BRAND, P.TOP_K,
-                                 map_day=map_day, channel_day=channel_day)
+    return PF.device_top_feeders(tables(s, d), *scope(s, d), P.DEVICE_LIKE, BRAND, P.TOP_K)
 
 
 # --- promo cohort ----------------------------------------------------------
