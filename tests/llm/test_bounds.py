@@ -1,5 +1,7 @@
 """Memory bounds of memos and tables."""
 
+from pyspark.sql import functions as F
+
 from watchpath.llm import exact_dedup, packing
 from watchpath.llm.queries import tokenizer_path
 
@@ -47,3 +49,33 @@ def test_best_settles_without_losing_rows():
     finally:
         exact_dedup.BUCKET_BYTES = one
     assert sorted(r["id"] for r in rows) == [0, 1, 3, 4, 5, 6, 30]
+
+
+def test_rows_leave_in_small_batches():
+    """Little content in much white space: what is sent on is bounded by bytes, not by rows."""
+    import pyarrow as pa
+
+    best, rows = exact_dedup.Best(), 400
+    for low in range(0, rows, 40):
+        texts = [b"t%d" % (i % 300) + b" " * 50_000 for i in range(low, low + 40)]
+        best.add(pa.RecordBatch.from_pydict({
+            "text": pa.array(texts, pa.binary()), "points": pa.array([len(t) for t in texts], pa.int64()),
+            "id": pa.array(range(low, low + 40), pa.int64()), "row": pa.array(range(low, low + 40), pa.int64())}))
+        best.settle()
+    assert best._bytes <= 2 * exact_dedup.BUCKET_BYTES
+    out = best.out()
+    assert max(b.nbytes for b in out) <= 5 << 20
+    assert sorted(r["id"] for b in out for r in b.select(["id"]).to_pylist()) == list(range(300))
+
+
+def test_buckets_are_sized_by_whole_rows(spark, monkeypatch):
+    """A bucket's task holds rows with their white space and other columns, so these count, not the contents alone."""
+    real, bits = exact_dedup.bucket_bits, []
+    monkeypatch.setattr(exact_dedup, "bucket_bits", lambda *a: bits.append(real(*a)) or bits[-1])
+    for text, note in ((F.concat(F.col("doc_id").cast("string"), F.lit(" " * 10_000)), F.lit("")),
+                       (F.col("doc_id").cast("string"), F.lit("n" * 10_000))):
+        table = spark.range(500).select(F.col("id").alias("doc_id"), F.lit(None).cast("string").alias("lang")).select(
+            "*", text.alias("text"), note.alias("note"))
+        left = exact_dedup.drop_exact_copies(table.union(table), bucket_bytes=20_000)
+        assert left.columns == table.columns and left.exceptAll(table).isEmpty() and left.count() == 500
+        assert bits[-1] >= 8                                           # 5 MB of rows in buckets of 20 kB

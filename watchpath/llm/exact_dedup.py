@@ -38,6 +38,8 @@ from .textarrays import WHITE
 #: Largest total of distinct contents in a bucket's table, and what an entry counts besides its content.
 BUCKET_BYTES = 16 << 20
 ENTRY_BYTES = 400
+#: Bytes of whole rows that a worker sends on in one batch (more if a batch that came was larger).
+OUT_BYTES = 4 << 20
 _HASH_BITS = 63
 
 
@@ -212,12 +214,15 @@ def exact_groups(docs: DataFrame, text: str = "text", id: str = "doc_id",
 
 
 def _sized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Hash and size of each content."""
+    """Hash of each content and the size of its row: the content, the text it came from and the other columns."""
     for batch in batches:
-        contents = [text.as_py().translate(None, WHITE) for text in batch.column("text")]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([_hash(c) for c in contents], pa.int64()), pa.array([len(c) for c in contents], pa.int64())],
-            names=["h", "size"])
+        hashes, sizes = [], []
+        for text, rest in zip(batch.column("text"), batch.column("rest"), strict=True):
+            text = text.as_py()
+            content = text.translate(None, WHITE)
+            hashes.append(_hash(content))
+            sizes.append(len(content) + len(text) + rest.as_py())
+        yield pa.RecordBatch.from_arrays([pa.array(hashes, pa.int64()), pa.array(sizes, pa.int64())], names=["h", "size"])
 
 
 def _hash(content: bytes) -> int:
@@ -231,7 +236,7 @@ class Best:
         self._clear()
 
     def _clear(self) -> None:
-        self.table, self._held, self._rows, self._bytes = ContentTable(), [], 0, 0
+        self.table, self._held, self._rows, self._bytes, self._least = ContentTable(), [], 0, 0, 0
 
     def add(self, batch: pa.RecordBatch) -> None:
         contents = [text.as_py().translate(None, WHITE) for text in batch.column("text")]
@@ -247,18 +252,34 @@ class Best:
 
     @property
     def full(self) -> bool:
-        return self.table.size > BUCKET_BYTES or self._bytes > 4 * BUCKET_BYTES
+        """Whether contents, or rows that have not lost, are many."""
+        return self.table.size > BUCKET_BYTES or 2 * self._least > BUCKET_BYTES
 
     def settle(self) -> None:
-        """Lets go of rows that have lost, when those held are many."""
-        if self._bytes > 4 * BUCKET_BYTES and self._held:
-            kept = self._kept()
-            self.table.best = [(*b[:4], i) for i, b in enumerate(self.table.best)]
-            self._held, self._rows, self._bytes = kept, len(self.table.best), sum(b.nbytes for b in kept)
+        """Lets go of rows that have lost, when those held are many, and twice what the last time left."""
+        if self._bytes > max(BUCKET_BYTES, 2 * self._least):
+            at = np.array([b[4] for b in self.table.best])
+            self._held = self._kept()
+            for i, entry in enumerate(np.argsort(at).tolist()):
+                self.table.best[entry] = (*self.table.best[entry][:4], i)
+            self._rows, self._bytes = len(at), sum(b.nbytes for b in self._held)
+            self._least = self._bytes
 
     def _kept(self) -> list[pa.RecordBatch]:
-        rows = pa.array([b[4] for b in self.table.best], pa.int64())
-        return pa.Table.from_batches(self._held).take(rows).combine_chunks().to_batches(max_chunksize=1000)
+        """The best rows in the order they came, taken from one batch after another."""
+        rows, low = np.sort([b[4] for b in self.table.best]), 0
+        kept, parts, size = [], [], 0
+        for batch in self._held:
+            first, last = np.searchsorted(rows, (low, low + batch.num_rows))
+            if first < last:
+                part = batch if last - first == batch.num_rows else batch.take(pa.array(rows[first:last] - low))
+                if parts and size + part.nbytes > OUT_BYTES:
+                    kept.append(_joined(parts))
+                    parts, size = [], 0
+                parts.append(part)
+                size += part.nbytes
+            low += batch.num_rows
+        return kept + [_joined(parts)] if parts else kept
 
     def out(self) -> list[pa.RecordBatch]:
         kept = self._kept() if self._held else []
@@ -266,11 +287,16 @@ class Best:
         return kept
 
 
+def _joined(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    return batches[0] if len(batches) == 1 else pa.Table.from_batches(batches).combine_chunks().to_batches()[0]
+
+
 def _best_of_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of one task, of equal contents the best; passed on whenever the table is full."""
     best = Best()
     for batch in batches:
         best.add(batch)
+        best.settle()
         if best.full:
             yield from best.out()
     yield from best.out()
@@ -296,16 +322,18 @@ def drop_exact_copies(docs: DataFrame, text: str = "text", id: str = "doc_id",
                       bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """``docs`` without the rows whose content stays in another row; same columns.
 
-    A first reading sizes the buckets (hashes and sizes are written). In the second the rows themselves go to
-    their buckets, once, and the row that stays comes out whole.
+    A first reading sizes the buckets by whole rows, as these are what a bucket's task holds (each content's hash
+    and largest size are written). In the second the rows themselves go to their buckets, once, and the row that
+    stays comes out whole.
     """
     whole = F.coalesce(col(text), F.lit(""))
     rows = numbered(docs.select(
         col(id).cast("long").alias("id"), F.struct(*[col(c) for c in docs.columns if c != text]).alias("doc"),
         F.length(whole).cast("long").alias("points"), col(text).isNull().alias("no_text"),
         whole.cast("binary").alias("text")), "row")
-    sizes = materialize(rows.select("text").mapInArrow(_sized, "h long, size long"), "dedup-sizes")
-    bits = bucket_bits(sizes, bucket_bytes)
+    rest = [F.coalesce(F.octet_length(F.col("doc")[c].cast("string")).cast("long"), F.lit(0)) for c in docs.columns if c != text]
+    sized = rows.select("text", sum(rest, F.lit(0).cast("long")).alias("rest")).mapInArrow(_sized, "h long, size long")
+    bits = bucket_bits(materialize(sized.groupBy("h").agg(F.max("size").alias("size")), "dedup-sizes"), bucket_bytes)
     hashed = T.StructType([*rows.schema.fields, T.StructField("h", T.LongType())])
     some = rows.mapInArrow(_best_of_task, hashed).withColumn("bucket", _bucket(bits))
     buckets = some.repartition("bucket").sortWithinPartitions("bucket")
