@@ -4,8 +4,10 @@ import hashlib
 import random
 import zlib
 from collections import Counter, defaultdict
+from urllib.parse import urlparse
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -292,6 +294,26 @@ def test_long_texts_align(edge, libraries):
         assert (r.n_a, r.n_b) == (len(libraries[0].encode(" " + text, add_special_tokens=False).ids), len(libraries[1].encode(text)))
 
 
+def test_chunks_of_a_task_are_in_small_row_groups(spark, docs):
+    """Spark holds a row group at once, so it must not have all chunks of a task."""
+    texts = [r.text for r in docs.limit(50).collect()]
+    texts *= 8_000_000 // sum(map(len, texts)) + 1
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    chunked = token_alignment.chunks(rows, A, B, chunk_bytes=1 << 20)
+    metas = [pq.ParquetFile(urlparse(f).path).metadata for f in chunked.inputFiles()]
+    groups = [m.row_group(i) for m in metas for i in range(m.num_row_groups)]
+    assert sum(g.num_rows for g in groups) > 6
+    assert all(g.num_rows == 1 or g.total_byte_size <= 1 << 20 for g in groups) and len(groups) > 1
+
+
+def test_empty_texts_fill_chunks(spark):
+    rows = spark.range(5000, numPartitions=1).select(F.col("id").alias("doc_id"), F.lit(None).cast("string").alias("text"))
+    sizes = [len(r.doc_id) for r in token_alignment.chunks(rows, A, B, chunk_bytes=1 << 18).select("doc_id").collect()]
+    assert sum(sizes) == 5000 and max(sizes) <= (1 << 18) // 100
+    found = token_alignment.aligned(rows, A, B, chunk_bytes=1 << 18).collect()
+    assert sorted(tuple(r) for r in found) == [(i, 0, 0, 0, 0, 0, 0, "") for i in range(5000)]
+
+
 def test_gallop_is_a_search():
     rng = np.random.default_rng(3)
     for size in (1, 5, 300):

@@ -10,7 +10,11 @@ them into groups; an A and a B token are linked when their ranges overlap.
    the ranks found are the ranges of overlapping tokens.
 2. Texts are taken in chunks of ``CHUNK_BYTES`` (a longer text by itself). A chunk is
    one row of a written table: its texts' figures, its distinct links, and of each
-   text the links it holds as places among these.
+   text the links it holds as places among these. A text's figures count as
+   ``TEXT_BYTES`` more, so many short or empty texts make chunks too. Spark holds the
+   rows of a Parquet row group at once, and those it sorts as they are; so places are
+   packed, and a row group has ``ROW_GROUP_BYTES`` or one row, however many chunks a
+   task makes.
 3. Links are counted over the chunks' distinct links (one row per chunk and link),
    and each A token's highest count follows from these counts. Counts go back to
    the chunks that hold the link, and a chunk's texts sum them up.
@@ -31,6 +35,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import zlib
 from collections.abc import Iterator
 from functools import cache
 from itertools import chain
@@ -42,11 +47,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .packing import _byte_letters
-from .tables import col, materialize
+from .tables import col, materialize, run_path
 
 #: Text bytes of a chunk, and of one tokenizer call (a longer text is one by itself).
 CHUNK_BYTES = 8 << 20
 CALL_BYTES = 1 << 18
+#: What a text's figures take in its chunk's row.
+TEXT_BYTES = 128
+#: Encoded bytes of a row group of the chunk table (a longer row is one by itself).
+ROW_GROUP_BYTES = 1 << 20
 #: Distance of the ends that are searched first.
 ANCHORS = 16
 #: Fixed value: how byte-level vocabularies split a text before merging.
@@ -235,7 +244,7 @@ class Chunk:
         self._numbers.append((found.n_a, found.n_b, found.n_groups, found.n_links))
         self._digests += [hashlib.sha256(g).hexdigest() if g else "" for g in groups]
         self._keys += keys
-        self.size += int(size.sum())
+        self.size += int(size.sum()) + TEXT_BYTES * len(texts)
 
     def batch(self, number: int) -> pa.RecordBatch:
         held, codes, times = (np.concatenate(x) for x in zip(*self._links, strict=True))
@@ -246,29 +255,31 @@ class Chunk:
         gaps = np.diff(place, prepend=0)
         gaps[first[held > 0]] = place[first[held > 0]]
         one = lambda values, kind: pa.array([values], pa.list_(kind))
+        packed = lambda values: pa.array([zlib.compress(values.astype(np.int32).tobytes(), 1)], pa.binary())
         return pa.RecordBatch.from_arrays(
             [pa.array([number], pa.int64()), one(self._keys, pa.int64()), *[one(x, pa.int64()) for x in (*numbers, held)],
-             one(self._digests, pa.string()), one(gaps, pa.int32()), one(times, pa.int32()), one(distinct, pa.int64()),
+             one(self._digests, pa.string()), packed(gaps), packed(times), one(distinct, pa.int64()),
              one(docs, pa.int64())], names=_CHUNK_NAMES)
 
 
 _CHUNK_NAMES = ["chunk", "doc_id", "n_a", "n_b", "n_groups", "n_links", "held", "digest", "gaps", "times", "link", "docs"]
 _CHUNK = ("chunk long, doc_id array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, n_links array<long>, "
-          "held array<long>, digest array<string>, gaps array<int>, times array<int>, link array<long>, docs array<long>")
+          "held array<long>, digest array<string>, gaps binary, times binary, link array<long>, docs array<long>")
 
 
 def _calls(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[str], int]]:
-    """Ids and texts of one tokenizer call, and the texts' size."""
+    """Ids and texts of one tokenizer call, and their size."""
     keys, texts, held = [], [], 0
     for batch in batches:
         for key, text in zip(batch.column("id"), batch.column("text"), strict=True):
             text = text.as_py() or ""
-            if texts and held + len(text) > CALL_BYTES:
+            size = len(text) + TEXT_BYTES
+            if texts and held + size > CALL_BYTES:
                 yield keys, texts, held
                 keys, texts, held = [], [], 0
             keys.append(key.as_py())
             texts.append(text)
-            held += len(text)
+            held += size
     if texts:
         yield keys, texts, held
 
@@ -291,10 +302,12 @@ def _chunks(path_a: str, path_b: str, chunk_bytes: int):
 
 def _summed(key: tuple, chunk: pa.Table, counts: pa.Table) -> pa.Table:
     """Figures of a chunk's texts, with the counts of its links."""
-    values = {name: chunk.column(name).combine_chunks().values for name in chunk.column_names if name != "chunk"}
-    held, times = values["held"].to_numpy(), values["times"].to_numpy().astype(np.int64)
+    packed = ("gaps", "times")
+    values = {name: chunk.column(name).combine_chunks().values for name in chunk.column_names if name not in ("chunk", *packed)}
+    gaps, times = (np.frombuffer(zlib.decompress(chunk.column(name)[0].as_py()), np.int32).astype(np.int64) for name in packed)
+    held = values["held"].to_numpy()
     first = np.append(0, np.cumsum(held))
-    place = np.cumsum(values["gaps"].to_numpy().astype(np.int64))
+    place = np.cumsum(gaps)
     base = np.repeat(np.where(first[:-1] > 0, place[np.maximum(first[:-1] - 1, 0)], 0) if len(place) else first[:-1], held)
     place = place - base
     n, best = (np.zeros(len(values["link"]), np.int64) for _ in range(2))
@@ -316,7 +329,11 @@ _OUT = ("doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best lo
 def chunks(docs: DataFrame, a: str, b: str, text: str = "text", id: str = "doc_id", chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """The written table of chunks (see the module's text): one row per chunk."""
     rows = docs.select(col(id).cast("long").alias("id"), col(text).alias("text"))
-    return materialize(rows.mapInArrow(_chunks(a, b, chunk_bytes), _CHUNK), "align-chunks")
+    path = run_path(docs, "align-chunks")
+    # Row groups are cut by size from the first row on, not from the hundredth.
+    bounds = {"parquet.block.size": ROW_GROUP_BYTES, "parquet.page.size.row.check.min": 1}
+    rows.mapInArrow(_chunks(a, b, chunk_bytes), _CHUNK).write.options(**bounds).parquet(path)
+    return docs.sparkSession.read.parquet(path)
 
 
 def link_counts(chunked: DataFrame, pieces: int) -> DataFrame:
